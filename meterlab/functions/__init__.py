@@ -6,6 +6,7 @@ from meterlab.functions.time import (
     from_micros,
     is_fixed_width,
     micros,
+    months,
     parse_time,
     seconds_between,
     width_micros,
@@ -17,6 +18,7 @@ __all__ = [
     "is_fixed_width",
     "mean",
     "micros",
+    "months",
     "not_a_number",
     "number",
     "parse_time",

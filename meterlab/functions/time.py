@@ -14,7 +14,7 @@ _UNIT_MICROS = {
     "day": 86_400 * _SECOND,
     "week": 7 * 86_400 * _SECOND,
 }
-_CALENDAR_STEPS = ("month", "quarter", "year")
+_CALENDAR_STEPS = {"month": 1, "quarter": 3, "year": 12}
 
 # 1970-01-05, the first Monday after the epoch: weeks start on Monday.
 _FIRST_MONDAY = 4 * 86_400 * _SECOND
@@ -42,6 +42,14 @@ def width_micros(step: str) -> int:
     return amount * _UNIT_MICROS[unit]
 
 
+def months(step: str) -> int:
+    """Number of months in a calendar step: month, quarter or year."""
+    amount, unit = _parse(step)
+    if amount != 1 or unit not in _CALENDAR_STEPS:
+        raise ValueError(f"{step!r} is not one month, quarter or year")
+    return _CALENDAR_STEPS[unit]
+
+
 def micros(ts: Column) -> Column:
     """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ.
 
@@ -72,8 +80,7 @@ def bucket(ts: Column, step: str) -> Column:
     """
     amount, unit = _parse(step)
     if unit in _CALENDAR_STEPS:
-        if amount != 1:
-            raise ValueError(f"calendar steps have no multiples: {step!r}")
+        months(step)
         return F.trunc(ts.cast("date"), unit).cast("timestamp_ntz")
     day = ts.cast("date").cast("timestamp_ntz")
     if (amount, unit) == (1, "day"):

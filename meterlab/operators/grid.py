@@ -6,7 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterlab.functions import bucket, from_micros, is_fixed_width, mean, micros, total, width_micros
+from meterlab.functions import (
+    bucket,
+    from_micros,
+    is_fixed_width,
+    mean,
+    micros,
+    months,
+    total,
+    width_micros,
+)
 
 STEP_STATS = ("sum", "mean", "min", "max")
 _CHUNK = 10_000
@@ -41,10 +50,11 @@ def resample(
 def _steps_between(bounds: DataFrame, step: str, by: Sequence[str]) -> DataFrame:
     """Every step from ``_low`` to ``_high`` of each key."""
     if not is_fixed_width(step):
-        dates = F.sequence(
-            F.col("_low").cast("date"), F.col("_high").cast("date"), F.expr(f"interval 1 {step}")
+        low, high = F.col("_low").cast("date"), F.col("_high").cast("date")
+        dates = F.explode(F.sequence(low, high, F.expr(f"interval {months(step)} months")))
+        return bounds.select(*by, dates.alias("bucket")).withColumn(
+            "bucket", F.col("bucket").cast("timestamp_ntz")
         )
-        return bounds.select(*by, F.explode(dates).cast("timestamp_ntz").alias("bucket"))
     # A long series has more steps than one array or one task should hold: make
     # chunks first, spread those, and unfold each one where it lands.
     width = F.lit(width_micros(step))
