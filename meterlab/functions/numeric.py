@@ -32,9 +32,9 @@ def not_a_number(value: Column, dtype: DataType) -> Column:
 
 
 def number(text: Column, dtype: str = "double") -> Column:
-    """Text to number; anything that is not a finite-precision number gives NULL.
+    """Text to number; anything else gives NULL.
 
-    Casting alone would let ``5d`` through as 5.0 and ``NaN`` as a value.
+    Casting alone would let ``5d`` through as 5.0, and ``NaN`` as a value.
     """
     value = text.try_cast(dtype)
     if dtype in ("double", "float"):

@@ -9,7 +9,7 @@ from pyspark.ml.feature import Imputer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterlab.functions import mean, not_a_number
-from meterlab.plans.blocks import BLOCK_ROWS, join_on, over_ordered
+from meterlab.plans.blocks import BLOCK_ROWS, attach, over_ordered
 
 MISSING_TOKENS = ("", "?", "NA", "N/A", "NULL", "NaN")
 
@@ -78,17 +78,15 @@ def fill_mean(
     """Replace NULL by the mean of the key's known values.
 
     It looks at the whole series, so use it for analysis and never before a
-    split. The means are aggregated before their shuffle and joined back: a
-    meter with very many rows is then split by adaptive execution, which cannot
-    split a window.
+    split. The means are aggregated and joined back; a window would gather all
+    rows of a meter in one task.
     """
     by = list(by)
     known = _known(df, col)
     if not by:
         return df.withColumn(col, F.coalesce(known, df.agg(mean(known, scale)).scalar()))
-    means = df.groupBy(*by).agg(mean(known, scale).alias("_mean"))
-    filled = join_on(df, means, by).withColumn(col, F.coalesce(known, F.col("_mean")))
-    return filled.select(*df.columns)
+    with_mean = attach(df, by, mean(known, scale).alias("_mean"))
+    return with_mean.withColumn(col, F.coalesce(known, F.col("_mean"))).select(*df.columns)
 
 
 def impute_stage(cols: Sequence[str], strategy: str = "mean", suffix: str = "_filled") -> Imputer:

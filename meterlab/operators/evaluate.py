@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from meterlab.functions import mean
 from meterlab.operators.features import lag_features
 from meterlab.operators.grid import seasonal_lag
-from meterlab.plans.blocks import BLOCK_ROWS, join_on
+from meterlab.plans.blocks import BLOCK_ROWS, attach
 
 
 def rmse(
@@ -68,6 +68,5 @@ def naive_forecast(
         past = df.where(F.col(ts) < F.lit(str(cutoff)).cast("timestamp_ntz"))
         if not by:
             return df.withColumn("forecast", past.agg(mean(F.col(col), scale)).scalar())
-        means = past.groupBy(*by).agg(mean(F.col(col), scale).alias("forecast"))
-        return join_on(df, means, by).select(*df.columns, "forecast")
+        return attach(df, by, mean(F.col(col), scale).alias("forecast"), of=past)
     raise ValueError(f"unknown naive forecast: {kind!r}")

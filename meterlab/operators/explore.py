@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from meterlab.functions import bucket, mean, total
 from meterlab.operators.features import CALENDAR_PARTS
-from meterlab.plans.blocks import BLOCK_ROWS, join_on, running_total, split_hot
+from meterlab.plans.blocks import BLOCK_ROWS, attach, join_on, running_total, split_hot
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -72,17 +72,16 @@ def exact_quantiles(
     """
     by = list(by)
     value = F.col(col)
-    counted = (
-        df.where(value.isNotNull() & ~F.isnan(value.cast("double")))
-        .groupBy(*by, value.cast("double").alias("_value"))
-        .agg(F.count("*").alias("_n"))
+    known = df.select(*by, value.cast("double").alias("_value")).where(
+        F.col("_value").isNotNull() & ~F.isnan("_value")
     )
+    counted = known.groupBy(*by, "_value").agg(F.count("*").alias("_n"))
     ranked = running_total(counted, by, "_value", "_n", "_upto", block_rows, split)
+    # Group sizes need no shuffle of values, so they are counted from the rows.
     if by:
-        sizes = counted.groupBy(*by).agg(F.sum("_n").alias("_size"))
-        ranked = join_on(ranked, sizes, by)
+        ranked = attach(ranked, by, F.count("*").alias("_size"), of=known)
     else:
-        ranked = ranked.withColumn("_size", counted.agg(F.sum("_n")).scalar())
+        ranked = ranked.withColumn("_size", known.agg(F.count("*")).scalar())
     after, upto = F.col("_upto") - F.col("_n"), F.col("_upto")
     ends, results = [], []
     for q in quantiles:
@@ -163,7 +162,11 @@ def histogram(df: DataFrame, col: str = "power_kw", width: float = 10.0) -> Data
 def correlations(
     df: DataFrame, cols: Sequence[str] = (), pairs: Sequence[tuple[str, str]] = ()
 ) -> DataFrame:
-    """Pearson correlation of all pairs of ``cols`` or of the given pairs, in one pass."""
+    """Pearson correlation of all pairs of ``cols`` or of the given pairs, in one pass.
+
+    Rows that lack one of the two values do not count. A constant column
+    correlates with nothing: NULL (``corr`` would fail on it in ANSI mode).
+    """
     chosen = list(pairs) or list(combinations(cols, 2))
 
     def both(a: str, b: str) -> tuple[Column, Column]:
@@ -173,7 +176,11 @@ def correlations(
     measured = []
     for i, (a, b) in enumerate(chosen):
         x, y = both(a, b)
-        measured += [F.corr(x, y).alias(f"r{i}"), F.count(x).alias(f"n{i}")]
+        spread = F.stddev_pop(x) * F.stddev_pop(y)
+        measured += [
+            F.try_divide(F.covar_pop(x, y), spread).alias(f"r{i}"),
+            F.count(x).alias(f"n{i}"),
+        ]
     rows = [
         F.struct(
             F.lit(a).alias("a"),

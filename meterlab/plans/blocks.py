@@ -12,8 +12,10 @@ So operators that need the order of a series come here:
   (key, block), then gives the same result.
 
 Blocks are read by more than one branch of the plan, and a second evaluation of
-the range partitioning could draw other limits. They are therefore written to
-the checkpoint folder that the executors share before anything reads them.
+the range partitioning could draw other limits. They are therefore written, as
+Parquet, to the checkpoint folder that the executors share before anything reads
+them. Each branch then scans only its columns, and losing an executor costs no
+more than the tasks it ran.
 """
 
 from __future__ import annotations
@@ -27,6 +29,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 BLOCK_ROWS = 1_000_000
+# More blocks than this are made larger instead, so that tables with a row per
+# block, which one task orders, stay small whatever the data.
+MAX_BLOCKS = 50_000
+# Tables of one short row per key are broadcast up to this many rows.
 BROADCAST_ROWS = 100_000
 
 BLOCK = "_block"
@@ -64,6 +70,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it from there: computed once, no lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def join_on(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join in which NULL keys match, as they do in GROUP BY and PARTITION BY."""
     hidden = {c: f"_right_{c}" for c in by}
@@ -103,36 +116,52 @@ def split_hot(
         return df, None
     if not by:
         return None, Hot(df, found.rows, 1)
-    ensure_checkpoint_dir(df.sparkSession)
-    hot_keys = keys.select(*by).checkpoint()
+    hot_keys = settle(keys.select(*by), "hot-keys")
     if found.keys <= BROADCAST_ROWS:
         hot_keys = F.broadcast(hot_keys)
     light = join_on(df, hot_keys, by, "left_anti")
     return light, Hot(join_on(df, hot_keys, by, "left_semi"), found.rows, found.keys)
 
 
+def attach(
+    df: DataFrame, by: Sequence[str], *aggs: Column, of: DataFrame | None = None
+) -> DataFrame:
+    """Add to each row the aggregates of its key, taken from ``of`` (or ``df`` itself).
+
+    The aggregates are computed once and stored. Few keys are broadcast, so that
+    the rows need no shuffle. Otherwise the keys with the most rows are, and only
+    the rows of the other keys are shuffled.
+    """
+    by = list(by)
+    source = df if of is None else of
+    table = settle(source.groupBy(*by).agg(F.count("*").alias(_ROWS), *aggs), "per-key")
+    facts = table.drop(_ROWS)
+    if table.count() <= BROADCAST_ROWS:
+        return join_on(df, F.broadcast(facts), by)
+    hot = table.where(F.col(_ROWS) > BLOCK_ROWS).drop(_ROWS)
+    if not 0 < hot.count() <= BROADCAST_ROWS:
+        return join_on(df, facts, by)
+    hot = F.broadcast(hot)
+    cool = join_on(join_on(df, hot.select(*by), by, "left_anti"), facts, by)
+    return cool.unionByName(join_on(df, hot, by, "inner"))
+
+
 def lay_out(
     df: DataFrame, rows: int, by: Sequence[str], order: Sequence[str], block_rows: int
 ) -> DataFrame:
     """The ``rows`` rows of ``df`` with their block number; blocks ascend with (by, order)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    n_blocks = rows // block_rows + 1
-    laid = (
-        df.withColumn(TIE, F.lit(0).cast("bigint"))
-        .repartitionByRange(n_blocks, *by, *order)
-        .withColumn(BLOCK, F.spark_partition_id())
-        .checkpoint()
-    )
-    most = laid.groupBy(BLOCK).count().agg(F.max("count")).first()[0]
-    if most is not None and most > 4 * block_rows:
-        # Rows that agree on (by, order) cannot be told apart by a range. The
-        # checkpoint has fixed their sequence, so number them and cut again.
-        laid = (
-            laid.withColumn(TIE, F.monotonically_increasing_id())
-            .repartitionByRange(n_blocks, *by, *order, TIE)
-            .withColumn(BLOCK, F.spark_partition_id())
-            .checkpoint()
-        )
+    n_blocks = min(rows // block_rows + 1, MAX_BLOCKS)
+
+    def cut(numbered: DataFrame) -> DataFrame:
+        ranged = numbered.repartitionByRange(n_blocks, *by, *order, TIE)
+        return settle(ranged.withColumn(BLOCK, F.spark_partition_id()), "blocks")
+
+    laid = cut(df.withColumn(TIE, F.lit(0).cast("bigint")))
+    most = laid.groupBy(BLOCK).count().agg(F.max("count")).first()[0] or 0
+    if most > 4 * max(block_rows, rows // n_blocks):
+        # Rows that agree on (by, order) cannot be told apart by a range. Now
+        # that they are stored their sequence is fixed: number them, cut again.
+        laid = cut(laid.drop(BLOCK).withColumn(TIE, F.monotonically_increasing_id()))
     return laid
 
 
