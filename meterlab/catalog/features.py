@@ -161,11 +161,11 @@ def rolling_time_week(spark, folder):
     return rounded(df, ["power_kw_7_days_std"])
 
 
-@registered(_rolling_time_sql(ONE_METER, "24 hours"))
+@registered(_rolling_time_sql(ONE_METER, "7 days"))
 def rolling_time_one_meter(spark, folder):
     df = one_meter(spark, folder)
-    df = m.rolling_time(df, scale=2, block_rows=100)
-    return rounded(_keyed(df), ["power_kw_24_hours_std"])
+    df = m.rolling_time(df, width="7 days", scale=2, block_rows=BLOCK_ROWS)
+    return rounded(_keyed(df), ["power_kw_7_days_std"])
 
 
 _DELTA = f"""WITH {{0}}

@@ -1,6 +1,6 @@
 """Column expressions shared by the operators."""
 
-from meterlab.functions.numeric import mean, not_a_number, number, total
+from meterlab.functions.numeric import known, mean, not_a_number, number, total
 from meterlab.functions.time import (
     bucket,
     from_micros,
@@ -16,6 +16,7 @@ __all__ = [
     "bucket",
     "from_micros",
     "is_fixed_width",
+    "known",
     "mean",
     "micros",
     "months",

@@ -24,6 +24,13 @@ def mean(value: Column, scale: int | None = None) -> Column:
     return F.try_divide(total(value, scale), F.count(value))
 
 
+def known(value: Column, dtype: DataType) -> Column:
+    """The value with NaN as NULL."""
+    if isinstance(dtype, (FloatType, DoubleType)):
+        return F.nanvl(value, F.lit(None).cast(dtype))
+    return value
+
+
 def not_a_number(value: Column, dtype: DataType) -> Column:
     """True where a floating-point column holds NaN; false for every other type."""
     if isinstance(dtype, (FloatType, DoubleType)):

@@ -8,17 +8,12 @@ from typing import Any
 from pyspark.ml.feature import Imputer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from meterlab.functions import mean, not_a_number
+from meterlab.functions import known, mean, not_a_number
 from meterlab.plans.blocks import BLOCK_ROWS, attach, over_ordered
 
 MISSING_TOKENS = ("", "?", "NA", "N/A", "NULL", "NaN")
 
 
-def _known(df: DataFrame, col: str) -> Column:
-    """The column with NaN as NULL."""
-    return F.when(~not_a_number(F.col(col), df.schema[col].dataType), F.col(col))
-
-
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None, wide: bool = False) -> DataFrame:
     """Rows, NULLs, NaNs and share missing of each column, in one pass.
 
@@ -82,11 +77,11 @@ def fill_mean(
     rows of a meter in one task.
     """
     by = list(by)
-    known = _known(df, col)
+    value = known(F.col(col), df.schema[col].dataType)
     if not by:
-        return df.withColumn(col, F.coalesce(known, df.agg(mean(known, scale)).scalar()))
-    with_mean = attach(df, by, mean(known, scale).alias("_mean"))
-    return with_mean.withColumn(col, F.coalesce(known, F.col("_mean"))).select(*df.columns)
+        return df.withColumn(col, F.coalesce(value, df.agg(mean(value, scale)).scalar()))
+    with_mean = attach(df, by, mean(value, scale).alias("_mean"))
+    return with_mean.withColumn(col, F.coalesce(value, F.col("_mean"))).select(*df.columns)
 
 
 def impute_stage(cols: Sequence[str], strategy: str = "mean", suffix: str = "_filled") -> Imputer:
@@ -113,7 +108,7 @@ def fill_forward(
     ``order`` should identify the row (for example ``("ts", "event_id")``), or
     readings at equal times come in no fixed order.
     """
-    clean = df.withColumn(col, _known(df, col))
+    clean = df.withColumn(col, known(F.col(col), df.schema[col].dataType))
 
     def last_known(series):
         so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)

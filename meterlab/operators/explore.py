@@ -7,11 +7,20 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterlab.functions import bucket, mean, total
+from meterlab.functions import bucket, known, mean, total
 from meterlab.operators.features import CALENDAR_PARTS
-from meterlab.plans.blocks import BLOCK_ROWS, attach, join_on, running_total, split_hot
+from meterlab.plans.blocks import (
+    BLOCK_ROWS,
+    attach,
+    has_group_above,
+    join_on,
+    running_total,
+    settle,
+)
 
 QUARTILES = (0.25, 0.5, 0.75)
+# ``percentile`` holds the distinct values of up to 128 groups at a time.
+PERCENTILE_ROWS = 50_000
 
 
 def trend(
@@ -71,17 +80,18 @@ def exact_quantiles(
     summed up in value order, and each quantile read off at its rank.
     """
     by = list(by)
-    value = F.col(col)
-    known = df.select(*by, value.cast("double").alias("_value")).where(
-        F.col("_value").isNotNull() & ~F.isnan("_value")
-    )
-    counted = known.groupBy(*by, "_value").agg(F.count("*").alias("_n"))
+    value = known(F.col(col), df.schema[col].dataType).cast("double")
+    values = df.select(*by, value.alias("_value")).where(F.col("_value").isNotNull())
+    counted = values.groupBy(*by, "_value").agg(F.count("*").alias("_n"))
+    if split != "never":
+        # Looked at, split and laid out: count once, keep the counts.
+        counted = settle(counted, "value-counts")
     ranked = running_total(counted, by, "_value", "_n", "_upto", block_rows, split)
     # Group sizes need no shuffle of values, so they are counted from the rows.
     if by:
-        ranked = attach(ranked, by, F.count("*").alias("_size"), of=known)
+        ranked = attach(ranked, by, F.count("*").alias("_size"), of=values)
     else:
-        ranked = ranked.withColumn("_size", known.agg(F.count("*")).scalar())
+        ranked = ranked.withColumn("_size", values.agg(F.count("*")).scalar())
     after, upto = F.col("_upto") - F.col("_n"), F.col("_upto")
     ends, results = [], []
     for q in quantiles:
@@ -113,11 +123,12 @@ def summarise(
     """Count, mean, spread, shape and quantiles of the known values, per group.
 
     Skewness and kurtosis are the population forms. Exact quantiles come from
-    ``percentile`` as long as no group exceeds ``block_rows`` rows, else from
-    :func:`exact_quantiles`; ``exact=False`` uses a sketch of fixed size.
+    ``percentile`` as long as no group exceeds ``PERCENTILE_ROWS`` (or
+    ``block_rows``, if that is less), else from :func:`exact_quantiles`;
+    ``exact=False`` uses a sketch of fixed size.
     """
     by = list(by)
-    value = F.col(col)
+    value = known(F.col(col), df.schema[col].dataType)
     moments = [
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),
@@ -134,7 +145,8 @@ def summarise(
 
     if not exact:
         return with_quantiles(lambda v, q: F.percentile_approx(v, q, 10_000))
-    if split == "never" or split_hot(df, by, block_rows)[1] is None:
+    few = min(block_rows, PERCENTILE_ROWS)
+    if split == "never" or not has_group_above(df, by, few):
         return with_quantiles(F.percentile)
     ordered = exact_quantiles(df, col, by, quantiles, block_rows)
     described = df.groupBy(*by).agg(*moments)

@@ -105,10 +105,13 @@ def regular_grid(
 def _value_at(
     df: DataFrame, col: str, offset: int, by: Sequence[str], ts: str, out: str
 ) -> DataFrame:
-    """Value of the same key ``offset`` microseconds away, by equi-join on (key, time)."""
+    """Value of the same key ``offset`` microseconds away, by equi-join on (key, time).
+
+    Empty steps offer nothing, so a sparse grid is joined with few rows.
+    """
     by = list(by)
     there = (
-        df.where(F.col(ts).isNotNull())
+        df.where(F.col(ts).isNotNull() & F.col(col).isNotNull())
         .select(*by, from_micros(micros(F.col(ts)) - offset).alias(ts), F.col(col))
         .groupBy(*by, ts)
         .agg(F.avg(col).alias(out))

@@ -87,6 +87,11 @@ def join_on(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "le
     return left.join(right, condition, how).drop(*hidden.values())
 
 
+def has_group_above(df: DataFrame, by: Sequence[str], rows: int) -> bool:
+    """Whether some group has more than so many rows."""
+    return not df.groupBy(*by).count().where(F.col("count") > rows).isEmpty()
+
+
 def split_hot(
     df: DataFrame,
     by: Sequence[str],

@@ -8,13 +8,13 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     DoubleType,
-    FloatType,
     LongType,
     StringType,
     StructField,
     StructType,
     TimestampNTZType,
 )
+from meterlab.functions import known
 
 READINGS_SCHEMA = StructType(
     [
@@ -52,8 +52,8 @@ def read_readings(
     columns = []
     for field in on_disk:
         value = F.col(field.name)
-        if nan_as_null and isinstance(field.dataType, (FloatType, DoubleType)):
-            value = F.nanvl(value, F.lit(None).cast(field.dataType))
+        if nan_as_null:
+            value = known(value, field.dataType)
         columns.append(value.alias(names.get(field.name, field.name)))
     return df.select(*columns)
 

@@ -107,3 +107,20 @@ def test_no_python_in_any_plan(spark, events):
     for df in (m.rolling_time(events), m.summarise(events), m.peaks(events), m.regular_grid(events)):
         assert "Python" not in physical(df)
         assert "CartesianProduct" not in physical(df) and "NestedLoop" not in physical(df)
+
+
+def test_a_large_date_is_written_by_several_tasks(spark, tmp_path):
+    """One date with nearly all rows does not end in one task."""
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 100 == 0, F.lit("2024-01-02")).otherwise(F.lit("2024-01-01")).cast("timestamp_ntz").alias("ts"),
+        F.xxhash64("id").alias("meter_id"),
+    )
+    wide = df.repartition(8)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        m.write_table(wide, str(tmp_path / "t"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(glob.glob(str(tmp_path / "t" / "date=2024-01-01" / "*.parquet"))) > 2
+    assert len(glob.glob(str(tmp_path / "t" / "date=2024-01-02" / "*.parquet"))) == 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000
