@@ -288,7 +288,8 @@ _SEASON = f"""WITH {_grid_sql(READINGS, "hour")}
 
 @registered(_SEASON.format("24 HOURS", "24_hours"))
 def seasonal_lag_day(spark, folder):
-    return m.seasonal_lag(_hourly(spark, folder), "power_kw_max", "24 hours", ts="bucket")
+    grid = _hourly(spark, folder)
+    return m.seasonal_lag(grid, "power_kw_max", "24 hours", ts="bucket", unique=True)
 
 
 @registered(_SEASON.format("7 DAYS", "7_days"))

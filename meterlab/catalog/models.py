@@ -114,7 +114,7 @@ def split_by_key(spark, folder):
     FROM grid"""
 )
 def direct_label(spark, folder):
-    return m.direct_label(_hourly(spark, folder), "power_kw_max", 3)
+    return m.direct_label(_hourly(spark, folder), "power_kw_max", 3, unique=True)
 
 
 _NAIVE_MEAN = f"""WITH {{0}}, past AS (
@@ -150,7 +150,8 @@ def _last(spark, folder):
 
 
 def _season(spark, folder):
-    return m.naive_forecast(_hourly(spark, folder), "season", "power_kw_max", ts="bucket")
+    grid = _hourly(spark, folder)
+    return m.naive_forecast(grid, "season", "power_kw_max", ts="bucket", unique=True)
 
 
 _LAST = """last AS (
@@ -316,7 +317,8 @@ def forecast_from_stored_table(spark, folder):
 def gbt_forecast_three_hours_ahead(spark, folder):
     """The label is the value three hours later; every feature is known at the forecast."""
     grid = m.regular_grid(readings_signal(spark, folder), "hour", aggs=("max",), col="target")
-    df = m.calendar_features(m.direct_label(grid, "target_max", 3), "bucket", _CALENDAR)
+    df = m.direct_label(grid, "target_max", 3, unique=True)
+    df = m.calendar_features(df, "bucket", _CALENDAR)
     df = m.drop_missing(df, ["label", "target_max"])
     training, test = m.split_by_time(df, CUTOFF, ts="bucket")
     model = m.train(training, [*_CALENDAR, "target_max"], params={"maxIter": 2, "maxDepth": 3})

@@ -51,9 +51,10 @@ def naive_forecast(
     scale: int | None = None,
     block_rows: int = BLOCK_ROWS,
     split: str = "auto",
+    unique: bool = False,
 ) -> DataFrame:
     """Add ``forecast``: ``"mean"`` of the key before ``cutoff``, ``"last"`` reading,
-    or the ``"season"`` value one period earlier (on a grid)."""
+    or the ``"season"`` value one period earlier (on a grid, which is ``unique``)."""
     by = list(by)
     if kind == "last":
         lagged = lag_features(
@@ -61,7 +62,7 @@ def naive_forecast(
         )
         return lagged.withColumnRenamed(f"{col}_lag_1", "forecast")
     if kind == "season":
-        return seasonal_lag(df, col, period, by, ts, out="forecast")
+        return seasonal_lag(df, col, period, by, ts, out="forecast", unique=unique)
     if kind == "mean":
         if cutoff is None:
             raise ValueError("the mean forecast needs the cutoff that ends the training part")

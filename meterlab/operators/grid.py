@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterlab.functions import (
     bucket,
@@ -16,6 +16,7 @@ from meterlab.functions import (
     total,
     width_micros,
 )
+from meterlab.plans.blocks import join_on
 
 STEP_STATS = ("sum", "mean", "min", "max")
 _CHUNK = 10_000
@@ -103,20 +104,32 @@ def regular_grid(
 
 
 def _value_at(
-    df: DataFrame, col: str, offset: int, by: Sequence[str], ts: str, out: str
+    df: DataFrame, col: str, offset: int, by: Sequence[str], ts: str, out: str, unique: bool
 ) -> DataFrame:
-    """Value of the same key ``offset`` microseconds away, by equi-join on (key, time).
+    """Value of the same key ``offset`` microseconds away, for rows equal in (key, time).
 
-    Empty steps offer nothing, so a sparse grid is joined with few rows.
+    Each known value is offered to the time it is wanted at. Empty steps offer
+    nothing, so a sparse grid costs few offers.
     """
     by = list(by)
-    there = (
-        df.where(F.col(ts).isNotNull() & F.col(col).isNotNull())
-        .select(*by, from_micros(micros(F.col(ts)) - offset).alias(ts), F.col(col))
-        .groupBy(*by, ts)
-        .agg(F.avg(col).alias(out))
+    wanted_at = from_micros(micros(F.col(ts)) - offset)
+    offered = F.col(ts).isNotNull() & F.col(col).isNotNull()
+    if not unique:
+        offers = df.where(offered).select(*by, wanted_at.alias(ts), F.col(col))
+        means = offers.groupBy(*by, ts).agg(F.avg(col).alias(out))
+        return join_on(df, means, [*by, ts]).select(*df.columns, out)
+    # Rows and offers meet in one shuffle, and the input is evaluated once. A
+    # group holds one row and one offer, whatever the distribution of keys.
+    both = F.array(
+        F.struct(F.lit(True).alias("_row"), F.col(ts).alias("_at")),
+        F.struct(F.lit(False).alias("_row"), wanted_at.alias("_at")),
     )
-    return df.join(there, [*by, ts], "left").select(*df.columns, out)
+    unfolded = df.select("*", F.inline(both)).where(F.col("_row") | offered)
+    payload = [c for c in df.columns if c not in (*by, col)]
+    narrow = unfolded.withColumns({c: F.when(F.col("_row"), F.col(c)) for c in payload})
+    offer = F.when(~F.col("_row"), F.col(col))
+    met = narrow.withColumn(out, F.avg(offer).over(Window.partitionBy(*by, "_at")))
+    return met.where(F.col("_row")).select(*df.columns, out)
 
 
 def seasonal_lag(
@@ -126,15 +139,17 @@ def seasonal_lag(
     by: Sequence[str] = ("meter_id",),
     ts: str = "ts",
     out: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """``<col>_<period>_ago``: the value exactly one period earlier, else NULL.
 
-    Meant for grids. The join key holds the time, so even one meter spreads over
-    the cluster. Readings at equal times count with their mean, and every input
-    row comes out once. A row without a key has no series and gets NULL.
+    The time is part of the key, so even one meter spreads over the cluster.
+    ``unique=True`` promises at most one row per key and time, as grids have,
+    and saves a join. Without it readings at equal times count with their mean,
+    and any number of them is allowed. Every input row comes out once.
     """
     name = out or f"{col}_{'_'.join(period.split())}_ago"
-    return _value_at(df, col, -width_micros(period), by, ts, name)
+    return _value_at(df, col, -width_micros(period), by, ts, name, unique)
 
 
 def direct_label(
@@ -145,6 +160,10 @@ def direct_label(
     by: Sequence[str] = ("meter_id",),
     ts: str = "bucket",
     out: str = "label",
+    unique: bool = False,
 ) -> DataFrame:
-    """The value h steps later on a regular grid: the label of a forecast h steps ahead."""
-    return _value_at(df, col, h * width_micros(step), by, ts, out)
+    """The value h steps later on a regular grid: the label of a forecast h steps ahead.
+
+    ``unique`` is as in :func:`seasonal_lag`.
+    """
+    return _value_at(df, col, h * width_micros(step), by, ts, out, unique)

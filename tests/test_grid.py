@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from tiny import at, by_key, table
 
@@ -63,16 +64,27 @@ def test_grid_without_a_key(spark):
     assert {r.bucket: r.n_readings for r in df.collect()}[at("2024-01-02 00:00:00")] == 0
 
 
-def test_seasonal_lag_and_direct_label(spark):
-    df = m.regular_grid(table(spark, ROWS).where("meter_id = 1"), aggs=("max",))
-    df = m.seasonal_lag(df, "power_kw_max", "2 hours", ts="bucket")
-    df = m.direct_label(df, "power_kw_max", 3)
+@pytest.mark.parametrize("unique", [False, True])
+def test_seasonal_lag_and_direct_label(spark, unique):
+    df = m.regular_grid(table(spark, ROWS), aggs=("max",))
+    df = m.seasonal_lag(df, "power_kw_max", "2 hours", ts="bucket", unique=unique)
+    df = m.direct_label(df, "power_kw_max", 3, unique=unique)
     got = cells(df, "power_kw_max_2_hours_ago", "label")
+    assert len(got) == df.count() == 8
+    assert got[None, at("2024-01-01 02:00:00")] == (7.0, None)
     assert got[1, at("2024-01-02 00:00:00")] == (3.0, None)
     assert got[1, at("2024-01-01 22:00:00")] == (None, 5.0)
 
 
 def test_seasonal_lag_keeps_every_row(spark):
     df = table(spark, ROWS).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3))))
-    assert m.seasonal_lag(df).count() == 21
+    assert m.seasonal_lag(df).count() == m.seasonal_lag(df, unique=True).count() == 21
     assert set(by_key(m.seasonal_lag(df, period="150 minutes"), "power_kw_150_minutes_ago")) == set(range(7))
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_readings_at_equal_times_count_with_their_mean(spark, unique):
+    rows = [(1, "2024-01-01 00:00:00", 2.0), (1, "2024-01-01 00:00:00", 4.0)]
+    rows += [(1, "2024-01-02 00:00:00", v) for v in (5.0, None)]
+    got = by_key(m.seasonal_lag(table(spark, rows), unique=unique), "power_kw", "power_kw_24_hours_ago")
+    assert got == {0: (2.0, None), 1: (4.0, None), 2: (5.0, 3.0), 3: (None, 3.0)}

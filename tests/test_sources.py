@@ -98,6 +98,13 @@ def test_grid_joins_nothing(events):
     assert "Join" not in physical(m.regular_grid(events))
 
 
+def test_a_grid_and_its_earlier_values_need_one_more_shuffle(events):
+    grid = m.regular_grid(events, aggs=("max",))
+    both = m.seasonal_lag(grid, "power_kw_max", ts="bucket", unique=True)
+    assert physical(both).count("Exchange") == physical(grid).count("Exchange") + 1
+    assert "Join" not in physical(both)
+
+
 def test_trend_aggregates_before_its_shuffle(events):
     text = physical(m.trend(events))
     assert text.count("HashAggregate") == 2 and text.count("Exchange") == 1
