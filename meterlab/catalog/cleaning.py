@@ -24,6 +24,7 @@ from meterlab.catalog.fixtures import (
     readings_raw,
 )
 from meterlab.catalog.registry import exact_mean, registered, round_sql, rounded
+from meterlab.plans.blocks import scratch_path
 
 _RAW_PATTERN = "d/M/yyyy HH:mm:ss"
 _RAW_SCHEMA = StructType(
@@ -160,11 +161,14 @@ def to_number(spark, folder):
 
 @registered(
     f"""WITH {READINGS_RAW}
-    SELECT event_id, try_cast(split_part(power_text, '.', 1) AS BIGINT) AS whole FROM readings"""
+    SELECT event_id,
+           CAST(try_cast(split_part(power_text, '.', 1) AS BIGINT) AS DOUBLE) AS whole
+    FROM readings"""
 )
 def to_whole_number(spark, folder):
     whole = F.split_part("power_text", F.lit("."), F.lit(1)).alias("whole")
-    return m.to_number(readings_raw(spark, folder).select("event_id", whole), ["whole"], "bigint")
+    df = m.to_number(readings_raw(spark, folder).select("event_id", whole), ["whole"], "bigint")
+    return df.withColumn("whole", F.col("whole").cast("double"))
 
 
 @registered(f"WITH {READINGS_RAW} SELECT event_id, {_PARSED} AS ts FROM readings")
@@ -226,8 +230,6 @@ _TEXT_SCHEMA = StructType(
 )
 def clean_text_table(spark, folder):
     """Text file to typed, complete rows: read, mark missing, convert, drop."""
-    from meterlab.plans.blocks import scratch_path
-
     path = scratch_path(spark, "text")
     readings_raw(spark, folder).write.csv(path, sep=";", header=True)
     raw = m.read_raw_text(spark, path, _TEXT_SCHEMA.names, sep=";")

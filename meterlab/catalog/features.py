@@ -170,20 +170,27 @@ def rolling_time_one_meter(spark, folder):
 
 _DELTA = f"""WITH {{0}}
     SELECT event_id, {round_sql(f"power_kw - lag(power_kw) {_SERIES}", "power_kw_delta")},
-           date_sub('second', lag(ts) {_SERIES}, ts) AS seconds_since_previous
+           CAST(date_sub('second', lag(ts) {_SERIES}, ts) AS DOUBLE)
+             AS seconds_since_previous
     FROM readings"""
 
 
+def _changes(df):
+    seconds = F.col("seconds_since_previous").cast("double")
+    df = _keyed(df.withColumn("seconds_since_previous", seconds))
+    return rounded(df, ["power_kw_delta"])
+
+
 @registered(_DELTA.format(READINGS))
 def delta_features(spark, folder):
-    df = _keyed(m.delta_features(readings(spark, folder), order=ORDER))
-    return rounded(df, ["power_kw_delta"])
+    return _changes(m.delta_features(readings(spark, folder), order=ORDER))
 
 
 @registered(_DELTA.format(ONE_METER))
 def delta_features_one_meter(spark, folder):
-    df = m.delta_features(one_meter(spark, folder), order=ORDER, block_rows=BLOCK_ROWS)
-    return rounded(_keyed(df), ["power_kw_delta"])
+    return _changes(
+        m.delta_features(one_meter(spark, folder), order=ORDER, block_rows=BLOCK_ROWS)
+    )
 
 
 @registered(

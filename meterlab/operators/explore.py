@@ -215,15 +215,14 @@ def share(
 ) -> DataFrame:
     """Each group's total and its part of the total of the period.
 
-    The totals of a period come from the groups' totals by a second grouping,
-    since a window would gather all groups of a period in one task.
+    A window would gather all groups of a period in one task. The periods are
+    few, so their totals are found apart and brought to the groups.
     """
-    groups = df.groupBy(bucket(F.col(ts), period).alias("bucket"), *by).agg(
-        total(F.col(col), scale).alias("total")
-    )
-    periods = groups.groupBy("bucket").agg(total(F.col("total"), scale).alias("_all"))
+    timed = df.withColumn("bucket", bucket(F.col(ts), period))
+    sums = total(F.col(col), scale)
+    groups = timed.groupBy("bucket", *by).agg(sums.alias("total"))
     return (
-        join_on(groups, periods, ["bucket"])
+        attach(groups, ["bucket"], sums.alias("_all"), of=timed)
         .withColumn("share", F.try_divide(F.col("total"), F.col("_all")))
         .drop("_all")
     )

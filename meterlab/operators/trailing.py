@@ -21,7 +21,9 @@ from meterlab.plans.blocks import (
     BLOCK,
     BLOCK_ROWS,
     BROADCAST_ROWS,
+    ROWS,
     Hot,
+    attach_table,
     carried,
     join_on,
     lay_out,
@@ -197,7 +199,7 @@ def rolling_time(
         instants = (
             rows.select(*by, micros(F.col(ts)).alias(_POS), *[c.alias(s) for s, c in parts.items()])
             .groupBy(*by, _POS)
-            .agg(*[_AGGREGATE[_MERGE[s]](s).alias(s) for s in state])
+            .agg(F.count("*").alias(ROWS), *[_AGGREGATE[_MERGE[s]](s).alias(s) for s in state])
         )
         doubled = _own_and_history(instants, span)
         laid = lay_out(doubled, 2 * hot.rows, group, [_POS, _HISTORY], block_rows)
@@ -216,9 +218,9 @@ def rolling_time(
             ~F.col(_HISTORY) & ~F.col(_CARRIED)
         )
         framed = framed.select(
-            *by, from_micros(F.col(_POS)).alias(ts), *[v.alias(c) for c, v in result.items()]
+            *by, from_micros(F.col(_POS)).alias(ts), ROWS, *[v.alias(c) for c, v in result.items()]
         )
-        return join_on(hot.df, framed, [*by, ts]).select(*hot.df.columns, *result)
+        return attach_table(hot.df, [*by, ts], framed, block_rows)
 
     if split == "never":
         return short(df)

@@ -37,8 +37,8 @@ BROADCAST_ROWS = 100_000
 
 BLOCK = "_block"
 TIE = "_tie"
+ROWS = "_rows"
 _COPY = "_copy"
-_ROWS = "_rows"
 _POS = "_pos"
 
 
@@ -108,15 +108,15 @@ def split_hot(
     """
     by = list(by)
     keyed = df.withColumns(dict(within)) if within else df
-    groups = keyed.groupBy(*by, *(within or {})).agg(F.count("*").alias(_ROWS))
+    groups = keyed.groupBy(*by, *(within or {})).agg(F.count("*").alias(ROWS))
     keys = (
         groups.groupBy(*by)
-        .agg(F.sum(_ROWS).alias(_ROWS), F.max(_ROWS).alias("_most"))
+        .agg(F.sum(ROWS).alias(ROWS), F.max(ROWS).alias("_most"))
         .where(F.col("_most") > block_rows)
         if within
-        else groups.where(F.col(_ROWS) > block_rows)
+        else groups.where(F.col(ROWS) > block_rows)
     )
-    found = keys.agg(F.count("*").alias("keys"), F.sum(_ROWS).alias("rows")).first()
+    found = keys.agg(F.count("*").alias("keys"), F.sum(ROWS).alias("rows")).first()
     if not found.keys:
         return df, None
     if not by:
@@ -131,19 +131,26 @@ def split_hot(
 def attach(
     df: DataFrame, by: Sequence[str], *aggs: Column, of: DataFrame | None = None
 ) -> DataFrame:
-    """Add to each row the aggregates of its key, taken from ``of`` (or ``df`` itself).
+    """Add to each row the aggregates of its key, taken from ``of`` (or ``df`` itself)."""
+    source = df if of is None else of
+    return attach_table(df, by, source.groupBy(*by).agg(F.count("*").alias(ROWS), *aggs))
+
 
-    The aggregates are computed once and stored. Few keys are broadcast, so that
-    the rows need no shuffle. Otherwise the keys with the most rows are, and only
-    the rows of the other keys are shuffled.
+def attach_table(
+    df: DataFrame, by: Sequence[str], table: DataFrame, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """Left join with a table of one row per key, whose ``ROWS`` says how many rows the key has.
+
+    The table is computed once and stored. Few keys are broadcast, so that the
+    rows need no shuffle. Otherwise the keys with the most rows are, and only the
+    rows of the other keys are shuffled.
     """
     by = list(by)
-    source = df if of is None else of
-    table = settle(source.groupBy(*by).agg(F.count("*").alias(_ROWS), *aggs), "per-key")
-    facts = table.drop(_ROWS)
+    table = settle(table, "per-key")
+    facts = table.drop(ROWS)
     if table.count() <= BROADCAST_ROWS:
         return join_on(df, F.broadcast(facts), by)
-    hot = table.where(F.col(_ROWS) > BLOCK_ROWS).drop(_ROWS)
+    hot = table.where(F.col(ROWS) > block_rows).drop(ROWS)
     if not 0 < hot.count() <= BROADCAST_ROWS:
         return join_on(df, facts, by)
     hot = F.broadcast(hot)

@@ -12,13 +12,13 @@ from meterlab.plans import blocks
 ORDER = ["ts", "event_id"]
 
 
-def readings(spark, seed, n=700, ties=True):
+def readings(spark, seed, n=300):
     """One meter with most rows, the NULL meter with many, others with few; gaps and ties."""
     rng = random.Random(seed)
     rows = []
     for _ in range(n):
         meter = rng.choices([1, None, 2, 3, 4], [60, 25, 5, 5, 5])[0]
-        second = rng.randrange(40 if ties else 10**6) * 3_600
+        second = rng.randrange(40) * 3_600
         value = None if rng.random() < 0.7 else round(rng.gauss(5, 2), 2)
         rows.append((meter, second, value))
     data = [(i, meter, s, v) for i, (meter, s, v) in enumerate(rows)]
@@ -57,7 +57,7 @@ def test_rolling_time_equals_the_plain_range_frame(spark, seed):
              RANGE BETWEEN INTERVAL '0 05:00:00' DAY TO SECOND PRECEDING
              AND INTERVAL '0 00:00:00.000001' DAY TO SECOND PRECEDING)"""
     )
-    for block_rows in (8, 60, 1_000_000):
+    for block_rows in (8, 1_000_000):
         same_rows(m.rolling_time(df, width="5 hours", block_rows=block_rows), plain)
     df.unpersist()
 
@@ -89,7 +89,7 @@ def test_copies_of_one_row_are_spread_over_blocks(spark):
 
 def test_split_parts_the_keys_and_counts_them(spark):
     df = readings(spark, 5)
-    light, hot = blocks.split_hot(df, ["meter_id"], 100)
+    light, hot = blocks.split_hot(df, ["meter_id"], 40)
     assert hot.keys == 2 and hot.rows == hot.df.count()
     assert {r.meter_id for r in hot.df.select("meter_id").distinct().collect()} == {1, None}
     assert light.count() + hot.rows == df.count()
@@ -125,3 +125,40 @@ def test_scratch_tables_go_to_the_checkpoint_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         assert named.rstrip("/") in folder
+
+
+def test_hot_times_beyond_the_broadcast_bound(spark, monkeypatch):
+    """A time with many copies is joined by broadcast, the other times by shuffle."""
+    rows = [(1, "2024-01-01 10:00:00", 1.0 * i) for i in range(60)]
+    rows += [(1, f"2024-01-01 {h:02d}:30:00", 2.0) for h in range(24)]
+    df = table(spark, rows)
+    expected = m.rolling_time(df, split="never")
+    monkeypatch.setattr(blocks, "BROADCAST_ROWS", 5)
+    same_rows(m.rolling_time(df, block_rows=20), expected)
+
+
+def test_adaptive_execution_splits_a_hot_join_key(spark):
+    """Rows at one time are split where values an hour earlier are joined by shuffle."""
+    df = spark.range(40_000).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("meter_id"),
+        F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, int(id % 2))").alias("ts"),
+        F.col("id").cast("double").alias("power_kw"),
+    )
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        joined = m.seasonal_lag(df.repartition(8), period="1 hour")
+        rows = joined.collect()
+        text = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert len(rows) == 40_000
+    assert "SortMergeJoin(skew=true)" in text
