@@ -39,6 +39,14 @@ def session() -> SparkSession:
     return spark
 
 
+def scale() -> float | str:
+    name = os.path.basename(FOLDER.rstrip("/"))
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -60,7 +68,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
+                "sf": scale(),
             }
         )
     )

@@ -134,6 +134,13 @@ def rolling_rows_one_meter(spark, folder):
     return rounded(_keyed(df), ["power_kw_roll_10_std"])
 
 
+@registered(_rolling_sql(ONE_METER, 1_000))
+def rolling_many_rows_one_meter(spark, folder):
+    df = one_meter(spark, folder)
+    df = m.rolling_rows(df, n=1_000, order=ORDER, scale=2, block_rows=BLOCK_ROWS)
+    return rounded(_keyed(df), ["power_kw_roll_1000_std"])
+
+
 def _rolling_time_sql(table: str, width: str) -> str:
     frame = (
         f"OVER (PARTITION BY meter_id ORDER BY ts RANGE BETWEEN INTERVAL {width} PRECEDING "

@@ -86,7 +86,7 @@ def exact_quantiles(
     if split != "never":
         # Looked at, split and laid out: count once, keep the counts.
         counted = settle(counted, "value-counts")
-    ranked = running_total(counted, by, "_value", "_n", "_upto", block_rows, split)
+    ranked = running_total(counted, by, ["_value"], "_n", "_upto", block_rows, split)
     # Group sizes need no shuffle of values, so they are counted from the rows.
     if by:
         ranked = attach(ranked, by, F.count("*").alias("_size"), of=values)

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterlab.functions import seconds_between
+from meterlab.operators.trailing import rolling_many_rows
 from meterlab.plans.blocks import BLOCK_ROWS, over_ordered
 
 CALENDAR_PARTS = {
@@ -29,6 +30,8 @@ CALENDAR_PARTS = {
 # part -> (length of the cycle, first value)
 _CYCLES = {"hour": (24, 0), "weekday": (7, 0), "month": (12, 1), "minute": (60, 0)}
 ROLLING_STATS = ("mean", "std", "min", "max")
+# A sliding frame adds up its rows anew for each row; wider ones are built otherwise.
+SLIDING_ROWS = 256
 
 
 def calendar_features(
@@ -108,7 +111,16 @@ def history_features(
     block_rows: int = BLOCK_ROWS,
     split: str = "auto",
 ) -> DataFrame:
-    """Lags, trailing row statistics and change together: one shuffle and one sort for all."""
+    """Lags, trailing row statistics and change together: one shuffle and one sort for all.
+
+    Trailing statistics of more than ``SLIDING_ROWS`` rows take steps of their own.
+    """
+    many = [n for n in rolling if n > SLIDING_ROWS]
+    rolling = [n for n in rolling if n <= SLIDING_ROWS]
+    for n in many:
+        df = rolling_many_rows(df, col, n, stats, by, order, scale, block_rows, split)
+    if not (lags or rolling or delta):
+        return df
 
     def build(series) -> Mapping[str, Column]:
         columns = _lag_columns(series, col, lags)

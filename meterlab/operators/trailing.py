@@ -1,4 +1,4 @@
-"""Trailing statistics by time.
+"""Trailing statistics over wide frames, by time or by rows.
 
 A sliding RANGE frame adds up its rows anew for each row: 86,400 steps per row
 for one day of seconds. Instead time is cut into cells of the frame's own width
@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from meterlab.functions import from_micros, micros, width_micros
+from meterlab.functions import micros, width_micros
 from meterlab.plans.blocks import (
     BLOCK,
     BLOCK_ROWS,
@@ -27,6 +27,7 @@ from meterlab.plans.blocks import (
     carried,
     join_on,
     lay_out,
+    running_total,
     split_hot,
 )
 
@@ -37,6 +38,8 @@ _CELL = "_cell"
 _HISTORY = "_history"
 _CARRIED = "_carried"
 _FAR = 2**62
+_ONE = "_one"
+_NUMBER = "_number"
 
 # The parts of a frame's state, how two states merge, and what needs which part.
 _MERGE = {"_n": "sum", "_sum": "sum", "_low": "min", "_high": "max", "_s1": "sum", "_s2": "sum"}
@@ -152,10 +155,62 @@ def rolling_time(
     Rows without a time get NULL. Keys with more than ``block_rows`` rows within
     one width are worked on in blocks.
     """
+    prefix = f"{col}_{'_'.join(width.split())}"
+    position = micros(F.col(ts))
+    return _trailing(
+        df, col, position, width_micros(width), stats, prefix, by, scale, block_rows, split
+    )
+
+
+def rolling_many_rows(
+    df: DataFrame,
+    col: str,
+    n: int,
+    stats: Sequence[str],
+    by: Sequence[str],
+    order: Sequence[str],
+    scale: int | None = None,
+    block_rows: int = BLOCK_ROWS,
+    split: str = "auto",
+) -> DataFrame:
+    """``<col>_roll_<n>_<stat>`` of the last n readings, for large n.
+
+    Readings are numbered within their key. The number then takes the place of
+    the time: the last n readings are those numbered ``[number - n, number)``.
+    """
+    counted = df.withColumn(_ONE, F.lit(1).cast("bigint"))
+    numbered = running_total(counted, by, order, _ONE, _NUMBER, block_rows, split).drop(_ONE)
+    return _trailing(
+        numbered,
+        col,
+        F.col(_NUMBER),
+        n,
+        stats,
+        f"{col}_roll_{n}",
+        by,
+        scale,
+        block_rows,
+        split,
+    ).drop(_NUMBER)
+
+
+def _trailing(
+    df: DataFrame,
+    col: str,
+    position: Column,
+    span: int,
+    stats: Sequence[str],
+    prefix: str,
+    by: Sequence[str],
+    scale: int | None,
+    block_rows: int,
+    split: str,
+) -> DataFrame:
+    """Statistics of the rows of the key at positions ``[position - span, position)``."""
     unknown = [s for s in stats if s not in _NEEDS]
     if unknown:
         raise ValueError(f"unknown statistics: {unknown}")
-    by, span = list(by), width_micros(width)
+    by = list(by)
     needs = set().union(*[_NEEDS[s] for s in stats])
     value = F.col(col)
     exact = value.cast("double") if scale is None else value.cast(f"decimal(18,{scale})")
@@ -166,23 +221,24 @@ def rolling_time(
         "_high": value,
     }
     single = {s: c for s, c in single.items() if s in needs}
-    result = _statistics(f"{col}_{'_'.join(width.split())}", stats)
+    result = _statistics(prefix, stats)
 
     def short(rows: DataFrame) -> DataFrame:
         plain = single | {"_value": value.cast("double")}
-        placed = rows.withColumns({_POS: micros(F.col(ts))} | plain)
+        placed = rows.withColumns({_POS: position} | plain)
         payload = [c for c in rows.columns if c not in by]
         doubled = _own_and_history(placed, span, payload)
         framed = _merged(
             doubled, [*by, _CELL], list(single), "_value" if "std" in stats else None
         ).where(~F.col(_HISTORY))
-        timed = F.col(_POS).isNotNull()
-        return framed.withColumns({c: F.when(timed, v) for c, v in result.items()}).select(
+        placed = F.col(_POS).isNotNull()
+        return framed.withColumns({c: F.when(placed, v) for c, v in result.items()}).select(
             *rows.columns, *result
         )
 
     def long(hot: Hot) -> DataFrame:
-        rows, parts = hot.df.where(F.col(ts).isNotNull()), dict(single)
+        placed = hot.df.withColumn(_POS, position)
+        rows, parts = placed.where(F.col(_POS).isNotNull()), dict(single)
         if "std" in stats:
             # Squares are added up about the mean of the key, else large values
             # with a small spread would cancel out.
@@ -195,9 +251,9 @@ def rolling_time(
             away = value.cast("double") - F.col("_centre")
             parts |= {"_s1": away, "_s2": away * away}
         state, group = list(parts), [*by, _CELL]
-        # One row per time, so that no two rows of a cell tie.
+        # One row per position, so that no two rows of a cell tie.
         instants = (
-            rows.select(*by, micros(F.col(ts)).alias(_POS), *[c.alias(s) for s, c in parts.items()])
+            rows.select(*by, _POS, *[c.alias(s) for s, c in parts.items()])
             .groupBy(*by, _POS)
             .agg(F.count("*").alias(ROWS), *[_AGGREGATE[_MERGE[s]](s).alias(s) for s in state])
         )
@@ -206,25 +262,23 @@ def rolling_time(
         together = laid.withColumn(_CARRIED, F.lit(False))
         # Own readings of earlier blocks count as one reading before all others
         # of the block, history of later blocks as one after all others.
-        for history, position in ((False, -_FAR), (True, _FAR)):
+        for history, end in ((False, -_FAR), (True, _FAR)):
             side = F.col(_HISTORY) if history else ~F.col(_HISTORY)
             masked = laid.withColumns({s: F.when(side, F.col(s)) for s in state})
             copies = carried(masked, group, {s: _MERGE[s] for s in state}, forward=not history)
             copies = copies.withColumns(
-                {_HISTORY: F.lit(history), _POS: F.lit(position), _CARRIED: F.lit(True)}
+                {_HISTORY: F.lit(history), _POS: F.lit(end), _CARRIED: F.lit(True)}
             )
             together = together.unionByName(copies, allowMissingColumns=True)
         framed = _merged(together, [*group, BLOCK], state, None).where(
             ~F.col(_HISTORY) & ~F.col(_CARRIED)
         )
-        framed = framed.select(
-            *by, from_micros(F.col(_POS)).alias(ts), ROWS, *[v.alias(c) for c, v in result.items()]
-        )
-        return attach_table(hot.df, [*by, ts], framed, block_rows)
+        framed = framed.select(*by, _POS, ROWS, *[v.alias(c) for c, v in result.items()])
+        return attach_table(placed, [*by, _POS], framed, block_rows).drop(_POS)
 
     if split == "never":
         return short(df)
-    light, hot = split_hot(df, by, block_rows, within={_CELL: _cell(micros(F.col(ts)), span)})
+    light, hot = split_hot(df, by, block_rows, within={_CELL: _cell(position, span)})
     parts = [] if light is None else [short(light)]
     if hot is not None:
         parts.append(long(hot))

@@ -278,24 +278,24 @@ def carried(
 def running_total(
     df: DataFrame,
     by: Sequence[str],
-    order: str,
+    order: Sequence[str],
     col: str,
     out: str,
     block_rows: int = BLOCK_ROWS,
     split: str = "auto",
 ) -> DataFrame:
     """Cumulative sum of ``col`` in the order of ``order``, current row included."""
-    by = list(by)
-    plain = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    by, order = list(by), list(order)
+    plain = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     light, hot = (df, None) if split == "never" else split_hot(df, by, block_rows)
     parts = [] if light is None else [light.withColumn(out, F.sum(col).over(plain))]
     if hot is not None:
-        laid = lay_out(hot.df, hot.rows, by, [order], block_rows)
+        laid = lay_out(hot.df, hot.rows, by, order, block_rows)
         before = carried(laid, by, {col: "sum"}).withColumn(_COPY, F.lit(True))
         first = F.col(_COPY).desc()
         inside = (
             Window.partitionBy(*by, BLOCK)
-            .orderBy(first, order, TIE)
+            .orderBy(first, *order, TIE)
             .rowsBetween(Window.unboundedPreceding, 0)
         )
         parts.append(

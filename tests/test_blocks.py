@@ -114,8 +114,8 @@ def test_empty_table(spark):
 def test_running_total_in_blocks(spark):
     df = readings(spark, 8).withColumn("one", F.lit(1).cast("bigint"))
     same_rows(
-        blocks.running_total(df, ["meter_id"], "event_id", "one", "upto", block_rows=15),
-        blocks.running_total(df, ["meter_id"], "event_id", "one", "upto", split="never"),
+        blocks.running_total(df, ["meter_id"], ["event_id"], "one", "upto", block_rows=15),
+        blocks.running_total(df, ["meter_id"], ["event_id"], "one", "upto", split="never"),
     )
 
 
@@ -162,3 +162,15 @@ def test_adaptive_execution_splits_a_hot_join_key(spark):
             spark.conf.unset(name)
     assert len(rows) == 40_000
     assert "SortMergeJoin(skew=true)" in text
+
+
+@pytest.mark.parametrize("by", [("meter_id",), ()])
+def test_many_trailing_rows_equal_the_sliding_frame(spark, monkeypatch, by):
+    from meterlab.operators import features
+
+    df = readings(spark, 9)
+    settings = {"n": 30, "by": by, "order": ORDER}
+    sliding = m.rolling_rows(df, **settings, split="never")
+    monkeypatch.setattr(features, "SLIDING_ROWS", 29)
+    same_rows(m.rolling_rows(df, **settings, split="never"), sliding)
+    same_rows(m.rolling_rows(df, **settings, block_rows=20), sliding)
