@@ -170,14 +170,11 @@ def correlations(spark, folder):
 
 @registered(
     f"""WITH {READINGS}, sums AS (
-      SELECT date_trunc('day', ts) AS bucket, channel, {exact_sum("power_kw")} AS total
-      FROM readings GROUP BY 1, 2)
-    SELECT CAST(bucket AS TIMESTAMP) AS bucket, channel, total, total / {exact_sum("total")}
-             OVER (PARTITION BY bucket) AS share
-    FROM sums""".replace(
-        f"{exact_sum('total')}\n             OVER (PARTITION BY bucket)",
-        "CAST(sum(CAST(total AS DECIMAL(18,2))) OVER (PARTITION BY bucket) AS DOUBLE)",
-    )
+      SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS bucket, channel,
+             {exact_sum("power_kw")} AS total
+      FROM readings GROUP BY 1, 2),
+    days AS (SELECT bucket, {exact_sum("total")} AS day_total FROM sums GROUP BY bucket)
+    SELECT bucket, channel, total, total / day_total AS share FROM sums JOIN days USING (bucket)"""
 )
 def share_per_day(spark, folder):
     return m.share(readings(spark, folder), scale=2)

@@ -64,7 +64,6 @@ def calendar_flags(spark, folder):
     return long_ints(_keyed(m.calendar_flags(readings(spark, folder))))
 
 
-_TURN = "2 * pi() * {0}"
 _CYCLES = ",\n".join(
     round_sql(f"{f}(2 * pi() * {part} / {length}.0)", f"{name}_{f}")
     for name, part, length in (
@@ -83,7 +82,10 @@ def cyclic_features(spark, folder):
 
 
 _SERIES = "OVER (PARTITION BY meter_id ORDER BY ts, event_id)"
-_LAST = "OVER (PARTITION BY meter_id ORDER BY ts, event_id ROWS BETWEEN {0} PRECEDING AND 1 PRECEDING)"
+_LAST = (
+    "OVER (PARTITION BY meter_id ORDER BY ts, event_id "
+    "ROWS BETWEEN {0} PRECEDING AND 1 PRECEDING)"
+)
 
 _LAGS = f"""WITH {{0}}
     SELECT event_id, lag(power_kw, 1) {_SERIES} AS power_kw_lag_1,
@@ -266,7 +268,8 @@ def _grid_sql(table: str, step: str) -> str:
              min(power_kw) AS power_kw_min, max(power_kw) AS power_kw_max
       FROM readings GROUP BY 1, 2),
     bounds AS (
-      SELECT meter_id, unnest(generate_series(min(bucket), max(bucket), INTERVAL 1 {step})) AS bucket
+      SELECT meter_id,
+             unnest(generate_series(min(bucket), max(bucket), INTERVAL 1 {step})) AS bucket
       FROM steps GROUP BY meter_id),
     grid AS (
       SELECT meter_id, bucket, coalesce(n_readings, 0) AS n_readings, power_kw_sum, power_kw_mean,

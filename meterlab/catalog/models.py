@@ -25,7 +25,7 @@ from meterlab.catalog.fixtures import (
     readings_null,
     readings_signal,
 )
-from meterlab.catalog.registry import exact_mean, long_ints, registered, round_sql, rounded
+from meterlab.catalog.registry import exact_mean, registered, round_sql, rounded
 from meterlab.plans.blocks import scratch_path
 from meterlab.plans.forecast_run import fit_and_forecast, make_features
 
@@ -266,7 +266,8 @@ def save_and_load_model(spark, folder):
     again = m.forecast(m.load_model(path), forecasts.withColumnRenamed("prediction", "first"))
     changed = F.abs(F.col("prediction") - F.col("first")) > 1e-12
     return again.agg(
-        F.count("*").alias("n"), F.count_if(changed | F.col("prediction").isNull()).alias("n_changed")
+        F.count("*").alias("n"),
+        F.count_if(changed | F.col("prediction").isNull()).alias("n_changed"),
     )
 
 

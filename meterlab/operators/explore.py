@@ -162,7 +162,8 @@ def summarise(
 
 def histogram(df: DataFrame, col: str = "power_kw", width: float = 10.0) -> DataFrame:
     """Rows per bin ``[bin * width, (bin + 1) * width)``; missing values form the NULL bin."""
-    number = F.floor(F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double")) / F.lit(float(width)))
+    value = known(F.col(col), df.schema[col].dataType).cast("double")
+    number = F.floor(value / F.lit(float(width)))
     return (
         df.groupBy(number.cast("bigint").alias("bin"))
         .agg(F.count("*").alias("n"))

@@ -48,6 +48,10 @@ def resample(
     )
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _steps_between(bounds: DataFrame, step: str, by: Sequence[str]) -> DataFrame:
     """Every step from ``_low`` to ``_high`` of each key."""
     if not is_fixed_width(step):
@@ -57,16 +61,19 @@ def _steps_between(bounds: DataFrame, step: str, by: Sequence[str]) -> DataFrame
             "bucket", F.col("bucket").cast("timestamp_ntz")
         )
     # A long series has more steps than one array or one task should hold: make
-    # chunks first, spread those, and unfold each one where it lands.
+    # chunks first, spread those, and unfold each one where it lands. Chunks are
+    # few bytes for many steps, so the number of partitions is given: adaptive
+    # execution would merge them by their bytes.
     width = F.lit(width_micros(step))
     low = micros(F.col("_low"))
     last = F.call_function("div", micros(F.col("_high")) - low, width)
+    last_chunk = F.call_function("div", last, F.lit(_CHUNK))
     chunks = bounds.select(
         *by,
         low.alias("_low"),
         last.alias("_last"),
-        F.explode(F.sequence(F.lit(0), F.call_function("div", last, F.lit(_CHUNK)))).alias("_chunk"),
-    ).repartition(*by, "_chunk")
+        F.explode(F.sequence(F.lit(0), last_chunk)).alias("_chunk"),
+    ).repartition(_partitions(bounds), *by, "_chunk")
     start = F.col("_chunk") * _CHUNK
     number = F.explode(F.sequence(start, F.least(start + _CHUNK - 1, F.col("_last"))))
     return chunks.select(*by, "_low", number.alias("_number")).select(

@@ -21,6 +21,12 @@ def test_round_trip_is_lossless_and_partitioned(spark, tmp_path):
     m.write_table(df, path, mode="overwrite")
 
 
+def test_table_without_partitions(spark, tmp_path):
+    df = table(spark, ROWS).withColumn("channel", F.lit("a"))
+    m.write_table(df, str(tmp_path / "t"), partition_by=())
+    same_rows(m.read_readings(spark, str(tmp_path / "t")), df)
+
+
 def test_other_formats_and_names(spark, tmp_path):
     df = table(spark, ROWS).withColumn("channel", F.lit("a"))
     micros = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
