@@ -4,8 +4,7 @@ import pytest
 from compare import connect, spark_rows, sql_rows, sql_types
 
 import __spark_entry__ as entry
-
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from meterlab.catalog import QUERIES, SQL
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +14,8 @@ def con(tables):
 
 def test_twins_belong_to_queries():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
