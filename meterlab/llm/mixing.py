@@ -32,7 +32,7 @@ from meterlab.plans.blocks import running_total, settle
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
-GROUP_ROWS = 100_000
+GROUP_ROWS = 4_096
 FAN_IN = 64
 SEED = 20_240_101
 _LEAST = 1e-9

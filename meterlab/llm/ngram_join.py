@@ -202,7 +202,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     found = join_on(docs, ids, ["doc_id"], "left_semi").select("text").mapInArrow(run, "one long, two long, tokens binary")
     # Other documents may share such an id; equal sets are alike.
-    unique = found.join(wanted.select("node", "one", "two", "private"), ["one", "two"])
+    unique = found.join(_small(wanted.select("node", "one", "two", "private")), ["one", "two"])
     return unique.groupBy("node").agg(F.first("tokens").alias("tokens"), F.first("private").alias("private"))
 
 
@@ -289,9 +289,14 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: i
         "involved",
     )
     sizes = involved.select("node", "n", "alone")
-    sets = settle(_sets(docs, involved.select("node", "doc_id", "one", "two", "private"), size), "sets")
-    passed = _agree(stars, involved, orders)
-    compared = settle(_compare(passed, sets, percent), "compared")
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        """Sets are computed anew, for the nodes of these pairs only."""
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = settle(involved.join(_small(settle(ends, "ends")), "node").select("node", "doc_id", "one", "two", "private"), "wanted")
+        return settle(_compare(pairs, settle(_sets(docs, wanted, size), "sets"), percent), "compared")
+
+    compared = compare(settle(_agree(stars, involved, orders), "pairs"))
     links = compared.where("link").select("a", "b")
     roots = connected(links)
 
@@ -332,7 +337,7 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: i
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = settle(_agree(left.join(tried, ["a", "b"], "left_anti"), involved, orders), "pairs-left")
     if not rest.isEmpty():
-        found = settle(_compare(rest, sets, percent).where("link").select("a", "b"), "links-left")
+        found = compare(rest).where("link").select("a", "b")
         if not found.isEmpty():
             roots = connected(links.unionByName(found))
 

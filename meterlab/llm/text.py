@@ -119,6 +119,21 @@ class Splitter:
         return Words(row, start, start + length, hashes)
 
 
+    def prefixes(self, chunk: Chunk, words: Words, lengths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """(row, hash) of the first bytes, of each of the lengths, of all words that are longer."""
+        row, start, size = words.row, words.start, words.stop - words.start
+        total = np.zeros(len(start), np.uint64)
+        rows, hashes = [row[:0]], [total[:0]]
+        for i in range(max(lengths)):
+            longer = size > i + 1
+            row, start, size, total = row[longer], start[longer], size[longer], total[longer]
+            total = total + self.values[chunk.data[start + i]] * self.powers[i]
+            if i + 1 in lengths:
+                rows.append(row)
+                hashes.append(mix(total ^ np.uint64(i + 1)))
+        return np.concatenate(rows), np.concatenate(hashes)
+
+
 def by_space() -> Splitter:
     """Words are runs of anything but ASCII white space."""
     letters = np.ones(256, bool)
