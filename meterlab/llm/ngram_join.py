@@ -7,7 +7,7 @@ of several orders, and only pairs that do are compared in full:
 1. Documents with equal sets become one node; copies cost no more than one.
 2. Tokens are ordered by how common they are, then by a hash; each order has its
    own hash. Common ones are counted in all texts: every batch reports what it
-   holds more than once, and the sums, in steps of powers of two, rank the
+   holds more than once, and the sums, in half powers of two, rank the
    ``COMMON`` most frequent. The rest rank as rare. Any order is right; this one
    keeps passages that many documents share out of the prefixes.
 3. Nodes that share a prefix token under the first order form a list. The member
@@ -18,8 +18,9 @@ of several orders, and only pairs that do are compared in full:
    still link with each other or with members inside it. For them the sets'
    differences from the pivot bound how similar they can be; classes of equal
    bounds are matched first, and the pairs of classes that remain possible, under
-   all orders again, are compared. So no link is lost, and a group of thousands of
-   near copies is not expanded into pairs.
+   all orders again, are compared. Members that are no candidates with the pivot meet
+   the others of their lists. So no link is lost, and a group of thousands of near
+   copies is not expanded into pairs.
 
 Words are runs of anything but ASCII white space, A-Z lower-cased. A set holds
 the distinct shingles of ``size`` words; a text with fewer words has its whole
@@ -45,9 +46,9 @@ SIZE = 5
 PERCENT = 80
 ORDERS = 3
 # Tokens that are ranked by their count; the list is broadcast (16 bytes each).
-COMMON = 200_000
+COMMON = 1_000_000
 # A batch reports at most so many tokens that it holds repeatedly.
-REPORTED = 20_000
+REPORTED = 100_000
 # Columns of ids up to this many rows are broadcast, longer ones are shuffled.
 BROADCAST_IDS = 500_000
 
@@ -62,6 +63,16 @@ def _prefix(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
+def _fingerprint(value: np.ndarray, n: np.ndarray, salts: np.ndarray) -> list[np.ndarray]:
+    """Two sums of hashes of each row's tokens, of which it has ``n``."""
+    ends = np.append(0, np.cumsum(n))
+    sums = []
+    for salt in salts:
+        total = np.append(np.uint64(0), np.cumsum(mix(value ^ salt)))
+        sums.append((total[ends[1:]] - total[ends[:-1]]).view(np.int64))
+    return sums
+
+
 def _summaries(docs: DataFrame, size: int) -> DataFrame:
     """Rows of two kinds: each document's set as (n, two sums of hashes), and repeated tokens."""
 
@@ -70,14 +81,21 @@ def _summaries(docs: DataFrame, size: int) -> DataFrame:
         salts = seeded(2, 41)
         for batch in batches:
             counts, ones, twos, tokens = [], [], [], []
+            met: set[tuple[int, int]] = set()
             for chunk in chunks(batch[1]):
                 row, value = distinct_shingles(split(chunk), chunk.rows, size)
-                counts.append(np.bincount(row, minlength=chunk.rows))
-                ends = np.append(0, np.cumsum(counts[-1]))
-                for salt, sums in zip(salts, (ones, twos), strict=True):
-                    total = np.append(np.uint64(0), np.cumsum(mix(value ^ salt)))
-                    sums.append((total[ends[1:]] - total[ends[:-1]]).view(np.int64))
-                tokens.append(value)
+                n = np.bincount(row, minlength=chunk.rows)
+                one, two = _fingerprint(value, n, salts)
+                counts.append(n)
+                ones.append(one)
+                twos.append(two)
+                # Copies of a text say nothing about how common its tokens are.
+                new = np.zeros(chunk.rows, bool)
+                for i, key in enumerate(zip(one.tolist(), two.tolist(), strict=True)):
+                    if key not in met:
+                        met.add(key)
+                        new[i] = True
+                tokens.append(value[new[row]])
             if not counts:
                 continue
             n = np.concatenate(counts)
@@ -109,14 +127,14 @@ def _summaries(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _ranks(summaries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most common tokens, ascending, and their ranks: the power of two of their counts."""
+    """The most common tokens, ascending, and their ranks: in steps of half a power of two."""
     top = (
         summaries.where("common").groupBy("one").agg(F.sum("n").alias("n"))
-        .where("n >= 8").orderBy(F.desc("n"), "one").limit(COMMON).toArrow()
+        .orderBy(F.desc("n"), "one").limit(COMMON).toArrow()
     )
     token = top["one"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(token)
-    rank = np.minimum(np.log2(np.maximum(top["n"].to_numpy(), 1)).astype(np.uint64), np.uint64(63))
+    rank = np.minimum(2 * np.log2(np.maximum(top["n"].to_numpy(), 1)), 63).astype(np.uint64)
     return token[order], rank[order]
 
 
@@ -155,10 +173,7 @@ def _firsts(docs: DataFrame, size: int, percent: int, common: tuple, orders: int
                 ends = np.append(0, np.cumsum(n))
                 full = np.flatnonzero(n > 0)
                 wanted = _prefix(n, percent) * (n > 0)
-                sums = []
-                for salt in salts:
-                    total = np.append(np.uint64(0), np.cumsum(mix(value ^ salt)))
-                    sums.append(pa.array((total[ends[1:]] - total[ends[:-1]]).view(np.int64)[full]))
+                sums = [pa.array(x[full]) for x in _fingerprint(value, n, salts)]
                 rank = order.ranks(value)
                 within = np.arange(len(value)) - np.repeat(ends[:-1], n)
                 early = within < np.repeat(wanted, n)
@@ -192,10 +207,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 row, value = distinct_shingles(split(chunk), chunk.rows, size)
                 n = np.bincount(row, minlength=chunk.rows)
                 ends = np.append(0, np.cumsum(n))
-                sums = []
-                for salt in salts:
-                    total = np.append(np.uint64(0), np.cumsum(mix(value ^ salt)))
-                    sums.append(pa.array((total[ends[1:]] - total[ends[:-1]]).view(np.int64)))
+                sums = [pa.array(x) for x in _fingerprint(value, n, salts)]
                 raw = pa.py_buffer(np.ascontiguousarray(value))
                 blobs = pa.Array.from_buffers(pa.binary(), chunk.rows, [None, pa.py_buffer((ends * 8).astype(np.int32)), raw])
                 yield pa.RecordBatch.from_arrays([*sums, blobs], names=["one", "two", "tokens"])
@@ -312,14 +324,12 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: i
         .select("a", "b", "ra", "rb", "n", "alone", "missing", "own"),
         "groups",
     )
-    strays = group.where("ra <> rb")
-    kinds = group.groupBy("a", "n", "alone", "missing", "own").agg(
-        F.min("rb").alias("low"), F.max("rb").alias("high")
-    )
-    more = strays.alias("x").join(kinds.alias("y"), F.col("x.a") == F.col("y.a"))
+    close = group.where("missing is not null")
+    kinds = close.groupBy("a", "n", "alone", "missing", "own").agg(F.min("rb").alias("low"), F.max("rb").alias("high"))
+    more = close.where("ra <> rb").alias("x").join(kinds.alias("y"), F.col("x.a") == F.col("y.a"))
     apart = F.greatest(
         F.col("x.alone") + F.col("y.alone"),
-        F.coalesce(F.abs(F.col("x.missing") - F.col("y.missing")) + F.col("x.own") + F.col("y.own"), F.lit(0)),
+        F.abs(F.col("x.missing") - F.col("y.missing")) + F.col("x.own") + F.col("y.own"),
     )
     possible = more.where(
         (apart <= _most_different(F.col("x.n"), F.col("y.n"), percent))
@@ -328,12 +338,20 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: i
         F.col("x.a").alias("pivot"), F.col("x.b").alias("b"), "rb",
         *[F.col(f"y.{c}").alias(f"y_{c}") for c in ("n", "alone", "missing", "own")],
     )
-    others = group.select(
+    others = close.select(
         F.col("a").alias("pivot"), F.col("b").alias("c"), F.col("rb").alias("rc"),
         *[F.col(k).alias(f"y_{k}") for k in ("n", "alone", "missing", "own")],
     )
-    left = join_on(possible, others, ["pivot", "y_n", "y_alone", "y_missing", "y_own"], "inner")
-    left = left.where("rb <> rc").select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
+    inner = possible.join(others, ["pivot", "y_n", "y_alone", "y_missing", "y_own"]).where("rb <> rc").select("b", "c")
+    # Those that were not even candidates with their pivot meet the members of their lists one by one.
+    far = group.where("missing is null").select("a", F.col("b").alias("node"), "n", "alone")
+    apart_lists = members.join(_small(settle(pivots, "pivots")), "token").where("a <> node").select("token", "a", "node")
+    far = apart_lists.join(far, ["a", "node"]).select("token", F.col("node").alias("b"), "n", "alone")
+    met = members.select("token", F.col("node").alias("c")).join(_small(settle(sizes, "sizes")).withColumnsRenamed({"node": "c", "n": "nc", "alone": "ac"}), "c")
+    outer = far.join(met, "token").where(
+        (F.col("b") != F.col("c")) & (F.col("alone") + F.col("ac") <= _most_different(F.col("n"), F.col("nc"), percent))
+    ).select("b", "c")
+    left = inner.unionByName(outer).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = settle(_agree(left.join(tried, ["a", "b"], "left_anti"), involved, orders), "pairs-left")
     if not rest.isEmpty():

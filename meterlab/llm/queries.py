@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlab.llm import chat, fingerprints, language, lines, mixing, ngram_join, packing, quality, toxicity
+from meterlab.llm import chat, fingerprints, language, lines, mixing, neighbours, ngram_join, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
