@@ -36,8 +36,6 @@ from meterlab.plans.blocks import settle
 LEAST_WORDS = 8
 LONG_LINE = 24
 SHORT_SENTENCE = 5
-# Keys and documents of up to so many rows are broadcast, more are shuffled.
-BROADCAST_ROWS = 500_000
 _PLACES = 1021
 
 
@@ -211,15 +209,13 @@ def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         .where("owner < last").select("key", "owner"),
         "line-owners",
     )
-    few = owners.count() <= BROADCAST_ROWS
-    repeated = settle(lines.join(F.broadcast(owners) if few else owners, "key"), "repeated-lines")
+    repeated = settle(lines.join(owners, "key"), "repeated-lines")
     heads = repeated.where("doc_id = owner").groupBy("key").agg(F.min("line").alias("other"))
     common = repeated.where("doc_id > owner").join(heads, "key")
     gone = settle(_align(common, least_words), "lines-gone")
-    few = gone.count() <= BROADCAST_ROWS // 5
     right = gone.withColumnsRenamed({"doc_id": "gone_id", "tag": "gone_tag"})
     met = plain.join(
-        F.broadcast(right) if few else right,
+        right,
         (F.col(doc_id) == F.col("gone_id")) & (F.col("tag") == F.col("gone_tag")),
         "left",
     ).drop("gone_id", "gone_tag", "tag")
