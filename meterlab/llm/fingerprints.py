@@ -14,7 +14,7 @@ chunks, by length, that b has too. It is 1 for equal texts; a text without bytes
 an empty fingerprint, which is like another empty one only.
 
 Null texts are empty. For :func:`with_next` documents stand in the order of doc_id,
-null first, and then of their text; the last is followed by the first. Repeated rows
+null first, and then of a hash of their text; the last is followed by the first. Repeated rows
 follow one another. An empty table gives no rows; other columns are not read.
 """
 
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from meterlab.llm.text import pick, seeded
@@ -122,9 +123,9 @@ def with_next(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited and near_next. Blocks of neighbouring ids are put in order by one
     task each; the first document of a block also goes to the block before it. Texts
-    are shuffled once.
+    are shuffled once, compressed.
     """
-    docs = pick(docs, "doc_id", "text")
+    docs = pick(docs, "doc_id", "text").withColumn("tie", F.xxhash64("text"))
     sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
     found = sizes.agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes")).first()
     if not found["rows"]:
@@ -143,6 +144,7 @@ def with_next(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows with their block; those of a block's first id go to the block before it too."""
+        compress = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             null = np.asarray(batch[0].is_null())
             ids = batch[0].fill_null(smallest).to_numpy()
@@ -158,16 +160,18 @@ def with_next(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             where = np.concatenate([block, np.where(block[first] == 0, last, block[first] - 1)])
             helper = np.concatenate([np.zeros(len(ids), bool), np.ones(int(first.sum()), bool)])
             at = pa.array(rows)
+            packed = pa.array([compress((t.as_py() or "").encode()) for t in batch[1]], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(where.astype(np.int32)), pa.array(helper), batch[0].take(at), batch[1].take(at)],
-                names=["block", "helper", "doc_id", "text"],
+                [pa.array(where.astype(np.int32)), pa.array(helper), *[c.take(at) for c in (batch[0], batch[2], packed)]],
+                names=["block", "helper", "doc_id", "tie", "packed"],
             )
 
     has_null = bool(found["rows"]) and not sizes.where("doc_id is null").isEmpty()
-    dealt = docs.mapInArrow(deal, "block int, helper boolean, doc_id long, text string")
-    ordered = dealt.repartition(last + 1, "block").sortWithinPartitions(
-        "block", "helper", F.col("doc_id").asc_nulls_first(), "text"
-    )
+    dealt = docs.mapInArrow(deal, "block int, helper boolean, doc_id long, tie long, packed binary")
+    # More partitions than blocks, so that few of them get two.
+    ordered = dealt.repartition(3 * last + 1, "block").sortWithinPartitions(
+        "block", "helper", F.col("doc_id").asc_nulls_first(), "tie"
+    ).drop("tie")
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,14 +186,15 @@ def with_next(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                 likeness(chunk, edited), likeness(chunk, table),
             )
 
+        expand = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
-            for block, helper, doc_id, text in zip(*batch.columns, strict=True):
+            for block, helper, doc_id, packed in zip(*batch.columns, strict=True):
                 block, helper = block.as_py(), helper.as_py()
                 if helper and before is None:
                     continue
-                own = text.as_py() or ""
-                table = chunk_table(own.encode())
+                raw = expand(packed.as_py())
+                own, table = raw.decode(), chunk_table(raw)
                 if before is not None:
                     out.append(finish(before, own, table))
                 before = None if helper else (block, doc_id.as_py(), own, table)
