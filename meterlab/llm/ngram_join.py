@@ -49,8 +49,9 @@ ORDERS = 3
 COMMON = 1_000_000
 # A batch reports at most so many tokens that it holds repeatedly.
 REPORTED = 100_000
-# Columns of ids up to this many rows are broadcast, longer ones are shuffled.
-BROADCAST_IDS = 500_000
+# Tables of one or two numbers per row are broadcast up to this many rows (some 50 MB
+# in memory), larger ones are shuffled.
+BROADCAST_IDS = 2_000_000
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -214,7 +215,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     found = join_on(docs, ids, ["doc_id"], "left_semi").select("text").mapInArrow(run, "one long, two long, tokens binary")
     # Other documents may share such an id; equal sets are alike.
-    unique = found.join(_small(wanted.select("node", "one", "two", "private")), ["one", "two"])
+    unique = found.join(wanted.select("node", "one", "two", "private"), ["one", "two"])
     return unique.groupBy("node").agg(F.first("tokens").alias("tokens"), F.first("private").alias("private"))
 
 
@@ -287,10 +288,11 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: i
     members = settle(rows.join(shared, "token"), "members")
     lists_of = members.groupBy("node").agg(F.count("*").alias("lists"), F.min("place").alias("alone"))
     lists_of = settle(lists_of, "lists-of-nodes")
-    ranked = members.join(_small(lists_of.select("node", "lists")), "node")
+    ranked = members.join(lists_of.select("node", "lists"), "node")
     pivots = ranked.groupBy("token").agg(F.max(F.struct("lists", "node"))["node"].alias("a"))
+    pivots = settle(pivots, "pivots")
     stars = settle(
-        members.join(_small(settle(pivots, "pivots")), "token").where("a <> node")
+        members.join(pivots, "token").where("a <> node")
         .select("a", F.col("node").alias("b")).distinct(),
         "star-pairs",
     )
@@ -305,7 +307,7 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: i
     def compare(pairs: DataFrame) -> DataFrame:
         """Sets are computed anew, for the nodes of these pairs only."""
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = settle(involved.join(_small(settle(ends, "ends")), "node").select("node", "doc_id", "one", "two", "private"), "wanted")
+        wanted = settle(involved.join(settle(ends, "ends"), "node").select("node", "doc_id", "one", "two", "private"), "wanted")
         return settle(_compare(pairs, settle(_sets(docs, wanted, size), "sets"), percent), "compared")
 
     compared = compare(settle(_agree(stars, involved, orders), "pairs"))
@@ -345,9 +347,10 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: i
     inner = possible.join(others, ["pivot", "y_n", "y_alone", "y_missing", "y_own"]).where("rb <> rc").select("b", "c")
     # Those that were not even candidates with their pivot meet the members of their lists one by one.
     far = group.where("missing is null").select("a", F.col("b").alias("node"), "n", "alone")
-    apart_lists = members.join(_small(settle(pivots, "pivots")), "token").where("a <> node").select("token", "a", "node")
+    apart_lists = members.join(pivots, "token").where("a <> node").select("token", "a", "node")
     far = apart_lists.join(far, ["a", "node"]).select("token", F.col("node").alias("b"), "n", "alone")
-    met = members.select("token", F.col("node").alias("c")).join(_small(settle(sizes, "sizes")).withColumnsRenamed({"node": "c", "n": "nc", "alone": "ac"}), "c")
+    theirs = sizes.withColumnsRenamed({"node": "c", "n": "nc", "alone": "ac"})
+    met = members.select("token", F.col("node").alias("c")).join(theirs, "c")
     outer = far.join(met, "token").where(
         (F.col("b") != F.col("c")) & (F.col("alone") + F.col("ac") <= _most_different(F.col("n"), F.col("nc"), percent))
     ).select("b", "c")
