@@ -11,8 +11,8 @@ when fewer than ``LEAST_CHANGE`` of the entries change, or after ``ROUNDS``.
 
 Queries walk the graph greedily, all at once: each keeps its ``BEAM`` nearest so far
 and in every round looks at the lists of the nearest ``STEP`` of them whose lists it has
-not seen. Queries that are nodes begin at themselves and their own list; others
-at ``STARTS`` nodes with the smallest hashes. The measure of what is found is computed
+not seen. They begin at the ``STARTS`` longest nodes, and those that are nodes also at
+themselves. The measure of what is found is computed
 anew, in double precision, on the original vectors.
 
 Vectors of different lengths are reduced to one more component, which makes all
@@ -47,8 +47,8 @@ DEALS = 4
 NEW_PER_MEETING = 12
 BEAM = 96
 STEP = 8
-SEARCH_ROUNDS = 5
-STARTS = 64
+SEARCH_ROUNDS = 6
+STARTS = 16
 QUERIES_PER_PART = 1024
 
 _GRAPH = "part int, node long, nbr array<long>, score array<float>, fresh array<boolean>"
@@ -119,8 +119,8 @@ def vectors_of(table: DataFrame, id_column: str = "vec_id", column: str = "embed
     return usable.where(F.size("vector") == (common["n"] if common else 0))
 
 
-def _nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
-    """Nodes with their vectors in 16 bits, rows with their nodes, and the numbers of nodes and parts."""
+def _nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame, list[int], int, int]:
+    """Nodes with their vectors in 16 bits, rows with their nodes, the longest nodes, and the numbers of nodes and parts."""
     rows = vectors.withColumn("same", F.sha2(F.to_json("vector"), 256))
     least = rows.groupBy("same").agg(F.min("vec_id").alias("node"), F.min("vector").alias("vector"))
     nodes = settle(least.withColumn("norm", F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))), "vectors")
@@ -142,7 +142,8 @@ def _nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
         "packed-vectors",
     )
     owners = rows.select("vec_id", "same").join(nodes.select("same", "node"), "same").select("vec_id", "node")
-    return packed, settle(owners, "nodes-of-vectors"), count, parts
+    starts = [r["node"] for r in nodes.orderBy(F.desc("norm"), "node").limit(STARTS).select("node").collect()]
+    return packed, settle(owners, "nodes-of-vectors"), starts, count, parts
 
 
 def build(packed: DataFrame, count: int, parts: int, neighbours: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
@@ -211,9 +212,9 @@ def _descend(graph: DataFrame, packed: DataFrame, parts: int, neighbours: int) -
         "meetings",
     )
     worst = F.when(F.size("nbr") >= neighbours, F.element_at("score", -1)).otherwise(F.lit(-9.0).cast("float"))
-    known = packed.select("node", "packed").join(graph.select("node", worst.alias("worst")), "node")
+    known = packed.select("node", "packed", F.col("part").alias("home")).join(graph.select("node", worst.alias("worst")), "node")
     asked = meetings.select(F.col("part").alias("asking"), F.explode("members").alias("node")).distinct()
-    fetched = asked.join(known, "node").select("asking", "node", "packed", "worst")
+    fetched = asked.join(known, "node").select("asking", "node", "packed", "worst", "home")
 
     def introduce(groups: pa.Table, members: pa.Table) -> pa.Table:
         node, matrix, worst = members["node"].to_numpy(), _matrix(members["packed"]), members["worst"].to_numpy()
@@ -243,11 +244,14 @@ def _descend(graph: DataFrame, packed: DataFrame, parts: int, neighbours: int) -
             if waiting > 2_000_000:
                 held, waiting = [_best_of(held, neighbours)], 0
         one, two, score = _best_of(held, neighbours)
-        ids, lists = _lists(one, node[two], score)
-        return pa.Table.from_arrays([pa.array(node[ids]), *lists], names=["node", "nbr", "score"])
+        # What concerns the nodes of one part travels in one row.
+        home = members["home"].to_numpy()[one]
+        order = np.argsort(home, kind="stable")
+        homes, lists = _lists(home[order], node[one[order]], node[two[order]], score[order])
+        return pa.Table.from_arrays([pa.array(homes.astype(np.int32)), *lists], names=["home", "owner", "nbr", "score"])
 
     found = meetings.groupBy("part").cogroup(fetched.groupBy("asking")).applyInArrow(
-        introduce, "node long, nbr array<long>, score array<float>"
+        introduce, "home int, owner array<long>, nbr array<long>, score array<float>"
     )
 
     def merge(old: pa.Table, new: pa.Table) -> pa.Table:
@@ -255,17 +259,17 @@ def _descend(graph: DataFrame, packed: DataFrame, parts: int, neighbours: int) -
         order = np.argsort(node)
         row, other = _flat(old["nbr"])
         _, score = _flat(old["score"])
-        new_row, new_other = _flat(new["nbr"])
+        _, new_owner = _flat(new["owner"])
+        _, new_other = _flat(new["nbr"])
         _, new_score = _flat(new["score"])
-        new_owner = order[np.searchsorted(node, new["node"].to_numpy(), sorter=order)][new_row] if len(new) else new_row
-        fresh = np.concatenate([np.zeros(len(row), bool), np.ones(len(new_row), bool)])
+        new_owner = order[np.searchsorted(node, new_owner, sorter=order)]
+        fresh = np.concatenate([np.zeros(len(row), bool), np.ones(len(new_owner), bool)])
         best = _best(np.concatenate([row, new_owner]), np.concatenate([other, new_other]), np.concatenate([score, new_score]), fresh, neighbours)
         ids, lists = _with_all(best, np.arange(len(node)))
         part = pa.array(np.full(len(ids), old["part"][0].as_py() if len(old) else 0, np.int32))
         return pa.Table.from_arrays([part, pa.array(node[ids]), *lists], names=["part", "node", "nbr", "score", "fresh"])
 
-    sent = found.withColumn("part", _part("node", parts))
-    return graph.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(merge, _GRAPH)
+    return graph.groupBy("part").cogroup(found.groupBy("home")).applyInArrow(merge, _GRAPH)
 
 
 def _best_of(held: list, most: int) -> tuple[np.ndarray, ...]:
@@ -277,11 +281,11 @@ def walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, starts: list[i
     """(query, nodes): the nearest nodes that greedy search finds, best first.
 
     ``queries`` has query (an id), packed (its vector, last component 0) and node,
-    the node it begins at, or null to begin at ``starts``.
+    which it begins at beside ``starts``; that may be null.
     """
     state_kind = "part int, query long, packed binary, ids array<long>, score array<float>, seen array<boolean>, look array<long>"
     parts = queries.count() // QUERIES_PER_PART + 1
-    first = F.when(F.col("node").isNull(), F.lit(starts).cast("array<long>")).otherwise(F.array("node"))
+    first = F.array_distinct(F.array_compact(F.concat(F.array("node"), F.array(*[F.lit(x) for x in starts]).cast("array<long>"))))
     none = F.array()
     state = settle(
         queries.select(
@@ -366,7 +370,7 @@ def nearest(table: DataFrame, wanted, k: int = 20, id_column: str = "vec_id", co
     Every row but the query's own is a candidate; ties go to the smaller vec_id.
     """
     vectors = settle(vectors_of(table, id_column, column), "usable-vectors")
-    packed, owners, count, parts = _nodes(vectors)
+    packed, owners, starts, count, parts = _nodes(vectors)
     graph = build(packed, count, parts)
     asking = owners.where(wanted)
     # A query's own node is where it begins; its last component does not count.
@@ -374,7 +378,7 @@ def nearest(table: DataFrame, wanted, k: int = 20, id_column: str = "vec_id", co
     queries = packed.join(asking.select("node").distinct(), "node", "left_semi").select(
         F.col("node").alias("query"), flat.alias("packed"), "node"
     )
-    found = walk(graph, packed, queries, [])
+    found = walk(graph, packed, queries, starts)
     # Rows with equal vectors: as many of the smallest ids as an answer can hold.
     members = settle(
         owners.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("vec_id")))
