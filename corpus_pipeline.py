@@ -24,7 +24,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" in docs.columns:
         changed = F.when(F.col("lines_removed") > 0, F.length("text").cast("long"))
         left = left.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
-    return left.select(*docs.columns)
+    return left.drop("lines_removed", "words_removed")
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

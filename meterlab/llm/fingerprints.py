@@ -97,7 +97,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     total = int(a["length"].sum(dtype=np.int64))
     if not total:
         return float(not len(b))
-    shared = np.isin(a["digest"], b["digest"], assume_unique=True)
+    shared = np.isin(a["digest"].astype(np.uint64), b["digest"].astype(np.uint64), assume_unique=True)
     return float(a["length"][shared].sum(dtype=np.int64)) / total
 
 

@@ -1,7 +1,7 @@
 """Line dedup by pairwise alignment.
 
-Texts are cut into lines, and lines of more than ``LONG_LINE`` words also after
-sentences, since passages are often quoted inside a line. A line is compared
+Texts are cut into lines, and lines into sentences of at least ``SHORT_SENTENCE`` words,
+since passages are often quoted inside a line; below, both are called lines. A line is compared
 without regard to A-Z and white space, by a 64-bit hash; the k-th occurrence of a
 line in a document counts as a line of its own.
 
@@ -34,7 +34,6 @@ from meterlab.llm.text import Chunk, Splitter, by_space, chunks, mix, seeded
 from meterlab.plans.blocks import settle
 
 LEAST_WORDS = 8
-LONG_LINE = 24
 SHORT_SENTENCE = 5
 _PLACES = 1021
 
@@ -50,12 +49,9 @@ def _units(chunk: Chunk, split: Splitter) -> tuple[np.ndarray, np.ndarray, np.nd
     ends_line = np.ones(count, bool)
     same_row = words.row[1:] == words.row[:-1]
     ends_line[:-1] = ~same_row | (lines[words.start[1:]] != lines[words.stop[:-1]])
-    last = np.flatnonzero(ends_line)
-    length = np.diff(np.append(-1, last))
-    long_line = np.repeat(length > LONG_LINE, length)
     final = data[words.stop - 1]
     marks = (final == ord(".")) | (final == ord("!")) | (final == ord("?"))
-    cuts = np.flatnonzero(ends_line | (marks & long_line))
+    cuts = np.flatnonzero(ends_line | marks)
     # A short sentence goes with the next one of its line.
     cuts = cuts[(np.diff(np.append(-1, cuts)) >= SHORT_SENTENCE) | ends_line[cuts]]
     first = np.append(0, cuts[:-1] + 1)
