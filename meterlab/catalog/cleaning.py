@@ -20,6 +20,7 @@ from meterlab.catalog.fixtures import (
     READINGS_NULL,
     READINGS_RAW,
     one_meter_null,
+    readings,
     readings_null,
     readings_raw,
 )
@@ -162,13 +163,23 @@ def to_number(spark, folder):
 @registered(
     f"""WITH {READINGS_RAW}
     SELECT event_id,
-           CAST(try_cast(split_part(power_text, '.', 1) AS BIGINT) AS DOUBLE) AS whole
+           try_cast(split_part(power_text, '.', 1) AS BIGINT) AS whole
     FROM readings"""
 )
 def to_whole_number(spark, folder):
     whole = F.split_part("power_text", F.lit("."), F.lit(1)).alias("whole")
-    df = m.to_number(readings_raw(spark, folder).select("event_id", whole), ["whole"], "bigint")
-    return df.withColumn("whole", F.col("whole").cast("double"))
+    return m.to_number(readings_raw(spark, folder).select("event_id", whole), ["whole"], "bigint")
+
+
+@registered(
+    """SELECT event_id, CASE WHEN event_id % 5 >= 3 THEN value END AS value FROM events"""
+)
+def to_number_not_finite(spark, folder):
+    """Numbers that are not finite, by name or by size, are no readings."""
+    odd = F.array(F.lit("Infinity"), F.lit("NaN"), F.lit("-1e400"))
+    text = F.coalesce(F.get(odd, (F.col("event_id") % 5).cast("int")), F.col("power_kw").cast("string"))
+    df = readings(spark, folder).select("event_id", text.alias("value"))
+    return m.to_number(df, ["value"])
 
 
 @registered(f"WITH {READINGS_RAW} SELECT event_id, {_PARSED} AS ts FROM readings")

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import meterlab as m
-from meterlab.catalog.fixtures import READINGS, READINGS_RAW, readings, readings_raw
+from meterlab.catalog.fixtures import (
+    READINGS,
+    READINGS_RAW,
+    readings,
+    readings_null,
+    readings_raw,
+)
 from meterlab.catalog.registry import exact_mean, exact_sum, long_ints, registered
 from meterlab.plans.blocks import scratch_path
 
@@ -122,3 +128,18 @@ def peaks_per_day(spark, folder):
 @registered(_PEAKS.format(READINGS, "meter_id", 5))
 def peaks_per_meter(spark, folder):
     return long_ints(m.peaks(readings(spark, folder), by=["meter_id"], k=5))
+
+
+@registered(
+    """WITH readings AS (
+      SELECT event_id, user_id AS meter_id, ts, value AS power_kw, event_type AS channel
+      FROM events WHERE event_id % 7 <> 0 AND event_id % 3 <> 0), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY power_kw DESC, event_id)
+        AS rank FROM readings)
+    SELECT event_id, meter_id, ts, power_kw, channel, rank FROM ranked WHERE rank <= 3"""
+)
+def peaks_with_missing(spark, folder):
+    """Neither NULL nor NaN is a peak."""
+    not_a_number = F.when(F.col("event_id") % 3 == 0, float("nan")).otherwise(F.col("power_kw"))
+    df = readings_null(spark, folder).withColumn("power_kw", not_a_number)
+    return long_ints(m.peaks(df, k=3).drop("date"))

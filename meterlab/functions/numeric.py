@@ -41,10 +41,11 @@ def not_a_number(value: Column, dtype: DataType) -> Column:
 def number(text: Column, dtype: str = "double") -> Column:
     """Text to number; anything else gives NULL.
 
-    Casting alone would let ``5d`` through as 5.0, and ``NaN`` as a value.
+    Casting alone would let ``5d`` through as 5.0, and ``NaN``, ``Infinity`` and
+    numbers too large for the type as values that are not finite.
     """
     value = text.try_cast(dtype)
     if dtype in ("double", "float"):
         suffixed = text.rlike(r"[dDfF]\s*$")
-        return F.when(~suffixed & ~F.isnan(value), value)
+        return F.when(~suffixed & ~F.isnan(value) & (F.abs(value) < float("inf")), value)
     return value

@@ -43,11 +43,11 @@ def width_micros(step: str) -> int:
 
 
 def months(step: str) -> int:
-    """Number of months in a calendar step: month, quarter or year."""
+    """Number of months in a calendar step of one or more months, quarters or years."""
     amount, unit = _parse(step)
-    if amount != 1 or unit not in _CALENDAR_STEPS:
-        raise ValueError(f"{step!r} is not one month, quarter or year")
-    return _CALENDAR_STEPS[unit]
+    if unit not in _CALENDAR_STEPS:
+        raise ValueError(f"{step!r} is not made of months, quarters or years")
+    return amount * _CALENDAR_STEPS[unit]
 
 
 def micros(ts: Column) -> Column:
@@ -80,7 +80,8 @@ def bucket(ts: Column, step: str) -> Column:
     """
     amount, unit = _parse(step)
     if unit in _CALENDAR_STEPS:
-        months(step)
+        if amount != 1:
+            raise ValueError(f"{step!r} is not one month, quarter or year")
         return F.trunc(ts.cast("date"), unit).cast("timestamp_ntz")
     day = ts.cast("date").cast("timestamp_ntz")
     if (amount, unit) == (1, "day"):

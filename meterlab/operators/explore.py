@@ -12,15 +12,12 @@ from meterlab.operators.features import CALENDAR_PARTS
 from meterlab.plans.blocks import (
     BLOCK_ROWS,
     attach,
-    has_group_above,
     join_on,
     running_total,
     settle,
 )
 
 QUARTILES = (0.25, 0.5, 0.75)
-# ``percentile`` holds the distinct values of up to 128 groups at a time.
-PERCENTILE_ROWS = 50_000
 
 
 def trend(
@@ -32,7 +29,7 @@ def trend(
     scale: int | None = None,
 ) -> DataFrame:
     """Readings, total, mean and highest value per day, week, month, ..."""
-    value = F.col(col)
+    value = known(F.col(col), df.schema[col].dataType)
     return df.groupBy(*by, bucket(F.col(ts), step).alias("bucket")).agg(
         F.count("*").alias("n_readings"),
         total(value, scale).alias("total"),
@@ -51,16 +48,16 @@ def load_profile(
 ) -> DataFrame:
     """Mean by calendar part(s); ``wide`` puts the hours of the day into columns h0 ... h23."""
     parts = {p: CALENDAR_PARTS[p](F.col(ts)) for p in by}
-    value = F.col(col)
+    value = known(F.col(col), df.schema[col].dataType)
     if not wide:
         return df.groupBy(*[c.alias(p) for p, c in parts.items()]).agg(
             F.count("*").alias("n_readings"), mean(value, scale).alias("mean")
         )
     rows = [p for p in parts if p != "hour"]
-    keyed = df.select(*[parts[p].alias(p) for p in rows], F.hour(ts).alias("_hour"), value)
+    keyed = df.select(*[parts[p].alias(p) for p in rows], F.hour(ts).alias("_hour"), value.alias(col))
     columns = []
     for hour in range(24):
-        here = F.when(F.col("_hour") == hour, value)
+        here = F.when(F.col("_hour") == hour, F.col(col))
         columns.append(mean(here, scale).alias(f"h{hour}"))
     return keyed.groupBy(*rows).agg(F.count("*").alias("n_readings"), *columns)
 
@@ -82,16 +79,13 @@ def exact_quantiles(
     by = list(by)
     value = known(F.col(col), df.schema[col].dataType).cast("double")
     values = df.select(*by, value.alias("_value")).where(F.col("_value").isNotNull())
-    counted = values.groupBy(*by, "_value").agg(F.count("*").alias("_n"))
-    if split != "never":
-        # Looked at, split and laid out: count once, keep the counts.
-        counted = settle(counted, "value-counts")
+    # The counts are looked at, split, laid out and summed up: stored once.
+    counted = settle(values.groupBy(*by, "_value").agg(F.count("*").alias("_n")), "value-counts")
     ranked = running_total(counted, by, ["_value"], "_n", "_upto", block_rows, split)
-    # Group sizes need no shuffle of values, so they are counted from the rows.
     if by:
-        ranked = attach(ranked, by, F.count("*").alias("_size"), of=values)
+        ranked = attach(ranked, by, F.sum("_n").alias("_size"), of=counted)
     else:
-        ranked = ranked.withColumn("_size", values.agg(F.count("*")).scalar())
+        ranked = ranked.withColumn("_size", counted.agg(F.sum("_n")).scalar())
     after, upto = F.col("_upto") - F.col("_n"), F.col("_upto")
     ends, results = [], []
     for q in quantiles:
@@ -123,9 +117,8 @@ def summarise(
     """Count, mean, spread, shape and quantiles of the known values, per group.
 
     Skewness and kurtosis are the population forms. Exact quantiles come from
-    ``percentile`` as long as no group exceeds ``PERCENTILE_ROWS`` (or
-    ``block_rows``, if that is less), else from :func:`exact_quantiles`;
-    ``exact=False`` uses a sketch of fixed size.
+    :func:`exact_quantiles`, whatever the size of a group; ``exact=False`` uses a
+    sketch of fixed size.
     """
     by = list(by)
     value = known(F.col(col), df.schema[col].dataType)
@@ -145,10 +138,7 @@ def summarise(
 
     if not exact:
         return with_quantiles(lambda v, q: F.percentile_approx(v, q, 10_000))
-    few = min(block_rows, PERCENTILE_ROWS)
-    if split == "never" or not has_group_above(df, by, few):
-        return with_quantiles(F.percentile)
-    ordered = exact_quantiles(df, col, by, quantiles, block_rows)
+    ordered = exact_quantiles(df, col, by, quantiles, block_rows, split)
     described = df.groupBy(*by).agg(*moments)
     if by:
         return join_on(described, ordered, by)
@@ -229,6 +219,6 @@ def share(
     )
 
 
-def plot_table(df: DataFrame, order: Sequence[str | Column], limit: int = 10_000) -> DataFrame:
+def plot_table(df: DataFrame, order: Sequence[str | Column], limit: int) -> DataFrame:
     """At most ``limit`` rows in a fixed order, small enough for ``toPandas()``."""
     return df.orderBy(*order).limit(limit)

@@ -29,7 +29,7 @@ CALENDAR_PARTS = {
 }
 # part -> (length of the cycle, first value)
 _CYCLES = {"hour": (24, 0), "weekday": (7, 0), "month": (12, 1), "minute": (60, 0)}
-ROLLING_STATS = ("mean", "std", "min", "max")
+ROLLING_STATS = ("mean", "std", "min", "max")  # the default; count and sum are accepted too
 # A sliding frame adds up its rows anew for each row; wider ones are built otherwise.
 SLIDING_ROWS = 256
 
@@ -78,12 +78,12 @@ def _rolling_columns(
 ) -> dict[str, Column]:
     value = F.col(col)
     frame = series.rowsBetween(-n, -1)
-    mean = F.avg(value).over(frame)
-    if scale is not None:
-        exact = F.sum(value.cast(f"decimal(18,{scale})")).over(frame).cast("double")
-        mean = F.try_divide(exact, F.count(value).over(frame))
+    added = value.cast("double") if scale is None else value.cast(f"decimal(18,{scale})")
+    sums, count = F.sum(added).over(frame).cast("double"), F.count(value).over(frame)
     how = {
-        "mean": mean,
+        "count": count,
+        "sum": sums,
+        "mean": F.try_divide(sums, count),
         "std": F.stddev_samp(value).over(frame),
         "min": F.min(value).over(frame),
         "max": F.max(value).over(frame),
@@ -113,27 +113,34 @@ def history_features(
 ) -> DataFrame:
     """Lags, trailing row statistics and change together: one shuffle and one sort for all.
 
-    Trailing statistics of more than ``SLIDING_ROWS`` rows take steps of their own.
+    New columns come in the order of lags, trailing statistics as given, change.
+    Trailing statistics of more than ``SLIDING_ROWS`` rows take steps of their own;
+    they are the same but for the last bits of sums, which are added up in another order.
     """
+    given = list(df.columns)
     many = [n for n in rolling if n > SLIDING_ROWS]
-    rolling = [n for n in rolling if n <= SLIDING_ROWS]
     for n in many:
         df = rolling_many_rows(df, col, n, stats, by, order, scale, block_rows, split)
-    if not (lags or rolling or delta):
+    few = [n for n in rolling if n <= SLIDING_ROWS]
+    if not (lags or few or delta):
         return df
 
     def build(series) -> Mapping[str, Column]:
         columns = _lag_columns(series, col, lags)
-        for n in rolling:
+        for n in few:
             columns.update(_rolling_columns(series, col, n, stats, scale))
         if delta:
             columns.update(_delta_columns(series, col, order[0]))
         return columns
 
-    reach = max([*lags, *rolling, 1 if delta else 0])
-    return over_ordered(
+    reach = max([*lags, *few, 1 if delta else 0])
+    out = over_ordered(
         df, by, order, build, reach=reach, cols=[col], block_rows=block_rows, split=split
     )
+    if not many:
+        return out
+    names = [f"{col}_lag_{n}" for n in lags] + [f"{col}_roll_{n}_{s}" for n in rolling for s in stats]
+    return out.select(*given, *names, *([f"{col}_delta", "seconds_since_previous"] if delta else []))
 
 
 def lag_features(

@@ -29,9 +29,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 BLOCK_ROWS = 1_000_000
-# More blocks than this are made larger instead, so that tables with a row per
-# block, which one task orders, stay small whatever the data.
-MAX_BLOCKS = 50_000
+# Pieces of a series whose running totals one task adds up; see :func:`carried`.
+PIECES = 4_096
 # Tables of one short row per key are broadcast up to this many rows.
 BROADCAST_ROWS = 100_000
 
@@ -71,12 +70,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it from there: computed once, no lineage."""
+    """Write a table to the shared folder and read it from there: computed once, no lineage.
+
+    Such tables stay until :func:`clear_scratch`, since results that are not yet
+    computed may still read them.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this session's intermediate tables; call it when all results are written."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def join_on(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join in which NULL keys match, as they do in GROUP BY and PARTITION BY."""
     hidden = {c: f"_right_{c}" for c in by}
@@ -162,7 +172,7 @@ def lay_out(
     df: DataFrame, rows: int, by: Sequence[str], order: Sequence[str], block_rows: int
 ) -> DataFrame:
     """The ``rows`` rows of ``df`` with their block number; blocks ascend with (by, order)."""
-    n_blocks = min(rows // block_rows + 1, MAX_BLOCKS)
+    n_blocks = rows // block_rows + 1
 
     def cut(numbered: DataFrame) -> DataFrame:
         ranged = numbered.repartitionByRange(n_blocks, *by, *order, TIE)
@@ -193,26 +203,29 @@ def _rows_before(
     by, order = list(by), [*order, TIE]
     kept = laid if keep is None else laid.where(keep)
     newest = Window.partitionBy(*by, BLOCK).orderBy(*[F.col(c).desc() for c in order])
-    in_series = Window.partitionBy(*by).orderBy(BLOCK, *order)
     ends = (
         kept.select(*by, BLOCK, *order, *[c for c in cols if c not in (*by, *order)])
         .withColumn("_age", F.row_number().over(newest))
         .where(F.col("_age") <= reach)
-        .drop("_age")
-        .withColumn(_POS, F.row_number().over(in_series).cast("bigint"))
-        .drop(BLOCK)
     )
     held = F.count("*") if keep is None else F.count_if(keep)
-    earlier = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = laid.groupBy(*by, BLOCK).agg(F.least(held, F.lit(reach)).cast("bigint").alias("_held"))
+    pieces = settle(carried(pieces, by, {"_held": "sum"}, keep_own=True), "pieces")
+    # A kept row's number in its series: those of earlier pieces, and its own from the start
+    # of its piece, which its age tells. So no window runs over the rows of a whole series.
+    until = F.coalesce(F.col("_held"), F.lit(0)) + F.col("_own__held")
+    numbered = (
+        join_on(ends, pieces.select(*by, BLOCK, until.alias("_until")), [*by, BLOCK], "inner")
+        .withColumn(_POS, (F.col("_until") - F.col("_age") + 1).cast("bigint"))
+        .drop(BLOCK, "_until", "_age")
+    )
     wanted = (
-        laid.groupBy(*by, BLOCK)
-        .agg(F.least(held, F.lit(reach)).alias("_held"))
-        .select(*by, BLOCK, F.sum("_held").over(earlier).alias("_last"))
+        pieces.select(*by, BLOCK, F.col("_held").alias("_last"))
         .where(F.col("_last") > 0)
         .withColumn("_first", F.greatest(F.col("_last") - reach + 1, F.lit(1)))
         .select(*by, BLOCK, F.explode(F.sequence("_first", "_last")).alias(_POS))
     )
-    return join_on(wanted, ends, [*by, _POS], "inner").drop(_POS)
+    return join_on(wanted, numbered, [*by, _POS], "inner").drop(_POS)
 
 
 def over_ordered(
@@ -260,19 +273,51 @@ def carried(
     by: Sequence[str],
     merge: Mapping[str, str],
     forward: bool = True,
+    keep_own: bool = False,
 ) -> DataFrame:
     """For each piece (by, block): the merged ``merge`` columns of all pieces before it.
 
     ``merge`` maps a column to ``"sum"``, ``"min"`` or ``"max"``. With
-    ``forward=False`` the pieces after it are merged. Pieces are aggregated
-    before any shuffle, so the window runs over one row per piece.
+    ``forward=False`` the pieces after it are merged; ``keep_own`` adds the piece's
+    own value as ``_own_<column>``. Pieces are aggregated before any shuffle and
+    merged on two levels: inside runs of ``PIECES`` blocks, and over one row per run.
     """
     by = list(by)
+    run = "_run"
     step = F.col(BLOCK) if forward else F.col(BLOCK).desc()
-    others = Window.partitionBy(*by).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+    turn = F.col(run) if forward else F.col(run).desc()
+    in_run = Window.partitionBy(*by, run).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+    runs_before = Window.partitionBy(*by).orderBy(turn).rowsBetween(Window.unboundedPreceding, -1)
     how = {"sum": F.sum, "min": F.min, "max": F.max}
-    pieces = laid.groupBy(*by, BLOCK).agg(*[how[m](c).alias(c) for c, m in merge.items()])
-    return pieces.select(*by, BLOCK, *[how[m](c).over(others).alias(c) for c, m in merge.items()])
+
+    def both(kind: str, a: Column, b: Column) -> Column:
+        if kind == "sum":
+            return F.coalesce(a + b, a, b)
+        return F.least(a, b) if kind == "min" else F.greatest(a, b)
+
+    pieces = (
+        laid.groupBy(*by, BLOCK)
+        .agg(*[how[m](c).alias(c) for c, m in merge.items()])
+        .withColumn(run, F.floor(F.col(BLOCK) / F.lit(PIECES)))
+    )
+    earlier = pieces.groupBy(*by, run).agg(*[how[m](c).alias(c) for c, m in merge.items()])
+    earlier = earlier.select(
+        *by, run, *[how[m](c).over(runs_before).alias(f"_runs_{c}") for c, m in merge.items()]
+    )
+    inside = pieces.select(
+        *by,
+        run,
+        BLOCK,
+        *[how[m](c).over(in_run).alias(f"_in_{c}") for c, m in merge.items()],
+        *[F.col(c).alias(f"_own_{c}") for c in merge],
+    )
+    own = [f"_own_{c}" for c in merge] if keep_own else []
+    return join_on(inside, earlier, [*by, run]).select(
+        *by,
+        BLOCK,
+        *own,
+        *[both(m, F.col(f"_in_{c}"), F.col(f"_runs_{c}")).alias(c) for c, m in merge.items()],
+    )
 
 
 def running_total(

@@ -100,7 +100,7 @@ def test_more_hot_keys_than_may_be_broadcast(spark, monkeypatch):
     df = readings(spark, 6)
     expected = m.lag_features(df, order=ORDER, split="never")
     monkeypatch.setattr(blocks, "BROADCAST_ROWS", 1)
-    monkeypatch.setattr(blocks, "MAX_BLOCKS", 4)
+    monkeypatch.setattr(blocks, "PIECES", 2)
     same_rows(m.lag_features(df, order=ORDER, block_rows=20), expected)
 
 
