@@ -24,6 +24,7 @@ from meterlab.catalog.registry import (
     round_sql,
     rounded,
 )
+from meterlab.functions import bucket
 
 # Small enough that the given tables fill many blocks.
 BLOCK_ROWS = 2_000
@@ -143,6 +144,29 @@ def rolling_many_rows_one_meter(spark, folder):
     return rounded(_keyed(df), ["power_kw_roll_1000_std"])
 
 
+_ALL = ("count", "sum", "mean", "std", "min", "max")
+
+
+def _all_rows_sql(n: int) -> str:
+    frame = f"OVER (PARTITION BY meter_id ORDER BY ts, event_id ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+    name = f"power_kw_roll_{n}"
+    total = f"CAST(sum(CAST(power_kw AS DECIMAL(18,2))) {frame} AS DOUBLE)"
+    return f"""count(power_kw) {frame} AS {name}_count, {total} AS {name}_sum,
+           {total} / nullif(count(power_kw) {frame}, 0) AS {name}_mean,
+           {round_sql(f"stddev_samp(power_kw) {frame}", f"{name}_std")},
+           min(power_kw) {frame} AS {name}_min, max(power_kw) {frame} AS {name}_max"""
+
+
+@registered(f"WITH {ONE_METER} SELECT event_id, {_all_rows_sql(3)}, {_all_rows_sql(300)} FROM readings")
+def rolling_rows_all_stats(spark, folder):
+    """All statistics over few and over many rows: same names, same definitions."""
+    df = m.history_features(
+        one_meter(spark, folder), lags=(), rolling=(3, 300), stats=_ALL, order=ORDER, scale=2,
+        block_rows=BLOCK_ROWS,
+    )
+    return rounded(_keyed(df), ["power_kw_roll_3_std", "power_kw_roll_300_std"])
+
+
 def _rolling_time_sql(table: str, width: str) -> str:
     frame = (
         f"OVER (PARTITION BY meter_id ORDER BY ts RANGE BETWEEN INTERVAL {width} PRECEDING "
@@ -179,15 +203,12 @@ def rolling_time_one_meter(spark, folder):
 
 _DELTA = f"""WITH {{0}}
     SELECT event_id, {round_sql(f"power_kw - lag(power_kw) {_SERIES}", "power_kw_delta")},
-           CAST(date_sub('second', lag(ts) {_SERIES}, ts) AS DOUBLE)
-             AS seconds_since_previous
+           date_sub('second', lag(ts) {_SERIES}, ts) AS seconds_since_previous
     FROM readings"""
 
 
 def _changes(df):
-    seconds = F.col("seconds_since_previous").cast("double")
-    df = _keyed(df.withColumn("seconds_since_previous", seconds))
-    return rounded(df, ["power_kw_delta"])
+    return rounded(_keyed(df), ["power_kw_delta"])
 
 
 @registered(_DELTA.format(READINGS))
@@ -297,18 +318,60 @@ def _hourly(spark, folder):
 
 
 _SEASON = f"""WITH {_grid_sql(READINGS, "hour")}
-    SELECT now.meter_id, now.bucket, now.n_readings, now.power_kw_max,
-           ago.power_kw_max AS power_kw_max_{{1}}_ago
-    FROM grid now LEFT JOIN grid ago
-      ON now.meter_id = ago.meter_id AND ago.bucket = now.bucket - INTERVAL {{0}}"""
+    SELECT meter_id, bucket, n_readings, power_kw_max,
+           lag(power_kw_max, {{0}}) OVER (PARTITION BY meter_id ORDER BY bucket)
+             AS power_kw_max_{{1}}_ago
+    FROM grid"""
 
 
-@registered(_SEASON.format("24 HOURS", "24_hours"))
+@registered(_SEASON.format(24, "24_hours"))
 def seasonal_lag_day(spark, folder):
     grid = _hourly(spark, folder)
     return m.seasonal_lag(grid, "power_kw_max", "24 hours", ts="bucket", unique=True)
 
 
-@registered(_SEASON.format("7 DAYS", "7_days"))
+@registered(_SEASON.format(168, "7_days"))
 def seasonal_lag_week(spark, folder):
-    return m.seasonal_lag(_hourly(spark, folder), "power_kw_max", "7 days", ts="bucket")
+    grid = _hourly(spark, folder)
+    return m.seasonal_lag(grid, "power_kw_max", "7 days", ts="bucket", unique=True)
+
+
+@registered(
+    f"""WITH {READINGS}, hours AS (
+      SELECT event_id, meter_id, date_trunc('hour', ts) AS ts, power_kw FROM readings), means AS (
+      SELECT meter_id, ts + INTERVAL 24 HOURS AS ts, avg(power_kw) AS ago
+      FROM hours GROUP BY meter_id, ts)
+    SELECT event_id, {round_sql("ago", "power_kw_24_hours_ago")}
+    FROM hours LEFT JOIN means USING (meter_id, ts)"""
+)
+def seasonal_lag_of_repeated_times(spark, folder):
+    """Readings by the hour: times repeat, and the mean of an hour is its value."""
+    hours = readings(spark, folder).withColumn("ts", bucket(F.col("ts"), "hour"))
+    df = m.seasonal_lag(hours, "power_kw", "24 hours")
+    return rounded(df.select("event_id", "power_kw_24_hours_ago"), ["power_kw_24_hours_ago"])
+
+
+def _monthly(spark, folder):
+    return m.regular_grid(daily_orders(spark, folder), "month", aggs=("max",))
+
+
+@registered(
+    f"""WITH {_grid_sql(DAILY_ORDERS, "month")}
+    SELECT meter_id, bucket, n_readings, power_kw_max,
+           lag(power_kw_max, 12) OVER (PARTITION BY meter_id ORDER BY bucket)
+             AS power_kw_max_1_year_ago
+    FROM grid"""
+)
+def seasonal_lag_year(spark, folder):
+    grid = _monthly(spark, folder)
+    return m.seasonal_lag(grid, "power_kw_max", "1 year", ts="bucket", unique=True)
+
+
+@registered(
+    f"""WITH {_grid_sql(DAILY_ORDERS, "month")}
+    SELECT meter_id, bucket, n_readings, power_kw_max,
+           lead(power_kw_max, 2) OVER (PARTITION BY meter_id ORDER BY bucket) AS label
+    FROM grid"""
+)
+def direct_label_month(spark, folder):
+    return m.direct_label(_monthly(spark, folder), "power_kw_max", 2, "month", unique=True)

@@ -10,6 +10,7 @@ from meterlab.functions import (
     bucket,
     from_micros,
     is_fixed_width,
+    known,
     mean,
     micros,
     months,
@@ -22,8 +23,10 @@ STEP_STATS = ("sum", "mean", "min", "max")
 _CHUNK = 10_000
 
 
-def _step_statistics(col: str, aggs: Sequence[str], scale: int | None) -> list[Column]:
-    value = F.col(col)
+def _step_statistics(
+    df: DataFrame, col: str, aggs: Sequence[str], scale: int | None
+) -> list[Column]:
+    value = known(F.col(col), df.schema[col].dataType)
     how = {
         "sum": total(value, scale),
         "mean": mean(value, scale),
@@ -44,7 +47,7 @@ def resample(
 ) -> DataFrame:
     """One row per key and step that has readings: ``bucket``, ``n_readings``, ``<col>_<agg>``."""
     return df.groupBy(*by, bucket(F.col(ts), step).alias("bucket")).agg(
-        F.count("*").alias("n_readings"), *_step_statistics(col, aggs, scale)
+        F.count("*").alias("n_readings"), *_step_statistics(df, col, aggs, scale)
     )
 
 
@@ -106,20 +109,34 @@ def regular_grid(
     return (
         timed.unionByName(markers, allowMissingColumns=True)
         .groupBy(*by, "bucket")
-        .agg(F.count("_reading").alias("n_readings"), *_step_statistics(col, aggs, scale))
+        .agg(F.count("_reading").alias("n_readings"), *_step_statistics(df, col, aggs, scale))
+    )
+
+
+def _moved(ts: Column, step: str, times: int) -> Column:
+    """The time so many steps later (or earlier); calendar steps keep day and clock.
+
+    A day that the month does not have becomes its last day.
+    """
+    if is_fixed_width(step):
+        return from_micros(micros(ts) + times * width_micros(step))
+    date = ts.cast("date")
+    since_midnight = micros(ts) - micros(date.cast("timestamp_ntz"))
+    return from_micros(
+        micros(F.add_months(date, times * months(step)).cast("timestamp_ntz")) + since_midnight
     )
 
 
 def _value_at(
-    df: DataFrame, col: str, offset: int, by: Sequence[str], ts: str, out: str, unique: bool
+    df: DataFrame, col: str, step: str, times: int, by: Sequence[str], ts: str, out: str, unique: bool
 ) -> DataFrame:
-    """Value of the same key ``offset`` microseconds away, for rows equal in (key, time).
+    """Value of the same key ``times`` steps away, for rows equal in (key, time).
 
     Each known value is offered to the time it is wanted at. Empty steps offer
     nothing, so a sparse grid costs few offers.
     """
     by = list(by)
-    wanted_at = from_micros(micros(F.col(ts)) - offset)
+    wanted_at = _moved(F.col(ts), step, -times)
     offered = F.col(ts).isNotNull() & F.col(col).isNotNull()
     if not unique:
         offers = df.where(offered).select(*by, wanted_at.alias(ts), F.col(col))
@@ -153,10 +170,12 @@ def seasonal_lag(
     The time is part of the key, so even one meter spreads over the cluster.
     ``unique=True`` promises at most one row per key and time, as grids have,
     and saves a join. Without it readings at equal times count with their mean,
-    and any number of them is allowed. Every input row comes out once.
+    and any number of them is allowed. Every input row comes out once. The period may
+    be a month, quarter or year; a value is then offered to the same day and clock one
+    period later, or to the last day of a month that is shorter.
     """
     name = out or f"{col}_{'_'.join(period.split())}_ago"
-    return _value_at(df, col, -width_micros(period), by, ts, name, unique)
+    return _value_at(df, col, period, -1, by, ts, name, unique)
 
 
 def direct_label(
@@ -171,6 +190,8 @@ def direct_label(
 ) -> DataFrame:
     """The value h steps later on a regular grid: the label of a forecast h steps ahead.
 
+    Steps may be months, quarters or years.
+
     ``unique`` is as in :func:`seasonal_lag`.
     """
-    return _value_at(df, col, h * width_micros(step), by, ts, out, unique)
+    return _value_at(df, col, step, h, by, ts, out, unique)

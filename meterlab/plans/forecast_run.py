@@ -19,8 +19,9 @@ from meterlab.operators.features import (
     cyclic_features,
     history_features,
 )
+from meterlab.operators.grid import direct_label, regular_grid
 from meterlab.operators.model import forecast, split_by_time, train
-from meterlab.plans.blocks import BLOCK_ROWS
+from meterlab.plans.blocks import BLOCK_ROWS, settle
 from meterlab.sources.readings import READINGS_SCHEMA, read_raw_text, read_readings
 
 
@@ -46,6 +47,11 @@ class ForecastConfig:
     key: str = "event_id"
     value: str = "power_kw"
     label: str | Column | None = None
+    # A grid of steps and how far ahead on it: the label is then the value ``horizon``
+    # steps later, and ``<value>_<agg>`` of the current step is a feature.
+    step: str | None = None
+    horizon: int = 0
+    agg: str = "mean"
     parts: Sequence[str] = ("hour", "weekday")
     flags: bool = False
     cycles: Sequence[str] = ()
@@ -73,8 +79,13 @@ def extract(spark: SparkSession, path: str, config: ForecastConfig) -> DataFrame
 def make_features(df: DataFrame, config: ForecastConfig) -> tuple[DataFrame, list[str]]:
     """Readings with label and features, and the names of the features.
 
-    No feature sees its own row's value or a later one.
+    No feature sees its own row's value or a later one; on a grid with a horizon,
+    the current step's value is known and the label lies ahead.
     """
+    if config.step:
+        return _grid_features(df, config)
+    if config.horizon:
+        raise ValueError("a horizon needs a step")
     order = [config.ts, config.key]
     label = config.value if config.label is None else config.label
     # Taken before gaps are filled: a filled value is no reading to score by.
@@ -85,10 +96,38 @@ def make_features(df: DataFrame, config: ForecastConfig) -> tuple[DataFrame, lis
         df = drop_missing(df, [config.value])
     elif config.missing != "impute":
         raise ValueError(f"unknown handling of missing values: {config.missing!r}")
-    given = set(df.columns)
+    return _with_features(df, config, config.value, config.ts, order, [])
+
+
+def _grid_features(df: DataFrame, config: ForecastConfig) -> tuple[DataFrame, list[str]]:
+    """Steps with the label ``horizon`` steps ahead and features of what is known by then."""
+    if config.horizon < 1 or config.label is not None:
+        raise ValueError("on a grid the label is the value at least one step ahead")
+    grid = regular_grid(df, config.step, config.by, (config.agg,), config.value, config.ts)
+    value = f"{config.value}_{config.agg}"
+    df = direct_label(grid, value, config.horizon, config.step, config.by, unique=True)
+    df = df.withColumnRenamed("bucket", config.ts) if config.ts != "bucket" else df
+    if config.missing == "forward":
+        df = fill_forward(df, value, config.by, [config.ts], config.block_rows)
+    elif config.missing == "drop":
+        df = drop_missing(df, [value])
+    elif config.missing != "impute":
+        raise ValueError(f"unknown handling of missing values: {config.missing!r}")
+    return _with_features(df, config, value, config.ts, [config.ts], [value])
+
+
+def _with_features(
+    df: DataFrame,
+    config: ForecastConfig,
+    value: str,
+    ts: str,
+    order: Sequence[str],
+    known: Sequence[str],
+) -> tuple[DataFrame, list[str]]:
+    given = set(df.columns) - set(known)
     df = history_features(
         df,
-        config.value,
+        value,
         config.lags,
         config.rolling,
         config.stats,
@@ -100,13 +139,13 @@ def make_features(df: DataFrame, config: ForecastConfig) -> tuple[DataFrame, lis
         raise ValueError("the last change needs lags 1 and 2")
     if config.delta:
         # The change up to the previous reading: the current value is the target.
-        last, earlier = (F.col(f"{config.value}_lag_{n}") for n in (1, 2))
-        df = df.withColumn(f"{config.value}_last_change", last - earlier)
-    df = calendar_features(df, config.ts, config.parts)
+        last, earlier = (F.col(f"{value}_lag_{n}") for n in (1, 2))
+        df = df.withColumn(f"{value}_last_change", last - earlier)
+    df = calendar_features(df, ts, config.parts)
     if config.flags:
-        df = calendar_flags(df, config.ts).drop("day_part")
+        df = calendar_flags(df, ts).drop("day_part")
     if config.cycles:
-        df = cyclic_features(df, config.cycles, config.ts)
+        df = cyclic_features(df, config.cycles, ts)
     features = [c for c in df.columns if c not in given]
     return df, features
 
@@ -116,17 +155,19 @@ def fit_and_forecast(
 ) -> tuple[PipelineModel, DataFrame]:
     """The model of the training part, and its forecasts for the test part.
 
-    Rows that lack a feature or the label are dropped from both parts, except
-    that ``missing="impute"`` fills features with the means of the training part.
+    Rows that lack a feature are dropped from both parts, except that
+    ``missing="impute"`` fills features with the means of the training part. A label
+    is needed for training only. The features are computed once and stored.
     """
-    before, used, needed = [], list(features), ["label", *features]
+    before, used, needed = [], list(features), list(features)
     if config.missing == "impute":
         numeric = [c for c in features if dict(df.dtypes)[c] in ("double", "float")]
         before = [impute_stage(numeric)]
         used = [c for c in features if c not in numeric] + [f"{c}_filled" for c in numeric]
-        needed = ["label", *[c for c in features if c not in numeric]]
-    complete = drop_missing(df, needed)
+        needed = [c for c in features if c not in numeric]
+    complete = settle(drop_missing(df, needed) if needed else df, "features")
     training, test = split_by_time(complete, config.cutoff, config.ts)
+    training = drop_missing(training, ["label"])
     model = train(training, used, "label", config.params, before, config.scale)
     return model, forecast(model, test)
 
@@ -134,7 +175,10 @@ def fit_and_forecast(
 def run(
     spark: SparkSession, path: str | DataFrame, config: ForecastConfig
 ) -> DataFrame:
-    """Forecasts (``label``, ``prediction``) for the test part; score them with :func:`score`."""
+    """Forecasts (``label``, ``prediction``) for the test part; score them with :func:`score`.
+
+    Rows of the test part whose label is not known yet get a forecast too.
+    """
     df = path if isinstance(path, DataFrame) else extract(spark, path, config)
     return fit_and_forecast(*make_features(df, config), config)[1]
 

@@ -97,10 +97,21 @@ def test_more_features_and_text_input(spark, tmp_path):
     forecasts = m.run(spark, str(tmp_path / "t"), run)
     assert {"power_kw_last_change", "is_weekend", "hour_sin"} <= set(forecasts.columns)
     keys = by_key(forecasts, "label", "prediction")
-    assert keys and all(k % 9 and p is not None for k, (_, p) in keys.items())
+    assert keys and all(p is not None for _, p in keys.values())
+    assert all((label is None) == (k % 9 == 0) for k, (label, _) in keys.items())
+
+
+def test_rows_without_a_label_get_forecasts(spark, signal):
+    unknown = signal.withColumn("target", F.when(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz"), F.col("target")))
+    small = config(params={"maxIter": 2, "maxDepth": 3})
+    known = by_key(m.run(spark, signal, small), "prediction")
+    found = by_key(m.run(spark, unknown, small), "label", "prediction")
+    assert {k: (None, p) for k, p in known.items()} == found
 
 
 def test_refusals(signal):
+    with pytest.raises(ValueError, match="step"):
+        make_features(signal, config(horizon=2))
     with pytest.raises(ValueError, match="lags 1 and 2"):
         make_features(signal, config(delta=True))
     with pytest.raises(ValueError, match="missing"):
