@@ -17,10 +17,11 @@ from meterlab.functions import (
     total,
     width_micros,
 )
-from meterlab.plans.blocks import join_on
+from meterlab.plans.blocks import join_on, over_ordered, settle
 
 STEP_STATS = ("sum", "mean", "min", "max")
 _CHUNK = 10_000
+_STEPS_PER_TASK = 1_000_000
 
 
 def _step_statistics(
@@ -51,37 +52,35 @@ def resample(
     )
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _steps_between(bounds: DataFrame, step: str, by: Sequence[str]) -> DataFrame:
-    """Every step from ``_low`` to ``_high`` of each key."""
-    if not is_fixed_width(step):
-        low, high = F.col("_low").cast("date"), F.col("_high").cast("date")
-        dates = F.explode(F.sequence(low, high, F.expr(f"interval {months(step)} months")))
-        return bounds.select(*by, dates.alias("bucket")).withColumn(
-            "bucket", F.col("bucket").cast("timestamp_ntz")
-        )
-    # A long series has more steps than one array or one task should hold: make
-    # chunks first, spread those, and unfold each one where it lands. Chunks are
-    # few bytes for many steps, so the number of partitions is given: adaptive
-    # execution would merge them by their bytes.
-    width = F.lit(width_micros(step))
-    low = micros(F.col("_low"))
-    last = F.call_function("div", micros(F.col("_high")) - low, width)
-    last_chunk = F.call_function("div", last, F.lit(_CHUNK))
-    chunks = bounds.select(
-        *by,
-        low.alias("_low"),
-        last.alias("_last"),
-        F.explode(F.sequence(F.lit(0), last_chunk)).alias("_chunk"),
-    ).repartition(_partitions(bounds), *by, "_chunk")
-    start = F.col("_chunk") * _CHUNK
-    number = F.explode(F.sequence(start, F.least(start + _CHUNK - 1, F.col("_last"))))
-    return chunks.select(*by, "_low", number.alias("_number")).select(
-        *by, from_micros(F.col("_low") + F.col("_number") * width).alias("bucket")
-    )
+def _steps_apart(earlier: Column, later: Column, step: str) -> Column:
+    """How many steps lie between two starts of steps."""
+    if is_fixed_width(step):
+        return F.call_function("div", micros(later) - micros(earlier), F.lit(width_micros(step)))
+    passed = (F.year(later) - F.year(earlier)) * 12 + F.month(later) - F.month(earlier)
+    return F.call_function("div", passed.cast("bigint"), F.lit(months(step)))
+
+
+def _empty_steps(gaps: DataFrame, step: str, by: Sequence[str]) -> DataFrame:
+    """The ``_missing`` steps that follow ``_before``.
+
+    A long gap has more steps than one array or one task should hold: it is cut
+    into chunks, and these are spread over as many tasks as the steps need. Chunks
+    are few bytes for many steps, so the number of tasks is given.
+    """
+    total = gaps.agg(F.sum("_missing")).first()[0] or 0
+    last_chunk = F.call_function("div", F.col("_missing") - 1, F.lit(_CHUNK))
+    chunks = gaps.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    if total > _STEPS_PER_TASK:
+        chunks = chunks.repartition(total // _STEPS_PER_TASK + 1, *by, "_before", "_chunk")
+    start = F.col("_chunk") * _CHUNK + 1
+    number = F.explode(F.sequence(start, F.least(start + _CHUNK - 1, F.col("_missing"))))
+    numbered = chunks.select(*by, "_before", number.alias("_number"))
+    if is_fixed_width(step):
+        at = from_micros(micros(F.col("_before")) + F.col("_number") * width_micros(step))
+    else:
+        passed = (F.col("_number") * months(step)).cast("int")
+        at = F.add_months(F.col("_before").cast("date"), passed).cast("timestamp_ntz")
+    return numbered.select(*by, at.alias("bucket"))
 
 
 def regular_grid(
@@ -95,22 +94,28 @@ def regular_grid(
 ) -> DataFrame:
     """One row per key and step from its first to its last reading; empty steps hold NULL.
 
-    Empty steps are added as markers *before* the grouping, so readings and
-    steps meet in one pre-aggregated shuffle instead of a join. Readings without
-    a time belong to no step.
+    Readings are gathered by step first. Each step with readings then looks at the
+    one before it and makes the empty steps between the two, so these pass through
+    no shuffle, and the readings are read once. Readings without a time belong to no
+    step.
     """
     by = list(by)
-    timed = df.where(F.col(ts).isNotNull()).select(
-        *by, bucket(F.col(ts), step).alias("bucket"), F.col(col), F.lit(1).alias("_reading")
+    timed = df.where(F.col(ts).isNotNull())
+    steps = settle(resample(timed, step, by, aggs, col, ts, scale), "steps")
+    looked = over_ordered(
+        steps.select(*by, "bucket"),
+        by,
+        ["bucket"],
+        lambda series: {"_before": F.lag("bucket", 1).over(series)},
+        reach=1,
+        cols=["bucket"],
     )
-    bounds = timed.groupBy(*by).agg(F.min("bucket").alias("_low"), F.max("bucket").alias("_high"))
-    # Without a key an empty table still gives one row of bounds.
-    markers = _steps_between(bounds.where(F.col("_low").isNotNull()), step, by)
-    return (
-        timed.unionByName(markers, allowMissingColumns=True)
-        .groupBy(*by, "bucket")
-        .agg(F.count("_reading").alias("n_readings"), *_step_statistics(df, col, aggs, scale))
+    missing = _steps_apart(F.col("_before"), F.col("bucket"), step) - 1
+    gaps = settle(
+        looked.withColumn("_missing", missing).where("_missing > 0").drop("bucket"), "gaps"
     )
+    empty = _empty_steps(gaps, step, by).withColumn("n_readings", F.lit(0).cast("bigint"))
+    return steps.unionByName(empty, allowMissingColumns=True)
 
 
 def _moved(ts: Column, step: str, times: int) -> Column:

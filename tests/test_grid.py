@@ -51,6 +51,21 @@ def test_grid_is_the_same_in_small_chunks(spark, monkeypatch):
     assert len(whole) == 54
 
 
+def test_long_gaps_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(grid_module, "_STEPS_PER_TASK", 1_000_000)
+    df = table(spark, [(1, "2004-01-01 00:00:00", 1.0), (1, "2024-01-01 00:00:00", 2.0)])
+    grid = m.regular_grid(df, "minute", aggs=("max",))
+    held = grid.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in held) == 20 * 365 * 1440 + 5 * 1440 + 1
+    assert len(held) >= 6 and max(r["count"] for r in held) < 4_000_000
+
+
+def test_grid_reads_its_input_once(spark, capsys):
+    m.regular_grid(table(spark, ROWS)).explain()
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan.split("Initial Plan")[0]
+
+
 def test_grid_of_months_over_years_and_of_nothing(spark):
     df = table(spark, [(1, "2023-11-30 00:00:00", 1.0), (1, "2024-02-29 00:00:00", 2.0)])
     months = sorted(b for _, b in cells(m.regular_grid(df, "month"), "n_readings"))
