@@ -206,16 +206,20 @@ def share(
 ) -> DataFrame:
     """Each group's total and its part of the total of the period.
 
-    A window would gather all groups of a period in one task. The periods are
-    few, so their totals are found apart and brought to the groups.
+    A window would gather all groups of a period in one task. The sums of the groups
+    are stored, and the totals of the few periods come from them.
     """
     timed = df.withColumn("bucket", bucket(F.col(ts), period))
-    sums = total(F.col(col), scale)
-    groups = timed.groupBy("bucket", *by).agg(sums.alias("total"))
-    return (
-        attach(groups, ["bucket"], sums.alias("_all"), of=timed)
-        .withColumn("share", F.try_divide(F.col("total"), F.col("_all")))
-        .drop("_all")
+    value = known(F.col(col), df.schema[col].dataType)
+    added = value.cast("double") if scale is None else value.cast(f"decimal(18,{scale})")
+    groups = settle(timed.groupBy("bucket", *by).agg(F.sum(added).alias("_sum")), "shares")
+    whole = attach(groups, ["bucket"], F.sum("_sum").cast("double").alias("_all"))
+    total_of_group = F.col("_sum").cast("double")
+    return whole.select(
+        "bucket",
+        *by,
+        total_of_group.alias("total"),
+        F.try_divide(total_of_group, F.col("_all")).alias("share"),
     )
 
 
