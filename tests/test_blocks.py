@@ -174,3 +174,15 @@ def test_many_trailing_rows_equal_the_sliding_frame(spark, monkeypatch, by):
     monkeypatch.setattr(features, "SLIDING_ROWS", 29)
     same_rows(m.rolling_rows(df, **settings, split="never"), sliding)
     same_rows(m.rolling_rows(df, **settings, block_rows=20), sliding)
+
+
+def test_few_and_many_rows_agree(spark, monkeypatch):
+    """Both ways to build trailing rows: the same columns in the same order, the same values."""
+    df = readings(spark, 9).persist()
+    settings = {"lags": (1,), "rolling": (20, 3), "stats": m.operators.trailing.TIME_STATS, "order": ORDER}
+    sliding = m.history_features(df, **settings)
+    monkeypatch.setattr(m.operators.features, "SLIDING_ROWS", 5)
+    built = m.history_features(df, **settings)
+    assert built.columns == sliding.columns
+    same_rows(built, sliding)
+    df.unpersist()
