@@ -7,18 +7,20 @@ its list, and those that have it in theirs, to one another, if at least one of
 the two is new to the list; who is nearer than the last of a list enters it.
 Neighbours of neighbours meet by joins: members of a part's lists are fetched once per
 part, and what a part finds is sent to the parts of the nodes it concerns. It ends
-when fewer than ``LEAST_CHANGE`` of the entries change, or after ``ROUNDS``.
+when fewer than ``LEAST_CHANGE`` of the entries change.
 
 Queries walk the graph greedily, all at once: each keeps its ``BEAM`` nearest so far
 and in every round looks at the lists of the nearest ``STEP`` of them whose lists it has
-not seen. They begin at the ``STARTS`` longest nodes, and those that are nodes also at
+not seen, until it has seen those of all. Should either not end within ``MOST_ROUNDS``,
+an error says so. They begin at the ``STARTS`` longest nodes, and those that are nodes also at
 themselves. The measure of what is found is computed
 anew, in double precision, on the original vectors.
 
 Vectors of different lengths are reduced to one more component, which makes all
 equally long, so that near in angle means large in inner product; it is 0 for queries.
 For the graph, components have 16 bits. The lists of nodes that many others point to are
-sampled: of the ``n`` that have a node in their lists, about ``REVERSE`` are introduced.
+sampled: of the ``n`` that have a node in their lists, about ``REVERSE`` are introduced,
+others in each round.
 
 Vectors that are null, zero, of another dimension than most, or that hold a null or a
 non-finite number take no part; nor do rows with a null id. Rows that share an id are
@@ -40,14 +42,12 @@ from meterlab.plans.blocks import settle
 
 NEIGHBOURS = 48
 REVERSE = 48
-ROUNDS = 6
+MOST_ROUNDS = 200
 LEAST_CHANGE = 0.02
 PART_NODES = 4096
 DEALS = 4
-NEW_PER_MEETING = 12
 BEAM = 96
 STEP = 8
-SEARCH_ROUNDS = 6
 STARTS = 16
 QUERIES_PER_PART = 1024
 
@@ -146,7 +146,7 @@ def _nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame, list[int], int, in
     return packed, settle(owners, "nodes-of-vectors"), starts, count, parts
 
 
-def build(packed: DataFrame, count: int, parts: int, neighbours: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
+def build(packed: DataFrame, count: int, parts: int, neighbours: int = NEIGHBOURS, rounds: int = MOST_ROUNDS) -> DataFrame:
     """The graph: (part, node, nbr, score, fresh), a list of neighbours per node, best first."""
 
     def start(table: pa.Table) -> pa.Table:
@@ -185,23 +185,25 @@ def build(packed: DataFrame, count: int, parts: int, neighbours: int = NEIGHBOUR
     if parts == 1:
         return graph
     for number in range(1, rounds + 1):
-        graph = settle(_descend(graph, packed, parts, neighbours), f"graph-{number}")
+        graph = settle(_descend(graph, packed, parts, neighbours, number), f"graph-{number}")
         changed = graph.select(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0] or 0
         if changed < LEAST_CHANGE * neighbours * count:
-            break
-    return graph
+            return graph
+    raise RuntimeError(f"The graph still changes after {rounds} rounds.")
 
 
-def _descend(graph: DataFrame, packed: DataFrame, parts: int, neighbours: int) -> DataFrame:
+def _descend(graph: DataFrame, packed: DataFrame, parts: int, neighbours: int, number: int) -> DataFrame:
     """One round: members of each list, and of who lists a node, are introduced to one another."""
     entries = graph.select("node", F.explode(F.arrays_zip("nbr", "fresh")).alias("e")).select(
         F.col("e.nbr").alias("of"), F.col("node").alias("member"), F.col("e.fresh").alias("fresh")
     )
     pointed = entries.groupBy("of").agg(F.count("*").alias("times"))
-    lot = F.pmod(F.xxhash64("of", "member"), F.lit(1 << 20)) / float(1 << 20)
+    # Another draw in each round. Whom it leaves out may have met no one yet, so all who are drawn count as new.
+    lot = F.pmod(F.xxhash64("of", "member", F.lit(number)), F.lit(1 << 20)) / float(1 << 20)
+    fresh = F.col("fresh") | (F.col("times") > REVERSE)
     back = (
         entries.join(pointed, "of").where(lot * F.col("times") < REVERSE)
-        .groupBy("of").agg(F.collect_list(F.struct("member", "fresh")).alias("back"))
+        .groupBy("of").agg(F.collect_list(F.struct("member", fresh.alias("fresh"))).alias("back"))
     )
     meetings = settle(
         graph.join(back.withColumnRenamed("of", "node"), "node", "left").select(
@@ -217,7 +219,7 @@ def _descend(graph: DataFrame, packed: DataFrame, parts: int, neighbours: int) -
     fetched = asked.join(known, "node").select("asking", "node", "packed", "worst", "home")
 
     def introduce(groups: pa.Table, members: pa.Table) -> pa.Table:
-        node, matrix, worst = members["node"].to_numpy(), _matrix(members["packed"]), members["worst"].to_numpy()
+        node, matrix, worst = members["node"].to_numpy(), _matrix(members["packed"]), members["worst"].to_numpy().copy()
         order = np.argsort(node)
         row, member = _flat(groups["members"])
         _, fresh = _flat(groups["fresh"])
@@ -233,16 +235,16 @@ def _descend(graph: DataFrame, packed: DataFrame, parts: int, neighbours: int) -
             near = matrix[here] @ matrix[here].T
             near[here[:, None] == here] = -9
             near[~(new[:, None] | new)] = -9
-            least = worst[here]
-            if len(here) > NEW_PER_MEETING:
-                least = np.maximum(least, np.partition(near, -NEW_PER_MEETING, axis=1)[:, -NEW_PER_MEETING])
-            one, two = np.nonzero(near >= np.maximum(least, -8)[:, None])
-            better = near[one, two] > worst[here[one]]
-            one, two = one[better], two[better]
+            one, two = np.nonzero(near > np.maximum(worst[here], -8)[:, None])
             held.append((here[one], here[two], near[one, two]))
             waiting += len(one)
             if waiting > 2_000_000:
                 held, waiting = [_best_of(held, neighbours)], 0
+                # Who has found a full list here takes only what is nearer than its last.
+                owner, _, score = held[0]
+                last = np.flatnonzero(np.append(owner[1:] != owner[:-1], True))
+                full = np.diff(np.append(-1, last)) >= neighbours
+                worst[owner[last[full]]] = np.maximum(worst[owner[last[full]]], score[last[full]])
         one, two, score = _best_of(held, neighbours)
         # What concerns the nodes of one part travels in one row.
         home = members["home"].to_numpy()[one]
@@ -277,7 +279,7 @@ def _best_of(held: list, most: int) -> tuple[np.ndarray, ...]:
     return _best(one, two, score, np.zeros(len(one), bool), most)[:3]
 
 
-def walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, starts: list[int], rounds: int = SEARCH_ROUNDS, beam: int = BEAM, step: int = STEP) -> DataFrame:
+def walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, starts: list[int], rounds: int = MOST_ROUNDS, beam: int = BEAM, step: int = STEP) -> DataFrame:
     """(query, nodes): the nearest nodes that greedy search finds, best first.
 
     ``queries`` has query (an id), packed (its vector, last component 0) and node,
@@ -360,8 +362,8 @@ def walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, starts: list[i
         ).unionByName(lists.select("asking", "node", F.lit(None).cast("binary").alias("packed"), "nbr"))
         state = settle(state.groupBy("part").cogroup(facts.groupBy("asking")).applyInArrow(move, state_kind), f"walk-{number}")
         if state.where(F.size("look") > 0).isEmpty():
-            break
-    return state.select("query", F.col("ids").alias("nodes"))
+            return state.select("query", F.col("ids").alias("nodes"))
+    raise RuntimeError(f"Queries still have nodes to look at after {rounds} rounds.")
 
 
 def nearest(table: DataFrame, wanted, k: int = 20, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:

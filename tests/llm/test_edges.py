@@ -239,6 +239,37 @@ def test_neighbours_over_parts(spark, monkeypatch):
     assert len(found) == 750 and hits >= 0.9 * 750
 
 
+def recall(spark, vectors, k=10):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=k).toPandas()
+    hits = 0
+    for query, rows in found.groupby("query_id"):
+        score = vectors @ vectors[query]
+        score[query] = -np.inf
+        hits += (rows.score >= np.sort(score)[-k] - 1e-9).sum()
+    return hits / (-(-len(vectors) // 20) * k)
+
+
+def test_neighbours_over_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PART_NODES", 60)
+    monkeypatch.setattr(neighbours, "DEALS", 2)
+    vectors = np.random.default_rng(8).normal(size=(4000, 16))
+    assert recall(spark, vectors) >= 0.95
+
+
+def test_walk_goes_on_to_its_end(spark):
+    # A path of 60 nodes: its end is 15 rounds away at four nodes a round.
+    angle = np.linspace(0, np.pi / 2, 60)
+    vectors = np.column_stack([np.cos(angle), np.sin(angle), np.zeros(60)]).astype("<f2")
+    packed = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(vectors)], "node long, packed binary")
+    rows = [(0, i, [j for j in range(i - 4, i + 5) if 0 <= j < 60 and j != i]) for i in range(60)]
+    graph = spark.createDataFrame(rows, "part int, node long, nbr array<long>")
+    asking = packed.where("node = 59").selectExpr("node as query", "packed", "cast(null as long) as node")
+    assert neighbours.walk(graph, packed, asking, [0]).first().nodes[0] == 59
+    with pytest.raises(RuntimeError):
+        neighbours.walk(graph, packed, asking, [0], rounds=2)
+
+
 def test_words_of_texts():
     split = text.by_space()
     column = pa.array(["a b", None, "", " Ab\x0bcd ", "x" * 5000, "a b"])
