@@ -16,9 +16,13 @@ an error says so. They begin at the ``STARTS`` longest nodes, and those that are
 themselves. The measure of what is found is computed
 anew, in double precision, on the original vectors.
 
-Vectors of different lengths are reduced to one more component, which makes all
-equally long, so that near in angle means large in inner product; it is 0 for queries.
-For the graph, components have 16 bits. The lists of nodes that many others point to are
+Vectors of different lengths are reduced to one more component, ``sqrt(1 - n * n)`` for
+the length ``n``, which makes all equally long, so that near in angle means large in
+inner product; it is 0 for queries. Length 1 is that of the longest node after the
+``STARTS`` longest. These stand in the graph as if they had length 1, and every query
+gets them as candidates. Components have 32 bits, and of the additional one what it lacks
+to 1 is kept: were it kept itself, its rounding would outweigh the differences between
+vectors that are much shorter than others. The lists of nodes that many others point to are
 sampled: of the ``n`` that have a node in their lists, about ``REVERSE`` are introduced,
 others in each round.
 
@@ -58,7 +62,7 @@ def _part(column: str, parts: int):
     return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
 
 
-def _matrix(column: pa.ChunkedArray, kind: str = "<f2") -> np.ndarray:
+def _matrix(column: pa.ChunkedArray, kind: str = "<f4") -> np.ndarray:
     """Rows of a column of binary values as one matrix."""
     values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     if not len(values):
@@ -67,6 +71,11 @@ def _matrix(column: pa.ChunkedArray, kind: str = "<f2") -> np.ndarray:
     return np.frombuffer(raw, kind).reshape(len(values), -1).astype(np.float32)
 
 
+def _near(some: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Inner products, less 1, of packed vectors, whose last components are what they lack to 1."""
+    return some @ others.T - some[:, -1:] - others[:, -1]
+
+
 def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(row, value) of the items of a column of lists."""
     values = column.combine_chunks()
@@ -120,19 +129,21 @@ def vectors_of(table: DataFrame, id_column: str = "vec_id", column: str = "embed
 
 
 def _nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame, list[int], int, int]:
-    """Nodes with their vectors in 16 bits, rows with their nodes, the longest nodes, and the numbers of nodes and parts."""
+    """Nodes with their packed vectors, rows with their nodes, the longest nodes, and the numbers of nodes and parts."""
     rows = vectors.withColumn("same", F.sha2(F.to_json("vector"), 256))
     least = rows.groupBy("same").agg(F.min("vec_id").alias("node"), F.min("vector").alias("vector"))
     nodes = settle(least.withColumn("norm", F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))), "vectors")
-    found = nodes.agg(F.count("*").alias("n"), F.max("norm").alias("norm")).first()
-    count, longest = found["n"], found["norm"] or 1.0
+    count = nodes.count()
+    far = nodes.orderBy(F.desc("norm"), "node").limit(STARTS + 1).select("node", "norm").collect()
+    starts, unit = [r["node"] for r in far[:STARTS]], far[-1]["norm"] if far else 1.0
     parts = -(-count // PART_NODES) or 1
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = np.asarray(batch[1].flatten()).reshape(len(batch[1]), -1) / longest
-            rest = np.sqrt(np.maximum(0, 1 - (raw * raw).sum(axis=1)))
-            packed = np.column_stack([raw, rest]).astype("<f2")
+            raw = np.asarray(batch[1].flatten()).reshape(len(batch[1]), -1) / unit
+            raw /= np.maximum(1, np.sqrt((raw * raw).sum(axis=1, keepdims=True)))
+            square = np.minimum(1, (raw * raw).sum(axis=1))
+            packed = np.column_stack([raw, square / (1 + np.sqrt(1 - square))]).astype("<f4")
             yield pa.RecordBatch.from_arrays(
                 [batch[0], pa.array([x.tobytes() for x in packed], pa.binary())], names=["node", "packed"]
             )
@@ -142,7 +153,6 @@ def _nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame, list[int], int, in
         "packed-vectors",
     )
     owners = rows.select("vec_id", "same").join(nodes.select("same", "node"), "same").select("vec_id", "node")
-    starts = [r["node"] for r in nodes.orderBy(F.desc("norm"), "node").limit(STARTS).select("node").collect()]
     return packed, settle(owners, "nodes-of-vectors"), starts, count, parts
 
 
@@ -153,7 +163,7 @@ def build(packed: DataFrame, count: int, parts: int, neighbours: int = NEIGHBOUR
         node, matrix = table["node"].to_numpy(), _matrix(table["packed"])
         owner, other, score = [], [], []
         for a in range(0, len(node), 256):
-            near = matrix[a : a + 256] @ matrix.T
+            near = _near(matrix[a : a + 256], matrix)
             near[np.arange(len(near)), np.arange(a, a + len(near))] = -np.inf
             most = min(neighbours, len(node) - 1)
             top = np.argpartition(-near, most - 1, axis=1)[:, :most] if most > 0 else np.zeros((len(near), 0), int)
@@ -232,7 +242,7 @@ def _descend(graph: DataFrame, packed: DataFrame, parts: int, neighbours: int, n
             if not new.any():
                 continue
             here = at[a:b]
-            near = matrix[here] @ matrix[here].T
+            near = _near(matrix[here], matrix[here])
             near[here[:, None] == here] = -9
             near[~(new[:, None] | new)] = -9
             one, two = np.nonzero(near > np.maximum(worst[here], -8)[:, None])
@@ -376,7 +386,7 @@ def nearest(table: DataFrame, wanted, k: int = 20, id_column: str = "vec_id", co
     graph = build(packed, count, parts)
     asking = owners.where(wanted)
     # A query's own node is where it begins; its last component does not count.
-    flat = F.concat(F.expr("substring(packed, 1, octet_length(packed) - 2)"), F.unhex(F.lit("0000")))
+    flat = F.concat(F.expr("substring(packed, 1, octet_length(packed) - 4)"), F.unhex(F.lit("00000000")))
     queries = packed.join(asking.select("node").distinct(), "node", "left_semi").select(
         F.col("node").alias("query"), flat.alias("packed"), "node"
     )
@@ -387,7 +397,8 @@ def nearest(table: DataFrame, wanted, k: int = 20, id_column: str = "vec_id", co
         .where(F.col("place") <= k + 1).select("node", "vec_id"),
         "members",
     )
-    reached = found.select("query", F.explode(F.slice(F.array_distinct(F.concat("nodes", F.array("query"))), 1, BEAM + 1)).alias("node"))
+    longest = F.array(*[F.lit(x) for x in starts]).cast("array<long>")
+    reached = found.select("query", F.explode(F.array_distinct(F.concat("nodes", F.array("query"), longest))).alias("node"))
     one = vectors.select("vec_id", F.col("vector").alias("x")).groupBy("vec_id").agg(F.min("x").alias("x"))
     scored = (
         reached.join(one.withColumnRenamed("vec_id", "node"), "node")

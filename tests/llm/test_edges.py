@@ -257,10 +257,28 @@ def test_neighbours_over_many_parts(spark, monkeypatch):
     assert recall(spark, vectors) >= 0.95
 
 
+def test_neighbours_beside_a_long_vector(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PART_NODES", 150)
+    vectors = np.random.default_rng(9).normal(size=(1500, 16))
+    vectors[77] *= 100
+    assert recall(spark, vectors) >= 0.95
+    # Lists hold the nearest, not those whose rounding is alike.
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    packed, _, _, count, parts = neighbours._nodes(df.selectExpr("vec_id", "embedding as vector"))
+    lists = {r.node: {*r.nbr} for r in neighbours.build(packed, count, parts).collect()}
+    unit = np.sort(np.linalg.norm(vectors, axis=1))[-1 - neighbours.STARTS]
+    short = vectors / np.maximum(unit, np.linalg.norm(vectors, axis=1, keepdims=True))
+    whole = np.column_stack([short, np.sqrt(np.maximum(0, 1 - (short * short).sum(axis=1)))])
+    near = whole @ whole.T
+    np.fill_diagonal(near, -9)
+    best = np.argpartition(-near, 48, axis=1)[:, :48]
+    assert np.mean([len(lists[i] & {*best[i]}) / 48 for i in range(1500)]) >= 0.95
+
+
 def test_walk_goes_on_to_its_end(spark):
     # A path of 60 nodes: its end is 15 rounds away at four nodes a round.
     angle = np.linspace(0, np.pi / 2, 60)
-    vectors = np.column_stack([np.cos(angle), np.sin(angle), np.zeros(60)]).astype("<f2")
+    vectors = np.column_stack([np.cos(angle), np.sin(angle), np.zeros(60)]).astype("<f4")
     packed = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(vectors)], "node long, packed binary")
     rows = [(0, i, [j for j in range(i - 4, i + 5) if 0 <= j < 60 and j != i]) for i in range(60)]
     graph = spark.createDataFrame(rows, "part int, node long, nbr array<long>")
