@@ -2,18 +2,19 @@
 
 Texts are cut into lines, and lines into sentences of at least ``SHORT_SENTENCE`` words,
 since passages are often quoted inside a line; below, both are called lines. A line is compared
-without regard to A-Z and white space, by a 64-bit hash; the k-th occurrence of a
-line in a document counts as a line of its own.
-
-Two documents overlap if they share a line that is rare, which here means that
-it is found nowhere before one of the two: each line belongs to the document with
-the smallest doc_id that has it, and every later one that repeats it forms a pair
-with that owner. There are no more pairs than repeated lines, so a line in a third
-of all documents makes one pair per document and not one for every two. Each
-pair is aligned as patience diff does: of the common lines in the order of the
-later document, the longest run with ascending places in the earlier one is
-aligned. Blocks of adjacent aligned lines with at least ``least_words`` words are
-deleted from the later document; shorter ones may be chance and stay.
+without regard to A-Z and white space, by a 64-bit hash.
+
+What is looked for are windows: runs of adjacent lines with at least ``least_words`` words,
+of which either the last or the first line could not be spared. Every run of adjacent lines
+of so many words that two documents share is made up of such windows that they share. A
+window belongs to the document with the smallest doc_id that has it, and every later one
+that repeats it forms a pair with that owner. There are no more pairs than repeated
+windows, so one in a third of all documents makes one pair per document and not one for
+every two; shorter lines that are found everywhere make none and part no passage. Each
+pair is aligned as patience diff does: windows that are found once in both, in the longest
+run that ascends in both, and then the same between them; where there are none of these,
+the k-th occurrence goes with the k-th. The lines of aligned windows are deleted from the
+later document.
 
 Null texts stay null. Rows with a null doc_id have no place in the order and are
 left alone. Rows that share a doc_id are one document for the order: they are
@@ -61,49 +62,75 @@ def _units(chunk: Chunk, split: Splitter) -> tuple[np.ndarray, np.ndarray, np.nd
     return words.row[first], words.start[first], words.stop[cuts], sizes, hashes
 
 
-def _numbered(row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Hashes that also tell the first, second, ... occurrence in a row apart."""
-    order = np.lexsort((hashes, row))
-    r, h = row[order], hashes[order]
-    new = np.ones(len(r), bool)
-    new[1:] = (r[1:] != r[:-1]) | (h[1:] != h[:-1])
-    place = np.arange(len(r))
-    times = np.empty(len(r), np.uint64)
-    times[order] = (place - np.maximum.accumulate(np.where(new, place, 0))).astype(np.uint64)
-    return mix(hashes + times * np.uint64(0x9E3779B97F4A7C15))
+def _windows(row: np.ndarray, words: np.ndarray, hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first line, last line, hash) of the windows of all rows, in order."""
+    count = len(row)
+    none = np.zeros(0, np.int64)
+    if not count:
+        return none, none, none.astype(np.uint64)
+    total = np.append(0, np.cumsum(words))
+    each = np.arange(count)
+    ends = np.searchsorted(total, total[:-1] + least) - 1
+    begins = np.searchsorted(total, total[1:] - least, "right") - 1
+    first, last = np.concatenate([each, begins]), np.concatenate([ends, each])
+    inside = (first >= 0) & (last < count)
+    first, last = first[inside], last[inside]
+    inside = row[first] == row[last]
+    if not inside.any():
+        return none, none, none.astype(np.uint64)
+    first, last = np.unique(np.column_stack([first[inside], last[inside]]), axis=0).T
+    sizes = last - first + 1
+    starts = np.append(0, np.cumsum(sizes)[:-1])
+    place = np.arange(sizes.sum()) - np.repeat(starts, sizes)
+    terms = hashes[np.repeat(first, sizes) + place] * seeded(_PLACES, 29)[place % _PLACES]
+    keys = mix(np.add.reduceat(terms, starts) + sizes.astype(np.uint64))
+    return first, last, keys
+
+
+def _repeats(row: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys their row has had before."""
+    order = np.lexsort((np.arange(len(row)), keys, row))
+    again = np.zeros(len(row), bool)
+    again[order[1:]] = (row[order[1:]] == row[order[:-1]]) & (keys[order[1:]] == keys[order[:-1]])
+    return again
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, line, words, key) of every line; ``docs`` has doc_id, tag and text."""
+def window_table(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(doc_id, tag, place, first, last, again, key) of every window; ``docs`` has doc_id, tag and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = by_space()
         for batch in batches:
             for chunk in chunks(batch[2]):
                 row, _, _, words, hashes = _units(chunk, split)
-                each = np.bincount(row, minlength=chunk.rows)
-                line = np.arange(len(row)) - np.repeat(np.append(0, np.cumsum(each)[:-1]), each)
-                at = pa.array(row + chunk.first)
+                head = np.searchsorted(row, np.arange(chunk.rows))
+                first, last, keys = _windows(row, words, hashes, least_words)
+                owner = row[first]
+                each = np.bincount(owner, minlength=chunk.rows)
+                place = np.arange(len(owner)) - np.repeat(np.append(0, np.cumsum(each)[:-1]), each)
+                at = pa.array(owner + chunk.first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch[0].take(at),
                         batch[1].take(at),
-                        pa.array(line.astype(np.int32)),
-                        pa.array(words.astype(np.int32)),
-                        pa.array(_numbered(row, hashes).view(np.int64)),
+                        pa.array(place.astype(np.int32)),
+                        pa.array((first - head[owner]).astype(np.int32)),
+                        pa.array((last - head[owner]).astype(np.int32)),
+                        pa.array(_repeats(owner, keys)),
+                        pa.array(keys.view(np.int64)),
                     ],
-                    names=["doc_id", "tag", "line", "words", "key"],
+                    names=["doc_id", "tag", "place", "first", "last", "again", "key"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, tag long, line int, words int, key long")
+    return docs.mapInArrow(run, "doc_id long, tag long, place int, first int, last int, again boolean, key long")
 
 
-def _aligned(line: list[int], other: list[int], words: list[int], least: int) -> list[int]:
-    """Lines in aligned blocks of at least ``least`` words; ``line`` ascends."""
+def _ascending(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest run of pairs, which ascend by their first place, that ascend by the second too."""
     tails: list[int] = []
     at: list[int] = []
-    before = [-1] * len(line)
-    for i, place in enumerate(other):
+    before = [-1] * len(pairs)
+    for i, (_, place) in enumerate(pairs):
         k = bisect_left(tails, place)
         before[i] = at[k - 1] if k else -1
         if k == len(tails):
@@ -112,33 +139,56 @@ def _aligned(line: list[int], other: list[int], words: list[int], least: int) ->
         else:
             tails[k], at[k] = place, i
     run = []
-    i = at[-1]
+    i = at[-1] if at else -1
     while i >= 0:
-        run.append(i)
+        run.append(pairs[i])
         i = before[i]
+    return run[::-1]
+
+
+def _aligned(mine: list[int], theirs: list[int]) -> list[int]:
+    """Places in ``mine`` that patience diff aligns with places in ``theirs``."""
     out: list[int] = []
-    block: list[int] = []
-    for i in reversed(run):
-        if block and (line[i] != line[block[-1]] + 1 or other[i] != other[block[-1]] + 1):
-            if sum(words[j] for j in block) >= least:
-                out += [line[j] for j in block]
-            block = []
-        block.append(i)
-    if sum(words[j] for j in block) >= least:
-        out += [line[j] for j in block]
+    left = [(0, len(mine), 0, len(theirs))]
+    while left:
+        a, b, c, d = left.pop()
+        while a < b and c < d and mine[a] == theirs[c]:
+            out.append(a)
+            a, c = a + 1, c + 1
+        while a < b and c < d and mine[b - 1] == theirs[d - 1]:
+            b, d = b - 1, d - 1
+            out.append(b)
+        if a == b or c == d:
+            continue
+        where: dict[int, list[int]] = {}
+        for j in range(c, d):
+            where.setdefault(theirs[j], []).append(j)
+        seen: dict[int, list[int]] = {}
+        for i in range(a, b):
+            seen.setdefault(mine[i], []).append(i)
+        both = [(own, where[key]) for key, own in seen.items() if key in where]
+        once = [(own[0], other[0]) for own, other in both if len(own) == len(other) == 1]
+        run = _ascending(sorted(once or [x for own, other in both for x in zip(own, other, strict=False)]))
+        out += [i for i, _ in run]
+        for i, j in [*run, (b, d)] if run else []:
+            if a < i and c < j:
+                left.append((a, i, c, j))
+            a, c = i + 1, j + 1
     return out
 
 
-def _align(common: DataFrame, least_words: int) -> DataFrame:
+def _align(common: DataFrame) -> DataFrame:
     """(doc_id, tag, gone): the deleted lines of each document that has some."""
-    ordered = common.repartition("doc_id", "tag").sortWithinPartitions("doc_id", "tag", "owner", "line")
+    ordered = common.repartition("doc_id", "tag").sortWithinPartitions("doc_id", "tag", "owner", "owner_tag", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def finish(doc: tuple, pairs: dict[int, list]) -> tuple:
+        def finish(doc: tuple, pairs: dict[tuple, dict[int, tuple]]) -> tuple:
             gone: set[int] = set()
-            for rows in pairs.values():
-                line, other, words = zip(*rows, strict=True)
-                gone.update(_aligned(line, other, words, least_words))
+            for windows in pairs.values():
+                rows = list(windows.values())
+                theirs = sorted((j, key) for _, _, key, others in rows for j in others or ())
+                for i in _aligned([r[2] for r in rows], [key for _, key in theirs]):
+                    gone.update(range(rows[i][0], rows[i][1] + 1))
             return *doc, sorted(gone)
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -151,17 +201,18 @@ def _align(common: DataFrame, least_words: int) -> DataFrame:
         now, pairs = None, {}
         for batch in batches:
             done = []
-            for doc_id, tag, owner, line, other, words in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for doc_id, tag, owner, owner_tag, place, *window in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if (doc_id, tag) != now:
                     if now:
                         done.append(finish(now, pairs))
                     now, pairs = (doc_id, tag), {}
-                pairs.setdefault(owner, []).append((line, other, words))
+                # Rows that are equal throughout have each window several times.
+                pairs.setdefault((owner, owner_tag), {})[place] = window
             yield batch_of([d for d in done if d[2]])
         if now:
             yield batch_of([d for d in [finish(now, pairs)] if d[2]])
 
-    return ordered.select("doc_id", "tag", "owner", "line", "other", "words").mapInArrow(
+    return ordered.select("doc_id", "tag", "owner", "owner_tag", "place", "first", "last", "key", "others").mapInArrow(
         run, "doc_id long, tag long, gone array<int>"
     )
 
@@ -199,16 +250,20 @@ def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     doc_id, text = (f"_{names.index(n)}" for n in ("doc_id", "text"))
     plain = docs.toDF(*ids).withColumn("tag", F.xxhash64(text))
     known = plain.where(F.col(doc_id).isNotNull())
-    lines = settle(line_table(known.select(F.col(doc_id).alias("doc_id"), "tag", F.col(text).alias("text"))), "lines")
+    windows = settle(window_table(known.select(F.col(doc_id).alias("doc_id"), "tag", F.col(text).alias("text")), least_words), "windows")
     owners = settle(
-        lines.groupBy("key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
-        .where("owner < last").select("key", "owner"),
-        "line-owners",
+        windows.groupBy("key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last_id"))
+        .where("owner < last_id").select("key", "owner"),
+        "window-owners",
+    )
+    repeated = settle(windows.join(owners, "key"), "repeated-windows")
+    # Of an owner's texts the one with the smallest tag; its places go with the first occurrence in the later document.
+    heads = (
+        repeated.where("doc_id = owner").groupBy("key", "tag").agg(F.collect_set("place").alias("others"))
+        .groupBy("key").agg(F.min("tag").alias("owner_tag"), F.min_by("others", "tag").alias("others"))
     )
-    repeated = settle(lines.join(owners, "key"), "repeated-lines")
-    heads = repeated.where("doc_id = owner").groupBy("key").agg(F.min("line").alias("other"))
-    common = repeated.where("doc_id > owner").join(heads, "key")
-    gone = settle(_align(common, least_words), "lines-gone")
+    common = repeated.where("doc_id > owner").join(heads, "key").withColumn("others", F.when(~F.col("again"), F.col("others")))
+    gone = settle(_align(common), "lines-gone")
     right = gone.withColumnsRenamed({"doc_id": "gone_id", "tag": "gone_tag"})
     met = plain.join(
         right,

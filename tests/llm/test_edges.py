@@ -71,6 +71,25 @@ def test_lines(spark):
     assert lines.dedup(df.limit(0)).count() == 0
 
 
+def test_lines_inside_passages(spark):
+    # Sentences of six words, some of which earlier documents or other places of the later one have too.
+    said = [" ".join(f"{x}{i}" for i in range(5)) + f" {x}end." for x in "abcdefghij"]
+    passage = " ".join(said)
+    own = [" ".join(f"own{x}{i}" for i in range(9)) + "." for x in range(4)]
+    rows = [(1, f"{own[0]} {said[2]} {own[1]}"), (2, f"{said[6]} {own[2]}"), (5, passage), (9, f"{own[3]} {said[4]}\n{own[0][::-1]}\n{passage}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {x.doc_id: x.text for x in lines.dedup(df).collect()}
+    assert [found[i] for i in (1, 2, 5)] == [t for _, t in rows[:3]]
+    assert found[9] == f"{own[3]} {said[4]}\n{own[0][::-1]}"
+
+
+def test_lines_that_repeat_elsewhere(spark):
+    long = [" ".join(f"{x}{i}" for i in range(12)) + "." for x in "abcd"]
+    rows = [(1, "\n".join(long[:3])), (2, "\n".join([long[1], long[3], *long[:3]]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x.doc_id: x.text for x in lines.dedup(df).collect()}[2] == f"{long[1]}\n{long[3]}"
+
+
 def test_lines_out_of_order(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(12)) for x in "abc")
     df = spark.createDataFrame([(1, f"{a}\n{b}\n{c}"), (2, f"{c}\n{a}\n{b}")], "doc_id long, text string")
