@@ -9,8 +9,9 @@ groups meet, are packed the same way, emit their nearly full bins and pass on th
 rest, until one group is left.
 
 Only rows of piece numbers move, never texts, and only those of underfull bins.
-Should they exceed ``group_rows`` per group (texts that cannot fill bins, such as
-pieces of 60 % of the capacity each), the tree ends there and their bins are final.
+A level has as many groups as keep them at about ``group_rows`` rows each. If these are
+more than the tree would have, bins are dealt to groups by hash, so that rows from all
+parts of the table meet, and that is repeated while the number of bins falls.
 
 Null texts are empty and become the end token alone. Rows that repeat are packed
 like any others; ties in length are broken by the order of rows in a task. An
@@ -168,18 +169,25 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, full_percent: int = FULL_P
     level = settle(pieces.mapInPandas(local, _PACKED), "packed")
     out = level.where("done")
     left = level.where("not done")
-    found = left.agg(F.count("*").alias("rows"), F.max("part").alias("last")).first()
+    # The first row of a bin stands for it.
+    sizes = F.count_if(F.expr("offset = 0")).alias("bins"), F.count_if(F.expr("offset = 0 and not done")).alias("open"), F.count_if(F.expr("not done")).alias("rows")
+    found = level.agg(*sizes, F.max("part").alias("last")).first()
     groups, number = (found["last"] or 0) + 1, 0
+    rows, bins = found["rows"], found["open"]
     while groups > 1:
-        groups, number = -(-groups // fan_in), number + 1
-        if found["rows"] > group_rows * groups:
-            break
-        grouped = left.withColumn("group", F.floor(F.col("part") / fan_in).cast("int"))
+        tree, least, number = -(-groups // fan_in), -(-rows // group_rows), number + 1
+        dealt = least > tree
+        groups = max(tree, least)
+        by = F.pmod(F.xxhash64("sequence_id", F.lit(number)), F.lit(groups)) if dealt else F.floor(F.col("part") / fan_in)
+        grouped = left.withColumn("group", by.cast("int"))
         level = settle(
             grouped.groupBy("group").applyInPandas(merged(number), _PACKED), f"packed-{number}"
         )
+        found = level.agg(*sizes).first()
+        if dealt and found["bins"] >= bins:
+            break
         out, left = out.unionByName(level.where("done")), level.where("not done")
-        found = left.agg(F.count("*").alias("rows")).first()
+        rows, bins = found["rows"], found["open"]
     return out.unionByName(left).drop("done", "part")
 
 

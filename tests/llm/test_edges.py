@@ -50,6 +50,17 @@ def test_packing_tree(spark):
     assert packing.pack(half, fan_in=3, group_rows=100).select("sequence_id").distinct().count() == 3000
 
 
+def test_packing_mixes_sources(spark):
+    # Two to a bin leave room that only the other source's pieces fill; both keep more rows than a group takes.
+    rows = [(i, 0, 0, 900 if i < 2000 else 220, 0) for i in range(4000)]
+    pieces = spark.createDataFrame(spark.sparkContext.parallelize(rows, 40), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    found = packing.pack(pieces, fan_in=2, group_rows=100).toPandas().sort_values(["sequence_id", "offset"])
+    assert sorted(found.doc_id) == list(range(4000))
+    assert (found.groupby("sequence_id").length.cumsum() - found.length == found.offset).all()
+    assert found.groupby("sequence_id").length.sum().max() <= 2048
+    assert found.sequence_id.nunique() <= 1.05 * packing.best_fit(found.length.to_numpy(), 2048)[2]
+
+
 def test_best_fit_by_hand():
     where, offset, bins = packing.best_fit(np.array([5, 7, 3, 2, 4]), 10)
     assert bins == 3 and where[1] == where[2] and offset[2] == 7 and where[0] == where[4]
