@@ -21,6 +21,8 @@ empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 import base64
+import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -46,7 +48,8 @@ _PACKED = f"{_PIECES}, sequence_id long, offset long, done boolean, part int"
 def encoder(path: str | None = None):
     """Tokenizer from a file of ranks; its ids are those of ``byte_bpe_50k.json``.
 
-    Both files hold one vocabulary. Control strings in a text are ordinary text.
+    Both files hold one vocabulary. The added tokens that the JSON file beside the ranks
+    lists, such as ``<|endoftext|>``, are found in texts and have their own ids.
     """
     import public_tokenizers
     import tiktoken
@@ -54,8 +57,12 @@ def encoder(path: str | None = None):
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    added, beside = {}, path.removesuffix(".tiktoken") + ".json"
+    if os.path.exists(beside):
+        with open(beside, encoding="utf-8") as file:
+            added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
     return tiktoken.Encoding(
-        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added
     )
 
 
@@ -95,11 +102,13 @@ def pieces_of(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAP
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode_ordinary
+        own = encoder(tokenizer)
+        added = own.special_tokens_set
         for batch in batches:
             docs, numbers, starts, lengths, sums = [], [], [], [], []
             for doc, text in zip(batch[0].to_pylist(), batch[1], strict=True):
-                ids = encode(text.as_py() or "")
+                plain = text.as_py() or ""
+                ids = own.encode(plain, allowed_special=added) if any(t in plain for t in added) else own.encode_ordinary(plain)
                 ids.append(0)
                 raw = np.array(ids, "<u4").tobytes()
                 ends = range(len(ids) % capacity or capacity, len(ids) + 1, capacity)

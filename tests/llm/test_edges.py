@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -38,6 +40,19 @@ def test_packing(spark, odd):
     assert packing.pack_documents(odd.limit(0)).count() == 0
 
 
+def test_packing_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|><|endoftext|>  b\n", "<|endoftext|", "plain <|end|> text"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = packing.pieces_of(df).toPandas().set_index("doc_id")
+    for i, t in enumerate(texts):
+        ids = [*tokenizer.encode(t, add_special_tokens=False).ids, 0]
+        assert found.length[i] == len(ids) and found.ids_crc32[i] == zlib.crc32(np.array(ids, "<u4").tobytes()), t
+
+
 def test_packing_tree(spark):
     rows = [(i, 0, 0, 1 + i * 7919 % 2048, 0) for i in range(3000)]
     pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(40)
