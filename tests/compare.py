@@ -47,6 +47,7 @@ def sql_rows(con, sql):
 
 TYPES = {
     "BIGINT": "bigint",
+    "INTEGER": "int",
     "DOUBLE": "double",
     "VARCHAR": "string",
     "TIMESTAMP": "timestamp_ntz",
