@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlab.llm import chat, fingerprints, language, lines, mixing, neighbours, ngram_join, packing, quality, toxicity
+from meterlab.llm import chat, fingerprints, language, lines, mixing, negatives, neighbours, ngram_join, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -144,3 +144,33 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     found = language.predict(table(spark, sf_dir, "documents"), learn=~F.coalesce(held_out, F.lit(False)))
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
+SQL["op12_hard_negatives"] = """
+WITH usable AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS MATERIALIZED (
+  SELECT a.r, a.vec_id AS anchor_id, b.r AS other, b.vec_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(range(1, 1 + least(len(a.v), len(b.v))), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT r, anchor_id, other AS place, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.r, place ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON p.r = s.r AND NOT same
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
