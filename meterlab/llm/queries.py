@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlab.llm import chat, fingerprints, language, lines, mixing, negatives, neighbours, ngram_join, packing, quality, toxicity
+from meterlab.llm import chat, fingerprints, language, lines, mixing, negatives, neighbours, ngram_join, packing, prefix_trie, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -146,6 +146,55 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv_id = F.col("conv_id")
+    turns, lengths = prefix_trie.with_heads(
+        prefix_trie.turns_of(table(spark, sf_dir, "conversations")),
+        base=conv_id - conv_id % 20,
+        head=F.crc32(conv_id.cast("string")) % 4,
+        most=3,
+    )
+    return prefix_trie.trie(turns, lengths)
+
+
+# CRC-32 of the decimal digits, bit by bit, and the shorter form of a turn that orders equal turns too.
+_CRC = """xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT)),
+  lambda a, b: list_reduce(CAST(range(8) AS BIGINT[]),
+    lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(a, b)), 4294967295), 4294967295)"""
+_TURN = "substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32)"
+SQL["op11_conversation_prefix_trie"] = rf"""
+WITH told AS (
+  SELECT conv_id, turn, {_TURN} AS digest, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS MATERIALIZED (
+  SELECT conv_id, list({{'g': digest, 'w': words}} ORDER BY turn NULLS FIRST, digest) AS t FROM told GROUP BY conv_id
+), heads AS MATERIALIZED (
+  SELECT conv_id, t, conv_id - conv_id % 20 AS base, CAST({_CRC} % 4 AS BIGINT) AS h FROM own
+), rebuilt AS MATERIALIZED (
+  SELECT a.conv_id, list_concat(coalesce(b.t, [])[1:h], a.t[h + 1:]) AS t FROM heads a LEFT JOIN own b ON a.base = b.conv_id
+), members AS MATERIALIZED (
+  SELECT conv_id, d, array_to_string(list_transform(t[1:d], lambda x: x.g), '') AS k, t[d].w AS words, d = len(t) AS ends
+  FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)
+), nodes AS MATERIALIZED (
+  SELECT d, k, substr(k, 1, length(k) - 32) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ends
+  FROM members GROUP BY d, k
+), counted AS MATERIALIZED (
+  SELECT nodes.*, coalesce(c.n, 0) AS n_children FROM nodes
+  LEFT JOIN (SELECT d - 1 AS d, up AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL) c USING (d, k)
+), below AS (
+  SELECT k, unnest(range(0, d + 1)) AS d, CAST(n_children = 0 AS BIGINT) AS leaf,
+    CASE WHEN d > 0 THEN (n_convs - 1) * words ELSE 0 END AS saved FROM counted
+), sums AS (
+  SELECT d, substr(k, 1, 32 * d) AS k, sum(leaf) AS n_leaves, sum(saved) AS saved FROM below GROUP BY ALL
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM counted n JOIN sums USING (d, k) LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.k = n.up
+"""
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
