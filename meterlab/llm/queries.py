@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlab.llm import chat, fingerprints, language, lines, mixing, negatives, neighbours, ngram_join, packing, prefix_trie, quality, toxicity
+from meterlab.llm import chat, fingerprints, language, lines, mixing, negatives, neighbours, ngram_join, packing, prefix_trie, quality, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -223,3 +223,20 @@ FROM positives p JOIN scores s ON p.r = s.r AND NOT same
   AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10
 """
+
+
+@query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.learn(docs))
+    of = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    told = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.ADDED)
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS],
+        F.sha2(told(base), 256).alias("base_sha256"),
+        told(F.col("spans")).alias("spans"),
+    )
