@@ -2,9 +2,11 @@ r"""Chat formatting by schema fingerprints, in DataFrame functions only.
 
 A record is a struct, or a JSON text read with :data:`RECORD`, in one of many
 layouts: lists of messages, prompt and response, instruction, input and output,
-and so on. The paths of its known fields that hold a value are hashed; the hash
-selects a declarative mapping, which lists where the turns are. Fields that no
-mapping knows do not change the hash.
+and so on. A path of a known field is held if it has a value, one of a list if any of
+its items has one. For each declarative mapping the held ones of the paths that it needs are hashed, and the
+first mapping, in the order of :data:`MAPPINGS`, whose own fingerprint that is tells where the turns
+are. So lists of messages go before pairs of fields that a record holds besides, and fields that no
+mapping knows change nothing.
 
 Turns are then written with a template whose control strings cannot occur inside
 texts or roles: wherever a control string (``<|name|>``, ``<s>``, ``</s>``,
@@ -14,7 +16,8 @@ back what was written. Each turn has its runs of characters: those before the te
 the text itself, and those after it, and whether the text counts for the loss,
 which is so for assistants. Runs make the loss mask without a position per turn.
 
-Null texts and roles are empty. Records of an unknown layout, null or malformed
+Null texts and roles are empty, also those of the first or of all items of a list; an item that is null
+or has neither is no turn. Records of an unknown layout, null or malformed
 ones have no turns, a null layout, and an empty format. Of turns with equal numbers
 the one with the smaller role, then text, is first. A conversation becomes one
 text, so all its turns meet in one row. An empty table gives no rows; extra columns
@@ -24,7 +27,7 @@ are left out.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import chain, combinations
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -58,25 +61,23 @@ class One(NamedTuple):
 
 
 class Mapping(NamedTuple):
-    """Turns of a layout; ``needs`` must hold values, ``may`` can."""
+    """Turns of a layout; the paths ``needs`` must hold values, a list in any field of any item."""
 
     name: str
     needs: tuple[str, ...]
-    may: tuple[str, ...]
     turns: tuple[Each | One, ...]
 
 
 MAPPINGS = (
-    Mapping("messages", ("messages.role", "messages.content"), ("system",), (One("system", ("system",)), Each("messages", "role", "content", rename=False))),
-    Mapping("conversations", ("conversations.from", "conversations.value"), ("system",), (One("system", ("system",)), Each("conversations", "from", "value"))),
-    Mapping("turns", ("turns.speaker", "turns.text"), ("system",), (One("system", ("system",)), Each("turns", "speaker", "text"))),
-    Mapping("prompt_response", ("prompt", "response"), ("system",), (One("system", ("system",)), One("user", ("prompt",)), One("assistant", ("response",)))),
-    Mapping("prompt_completion", ("prompt", "completion"), ("system",), (One("system", ("system",)), One("user", ("prompt",)), One("assistant", ("completion",)))),
-    Mapping("prompt_chosen", ("prompt", "chosen"), ("system",), (One("system", ("system",)), One("user", ("prompt",)), One("assistant", ("chosen",)))),
-    Mapping("instruction", ("instruction", "output"), ("input", "system"), (One("system", ("system",)), One("user", ("instruction", "input")), One("assistant", ("output",)))),
-    Mapping("question", ("question", "answer"), ("context", "system"), (One("system", ("system",)), One("user", ("context", "question")), One("assistant", ("answer",)))),
+    Mapping("messages", ("messages",), (One("system", ("system",)), Each("messages", "role", "content", rename=False))),
+    Mapping("conversations", ("conversations",), (One("system", ("system",)), Each("conversations", "from", "value"))),
+    Mapping("turns", ("turns",), (One("system", ("system",)), Each("turns", "speaker", "text"))),
+    Mapping("prompt_response", ("prompt", "response"), (One("system", ("system",)), One("user", ("prompt",)), One("assistant", ("response",)))),
+    Mapping("prompt_completion", ("prompt", "completion"), (One("system", ("system",)), One("user", ("prompt",)), One("assistant", ("completion",)))),
+    Mapping("prompt_chosen", ("prompt", "chosen"), (One("system", ("system",)), One("user", ("prompt",)), One("assistant", ("chosen",)))),
+    Mapping("instruction", ("instruction", "output"), (One("system", ("system",)), One("user", ("instruction", "input")), One("assistant", ("output",)))),
+    Mapping("question", ("question", "answer"), (One("system", ("system",)), One("user", ("context", "question")), One("assistant", ("answer",)))),
 )
-PATHS = sorted({p for m in MAPPINGS for p in (*m.needs, *m.may)})
 
 _CONTROL = r"(\|[a-z_]+\|>|/?s>|/?INST\])"
 
@@ -100,29 +101,24 @@ def _kinds(df: DataFrame, record: str) -> dict[str, list[str]]:
     }
 
 
-def fingerprint(df: DataFrame, record: str) -> Column:
-    """Hash of the known paths that hold a value in the record; lists by their first item."""
-    kinds = _kinds(df, record)
-    held = []
-    for path in PATHS:
-        top, _, inner = path.partition(".")
-        if top not in kinds or (inner and inner not in kinds[top]) or (not inner and kinds[top]):
-            continue
-        value = F.col(record)[top]
-        value = F.get(value, F.lit(0))[inner] if inner else value
-        held.append(F.when(value.isNotNull(), F.lit(path)))
-    return F.xxhash64(F.array_compact(F.array(*held))) if held else F.xxhash64(F.array().cast("array<string>"))
-
-
-def _hashes() -> Column:
-    """Map from the fingerprint of every layout, with any of its optional fields, to its number."""
-    pairs = []
-    for number, m in enumerate(MAPPINGS):
-        some = chain.from_iterable(combinations(m.may, k) for k in range(len(m.may) + 1))
-        for extra in some:
-            paths = sorted((*m.needs, *extra))
-            pairs += [F.xxhash64(F.array(*[F.lit(p) for p in paths])), F.lit(number)]
-    return F.create_map(*pairs)
+def _told(source: Each, item: Column) -> Column:
+    """Whether an item of a list tells a turn."""
+    return item[source.role].isNotNull() | item[source.text].isNotNull()
+
+
+def _held(df: DataFrame, record: str, mapping: Mapping, path: str) -> Column:
+    """Whether the record holds a value at the path."""
+    value = F.col(record)[path]
+    for source in mapping.turns:
+        if isinstance(source, Each) and source.list == path:
+            return F.exists(value, partial(_told, source))
+    return value.isNotNull()
+
+
+def fingerprint(df: DataFrame, record: str, mapping: Mapping) -> Column:
+    """Hash of those of the paths that the mapping needs that hold a value in the record."""
+    held = [F.when(F.coalesce(_held(df, record, mapping, p), F.lit(False)), F.lit(p)) for p in sorted(mapping.needs)]
+    return F.xxhash64(F.array_compact(F.array(*held)))
 
 
 def _role(name: Column) -> Column:
@@ -147,7 +143,7 @@ def canonical_turns(df: DataFrame, record: str, keep: Sequence[str] = ()) -> Dat
         parts = []
         for source in m.turns:
             if isinstance(source, Each):
-                parts.append(F.transform(F.col(record)[source.list], turn_of(source)))
+                parts.append(F.transform(F.filter(F.col(record)[source.list], partial(_told, source)), turn_of(source)))
                 continue
             fields = [F.col(record)[f] for f in source.fields if f in kinds]
             if fields:
@@ -156,10 +152,15 @@ def canonical_turns(df: DataFrame, record: str, keep: Sequence[str] = ()) -> Dat
         return F.concat(*parts)
 
     def known(m: Mapping) -> bool:
-        tops = [p.partition(".") for p in m.needs]
-        return all(t in kinds and (not inner or inner in kinds[t]) for t, _, inner in tops)
+        inner = {source.list: {source.role, source.text} for source in m.turns if isinstance(source, Each)}
+        return all(p in kinds and inner.get(p, set()) <= set(kinds[p]) for p in m.needs)
 
-    marked = df.withColumn("_layout", F.element_at(_hashes(), fingerprint(df, record)))
+    found = F.lit(None).cast("int")
+    for number, m in reversed(list(enumerate(MAPPINGS))):
+        if known(m):
+            own = F.xxhash64(F.array(*[F.lit(p) for p in sorted(m.needs)]))
+            found = F.when(fingerprint(df, record, m) == own, F.lit(number)).otherwise(found)
+    marked = df.withColumn("_layout", found)
     none = F.array().cast("array<struct<role string, text string>>")
     turns, name = none, F.lit(None).cast("string")
     for number, m in enumerate(MAPPINGS):
