@@ -13,14 +13,15 @@ are damped by the square root of their count. What all prototypes have in common
 taken off both sides, so that cosines tell languages apart.
 
 Null texts, and those without a letter, are ``und`` with score 0. Letters are what
-Unicode calls so, lower-cased; beyond the 65,536 first code points they count as one
-letter. Ties go to the first language in code point order. Without any training text
+Unicode calls so, of all its code points, lower-cased; those beyond a-z share the
+numbers that a-z leave. Ties go to the first language in code point order. Without any training text
 all are ``und``. Rows that share a doc_id are treated one by one. An empty table gives
 no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from meterlab.llm.text import pick
 from meterlab.plans.blocks import settle
 
 WIDTH = 1024
-LETTERS = 40
+LETTERS = 64
 SEED = 17
 UNKNOWN = "und"
 # Code points of text that are worked on at a time.
@@ -43,14 +44,13 @@ ROWS = 128
 
 def letter_table() -> np.ndarray:
     """Number of each code point's letter: 0 is no letter; letters share 1 to LETTERS - 1."""
-    table = np.zeros(65_537, np.uint8)
-    for code in range(65_536):
+    table = np.zeros(sys.maxunicode + 1, np.uint8)
+    for code in range(len(table)):
         char = chr(code)
         if char.isalpha():
             low = ord(char.lower()[0])
             # a-z have numbers of their own; others share what is left.
             table[code] = low - 96 if 97 <= low <= 122 else 27 + low * 2_654_435_761 % 4_294_967_296 % (LETTERS - 27)
-    table[65_536] = LETTERS - 1
     return table
 
 
@@ -66,7 +66,7 @@ def trigrams(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """(row, trigram) of all trigrams of texts, and of each text's number of letters."""
     joined = "\n\n".join(texts)
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    letters = table[np.minimum(points, 65_536)]
+    letters = table[points]
     ends = np.cumsum([len(t) + 2 for t in texts])
     row = np.repeat(np.arange(len(texts)), np.diff(np.append(0, ends)))[: len(letters)]
     # Runs of other characters are one edge between words.
@@ -95,8 +95,10 @@ def _pieces(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
 def prototypes(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> tuple[list[str], np.ndarray]:
     """Languages and their vectors, learnt from all rows of (lang, text)."""
 
+    table = letter_table()
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, totals = letter_table(), {}
+        totals = {}
         for batch in batches:
             langs = batch[0].to_pylist()
             for first, texts in _pieces(batch[1]):
@@ -138,10 +140,9 @@ def predict(docs: DataFrame, learn: Column | None = None, width: int = WIDTH, se
     centred = vectors - common
     centred /= np.maximum(np.linalg.norm(centred, axis=1, keepdims=True), 1e-12)
     towards = common / max(np.linalg.norm(common), 1e-12)
-    centred, towards = centred.astype(np.float32), towards.astype(np.float32)
+    centred, towards, table = centred.astype(np.float32), towards.astype(np.float32), letter_table()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = letter_table()
         known = np.full(LETTERS**3, -1, np.int64)
         space = np.zeros((0, width), np.float32)
         for batch in batches:
