@@ -244,9 +244,15 @@ def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents without the blocks that earlier ones have.
 
     All columns stay; ``text`` is replaced, and ``lines_removed`` and
-    ``words_removed`` (bigint) are added.
+    ``words_removed`` (bigint) are added, always last. Where the documents have a column of
+    such a name, in any case, underscores are added to the new one until it differs from all.
     """
     names, ids = list(docs.columns), [f"_{i}" for i in range(len(docs.columns))]
+    taken, added = {n.lower() for n in names}, []
+    for name in ("lines_removed", "words_removed"):
+        while name in taken:
+            name += "_"
+        added.append(name)
     doc_id, text = (f"_{names.index(n)}" for n in ("doc_id", "text"))
     plain = docs.toDF(*ids).withColumn("tag", F.xxhash64(text))
     known = plain.where(F.col(doc_id).isNotNull())
@@ -296,4 +302,4 @@ def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
 
     kinds = ", ".join(f"{c} {t}" for c, t in docs.toDF(*ids).dtypes)
     out = met.mapInArrow(run, f"{kinds}, lines_removed long, words_removed long")
-    return out.toDF(*names, "lines_removed", "words_removed")
+    return out.toDF(*names, *added)
