@@ -19,12 +19,17 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of earlier ones; those of which nothing is left go."""
     found = lines.dedup(docs)
-    empty = F.coalesce(F.length(F.trim("text")), F.lit(0)) == 0
-    left = found.where((F.col("lines_removed") == 0) | ~empty)
-    if "n_chars" in docs.columns:
-        changed = F.when(F.col("lines_removed") > 0, F.length("text").cast("long"))
-        left = left.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
-    return left.drop("lines_removed", "words_removed")
+    names = docs.columns
+    # By place, since documents may have columns of any names.
+    plain = found.toDF(*[f"_{i}" for i in range(len(names))], "removed", "_words")
+    text = f"_{names.index('text')}"
+    empty = F.coalesce(F.length(F.trim(text)), F.lit(0)) == 0
+    left = plain.where((F.col("removed") == 0) | ~empty)
+    if "n_chars" in names:
+        size = f"_{names.index('n_chars')}"
+        changed = F.when(F.col("removed") > 0, F.length(text).cast("long"))
+        left = left.withColumn(size, F.coalesce(changed, F.col(size)))
+    return left.drop("removed", "_words").toDF(*names)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
