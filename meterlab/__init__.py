@@ -2,7 +2,10 @@
 
 from meterlab.operators import *  # noqa: F403
 from meterlab.operators import __all__ as _operators
+from meterlab.plans.backtest import backtest, backtest_errors
 from meterlab.plans.forecast_run import ForecastConfig, run, score
+from meterlab.plans.importance import permutation_importance
+from meterlab.plans.recursive import recursive_forecast
 from meterlab.sources import (
     READINGS_SCHEMA,
     query,
@@ -16,9 +19,13 @@ __all__ = [
     *_operators,
     "READINGS_SCHEMA",
     "ForecastConfig",
+    "backtest",
+    "backtest_errors",
+    "permutation_importance",
     "query",
     "read_raw_text",
     "read_readings",
+    "recursive_forecast",
     "register",
     "run",
     "score",

@@ -1,5 +1,6 @@
 """Operators: plain functions from DataFrame to DataFrame, for ``df.transform`` or direct use."""
 
+from meterlab.operators.asof import asof_join
 from meterlab.operators.clean import (
     MISSING_TOKENS,
     drop_missing,
@@ -43,11 +44,14 @@ from meterlab.operators.model import (
     train,
 )
 from meterlab.operators.select import between, peaks
+from meterlab.operators.sessions import outages, sessions
 from meterlab.operators.trailing import rolling_time
+from meterlab.operators.weighted import ewm_features
 
 __all__ = [
     "MISSING_TOKENS",
     "apply_schema",
+    "asof_join",
     "assemble_stage",
     "between",
     "calendar_features",
@@ -59,6 +63,7 @@ __all__ = [
     "direct_label",
     "drop_missing",
     "errors",
+    "ewm_features",
     "exact_quantiles",
     "fill_constant",
     "fill_forward",
@@ -73,6 +78,7 @@ __all__ = [
     "naive_forecast",
     "null_profile",
     "null_tokens",
+    "outages",
     "peaks",
     "plot_table",
     "regular_grid",
@@ -83,6 +89,7 @@ __all__ = [
     "save_model",
     "scale_stage",
     "seasonal_lag",
+    "sessions",
     "share",
     "split_by_key",
     "split_by_time",

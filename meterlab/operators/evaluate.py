@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from meterlab.functions import mean
 from meterlab.operators.features import lag_features
 from meterlab.operators.grid import seasonal_lag
+from meterlab.operators.weighted import ewm_features
 from meterlab.plans.blocks import BLOCK_ROWS, attach
 
 
@@ -53,8 +54,9 @@ def naive_forecast(
     split: str = "auto",
     unique: bool = False,
 ) -> DataFrame:
-    """Add ``forecast``: ``"mean"`` of the key before ``cutoff``, ``"last"`` reading,
-    or the ``"season"`` value one period earlier (on a grid, which is ``unique``)."""
+    """Add ``forecast``: ``"mean"`` of the key before ``cutoff``, ``"last"`` reading, the ``"season"``
+    value one period earlier (on a grid, which is ``unique``), or the ``"smooth"`` mean of all earlier
+    readings, whose weights halve with every ``period``."""
     by = list(by)
     if kind == "last":
         lagged = lag_features(
@@ -63,6 +65,10 @@ def naive_forecast(
         return lagged.withColumnRenamed(f"{col}_lag_1", "forecast")
     if kind == "season":
         return seasonal_lag(df, col, period, by, ts, out="forecast", unique=unique)
+    if kind == "smooth":
+        return ewm_features(
+            df, col, period, by, order or (ts,), "forecast", block_rows=block_rows, split=split
+        )
     if kind == "mean":
         if cutoff is None:
             raise ValueError("the mean forecast needs the cutoff that ends the training part")

@@ -167,13 +167,13 @@ def correlations(
 ) -> DataFrame:
     """Pearson correlation of all pairs of ``cols`` or of the given pairs, in one pass.
 
-    Rows that lack one of the two values do not count. A constant column
+    Rows that lack one of the two values, or have NaN there, do not count. A constant column
     correlates with nothing: NULL (``corr`` would fail on it in ANSI mode).
     """
     chosen = list(pairs) or list(combinations(cols, 2))
 
     def both(a: str, b: str) -> tuple[Column, Column]:
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        x, y = (known(F.col(c), df.schema[c].dataType).cast("double") for c in (a, b))
         return F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
 
     measured = []

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterlab.functions import seconds_between
+from meterlab.functions import known, seconds_between
 from meterlab.operators.trailing import rolling_many_rows
 from meterlab.plans.blocks import BLOCK_ROWS, over_ordered
 
@@ -74,9 +74,8 @@ def _lag_columns(series, col: str, lags: Sequence[int]) -> dict[str, Column]:
 
 
 def _rolling_columns(
-    series, col: str, n: int, stats: Sequence[str], scale: int | None
+    series, col: str, value: Column, n: int, stats: Sequence[str], scale: int | None
 ) -> dict[str, Column]:
-    value = F.col(col)
     frame = series.rowsBetween(-n, -1)
     added = value.cast("double") if scale is None else value.cast(f"decimal(18,{scale})")
     sums, count = F.sum(added).over(frame).cast("double"), F.count(value).over(frame)
@@ -92,9 +91,10 @@ def _rolling_columns(
 
 
 def _delta_columns(series, col: str, ts: str) -> dict[str, Column]:
+    """The change, and the time of the previous reading in the place of the seconds since."""
     return {
         f"{col}_delta": F.col(col) - F.lag(col, 1).over(series),
-        "seconds_since_previous": seconds_between(F.lag(ts, 1).over(series), F.col(ts)),
+        "seconds_since_previous": F.lag(ts, 1).over(series),
     }
 
 
@@ -114,7 +114,7 @@ def history_features(
     """Lags, trailing row statistics and change together: one shuffle and one sort for all.
 
     New columns come in the order of lags, trailing statistics as given, change.
-    Trailing statistics of more than ``SLIDING_ROWS`` rows take steps of their own;
+    NaN counts as missing in trailing statistics. Those of more than ``SLIDING_ROWS`` rows take steps of their own;
     they are the same but for the last bits of sums, which are added up in another order.
     """
     given = list(df.columns)
@@ -125,10 +125,12 @@ def history_features(
     if not (lags or few or delta):
         return df
 
+    value = known(F.col(col), df.schema[col].dataType)
+
     def build(series) -> Mapping[str, Column]:
         columns = _lag_columns(series, col, lags)
         for n in few:
-            columns.update(_rolling_columns(series, col, n, stats, scale))
+            columns.update(_rolling_columns(series, col, value, n, stats, scale))
         if delta:
             columns.update(_delta_columns(series, col, order[0]))
         return columns
@@ -137,6 +139,10 @@ def history_features(
     out = over_ordered(
         df, by, order, build, reach=reach, cols=[col], block_rows=block_rows, split=split
     )
+    if delta:
+        # From a column, since the seconds look at the time several times.
+        since = seconds_between(F.col("seconds_since_previous"), F.col(order[0]))
+        out = out.withColumn("seconds_since_previous", since)
     if not many:
         return out
     names = [f"{col}_lag_{n}" for n in lags] + [f"{col}_roll_{n}_{s}" for n in rolling for s in stats]

@@ -157,7 +157,11 @@ def _value_at(
     payload = [c for c in df.columns if c not in (*by, col)]
     narrow = unfolded.withColumns({c: F.when(F.col("_row"), F.col(c)) for c in payload})
     offer = F.when(~F.col("_row"), F.col(col))
-    met = narrow.withColumn(out, F.avg(offer).over(Window.partitionBy(*by, "_at")))
+    # Rows without a time meet no offer; they are dealt by what they hold, not to one task.
+    alone = F.when(F.col("_at").isNull(), F.xxhash64(F.col(col), *payload))
+    met = narrow.withColumn("_alone", alone).withColumn(
+        out, F.avg(offer).over(Window.partitionBy(*by, "_at", "_alone"))
+    )
     return met.where(F.col("_row")).select(*df.columns, out)
 
 

@@ -65,7 +65,8 @@ def train(
     ``before`` holds stages to fit first, such as an imputer whose output is
     among ``features``. Boosting reads its input many times, so the feature
     table is kept while it runs; the tree updates cut their lineage in the
-    checkpoint folder.
+    checkpoint folder. The table is dealt and sorted by its values first, so equal
+    rows give an equal model, however they lay in files.
     """
     ensure_checkpoint_dir(df.sparkSession)
     settings = {"seed": 42, "maxIter": 20, "maxDepth": 5, "maxMemoryInMB": 512}
@@ -78,7 +79,8 @@ def train(
     made = {c for stage in before for c in stage.getOutputCols()}
     read = {c for stage in before for c in stage.getInputCols()}
     needed = sorted((set(features) - made) | read | {label})
-    table = df.select(*needed)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = df.select(*needed).repartition(parts, *needed).sortWithinPartitions(*needed)
     if not persist:
         return Pipeline(stages=stages).fit(table)
     table.persist(StorageLevel.MEMORY_AND_DISK)

@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from meterlab.functions import micros, width_micros
+from meterlab.functions import known, micros, width_micros
 from meterlab.plans.blocks import (
     BLOCK,
     BLOCK_ROWS,
@@ -150,7 +150,7 @@ def rolling_time(
     block_rows: int = BLOCK_ROWS,
     split: str = "auto",
 ) -> DataFrame:
-    """``<col>_<width>_<stat>`` over the known readings in ``[ts - width, ts)``.
+    """``<col>_<width>_<stat>`` over the known readings in ``[ts - width, ts)``; NaN is not known.
 
     Rows without a time get NULL. Keys with more than ``block_rows`` rows within
     one width are worked on in blocks.
@@ -212,7 +212,7 @@ def _trailing(
         raise ValueError(f"unknown statistics: {unknown}")
     by = list(by)
     needs = set().union(*[_NEEDS[s] for s in stats])
-    value = F.col(col)
+    value = known(F.col(col), df.schema[col].dataType)
     exact = value.cast("double") if scale is None else value.cast(f"decimal(18,{scale})")
     single = {
         "_n": F.when(value.isNotNull(), F.lit(1).cast("bigint")),

@@ -23,6 +23,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from contextvars import ContextVar
 from functools import reduce
 from typing import NamedTuple
 
@@ -50,18 +51,19 @@ class Hot(NamedTuple):
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints, as the session names it."""
+    """The application's own folder for checkpoints, below the shared folder that the session names.
+
+    Without the setting only local mode may start, where all tasks share the machine's folders.
+    """
     context = spark.sparkContext
-    folder = context.getCheckpointDir()
-    if folder:
-        return folder
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="meterlab-")
-    context.setCheckpointDir(folder)
-    return folder
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if context.master != "local" and not context.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = f"{tempfile.gettempdir()}/meterlab"
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -73,18 +75,41 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it from there: computed once, no lineage.
 
     Such tables stay until :func:`clear_scratch`, since results that are not yet
-    computed may still read them.
+    computed may still read them, or until the :func:`settled` ends in which they were written.
     """
     path = scratch_path(df.sparkSession, name)
+    for held in _SCOPES.get():
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Paths written in the scopes that are open, the innermost last; threads have their own.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scratch scopes", default=())
+
+
+def settled(df: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The table that ``df`` builds, stored; what was stored on the way to it is deleted."""
+    held: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), held))
+    try:
+        stored = settle(df(), name)
+    finally:
+        _SCOPES.reset(token)
+    _delete(stored.sparkSession, held[:-1])
+    return stored
+
+
+def _delete(spark: SparkSession, paths: Sequence[str]) -> None:
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this session's intermediate tables; call it when all results are written."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, [ensure_checkpoint_dir(spark)])
 
 
 def join_on(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
@@ -330,23 +355,37 @@ def running_total(
     split: str = "auto",
 ) -> DataFrame:
     """Cumulative sum of ``col`` in the order of ``order``, current row included."""
-    by, order = list(by), list(order)
-    plain = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return running_totals(df, by, order, {out: col}, block_rows=block_rows, split=split)
+
+
+def running_totals(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    cols: Mapping[str, str],
+    before: bool = False,
+    block_rows: int = BLOCK_ROWS,
+    split: str = "auto",
+) -> DataFrame:
+    """Cumulative sums ``{out: column}`` in the order of ``order``; ``before`` leaves the current row out."""
+    by, order, last = list(by), list(order), -1 if before else 0
+    plain = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+    sums = lambda frame: {out: F.sum(c).over(frame) for out, c in cols.items()}
     light, hot = (df, None) if split == "never" else split_hot(df, by, block_rows)
-    parts = [] if light is None else [light.withColumn(out, F.sum(col).over(plain))]
+    parts = [] if light is None else [light.withColumns(sums(plain))]
     if hot is not None:
         laid = lay_out(hot.df, hot.rows, by, order, block_rows)
-        before = carried(laid, by, {col: "sum"}).withColumn(_COPY, F.lit(True))
+        carry = carried(laid, by, {c: "sum" for c in cols.values()}).withColumn(_COPY, F.lit(True))
         first = F.col(_COPY).desc()
         inside = (
             Window.partitionBy(*by, BLOCK)
             .orderBy(first, *order, TIE)
-            .rowsBetween(Window.unboundedPreceding, 0)
+            .rowsBetween(Window.unboundedPreceding, last)
         )
         parts.append(
             laid.withColumn(_COPY, F.lit(False))
-            .unionByName(before, allowMissingColumns=True)
-            .withColumn(out, F.sum(col).over(inside))
+            .unionByName(carry, allowMissingColumns=True)
+            .withColumns(sums(inside))
             .where(~F.col(_COPY))
             .drop(_COPY, BLOCK, TIE)
         )

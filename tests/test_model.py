@@ -106,7 +106,9 @@ def test_rows_without_a_label_get_forecasts(spark, signal):
     small = config(params={"maxIter": 2, "maxDepth": 3})
     known = by_key(m.run(spark, signal, small), "prediction")
     found = by_key(m.run(spark, unknown, small), "label", "prediction")
-    assert {k: (None, p) for k, p in known.items()} == found
+    assert known.keys() == found.keys() and all(label is None for label, _ in found.values())
+    # The same trees; sums of files of other sizes may differ in their last bits.
+    assert all(abs(known[k] - p) < 1e-9 for k, (_, p) in found.items())
 
 
 def test_refusals(signal):
