@@ -6,11 +6,14 @@ from meterlab.plans.backtest import backtest, backtest_errors
 from meterlab.plans.forecast_run import ForecastConfig, run, score
 from meterlab.plans.importance import permutation_importance
 from meterlab.plans.recursive import recursive_forecast
+from meterlab.plans.search import search
 from meterlab.sources import (
     READINGS_SCHEMA,
+    merge_readings,
     query,
     read_raw_text,
     read_readings,
+    refresh_features,
     register,
     write_table,
 )
@@ -21,13 +24,16 @@ __all__ = [
     "ForecastConfig",
     "backtest",
     "backtest_errors",
+    "merge_readings",
     "permutation_importance",
     "query",
     "read_raw_text",
     "read_readings",
     "recursive_forecast",
+    "refresh_features",
     "register",
     "run",
     "score",
+    "search",
     "write_table",
 ]

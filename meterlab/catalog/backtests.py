@@ -8,6 +8,7 @@ import meterlab as m
 from meterlab.catalog.fixtures import CUTOFF, ORDER, READINGS_SIGNAL, readings_signal
 from meterlab.catalog.models import _config
 from meterlab.catalog.registry import registered
+from meterlab.plans.blocks import settle
 from meterlab.plans.forecast_run import fit_and_forecast, make_features
 
 _CUTOFFS = ("2024-01-12 00:00:00", "2024-01-18 00:00:00", "2024-01-24 00:00:00")
@@ -84,3 +85,26 @@ def importance_of_features(spark, folder):
         (F.max("loss") > 2 * F.max(F.when(F.col("feature") != "hour", F.col("loss")))).alias("clearly"),
         F.count("*").alias("n_features"),
     )
+
+
+@registered(
+    f"""WITH {READINGS_SIGNAL}, history AS (
+      SELECT *, lag(power_kw) OVER (PARTITION BY meter_id ORDER BY ts, event_id) AS previous FROM readings)
+    SELECT count(*) AS n, true AS fewer_trees, true AS no_worse FROM history
+    WHERE previous IS NOT NULL AND ts >= TIMESTAMP '{CUTOFF}'"""
+)
+def search_with_early_stop(spark, folder):
+    """Boosting ends before its limit, and forecasts the test part no worse than all trees do."""
+    df, features = make_features(readings_signal(spark, folder), _config())
+    complete = settle(m.drop_missing(df, [*features, "label"]), "complete")
+    training, test = m.split_by_time(complete, CUTOFF)
+    candidates = [{"maxIter": 40, "maxDepth": d, "stepSize": 0.3, "validationTol": 0.01} for d in (3, 5)]
+    model, told = m.search(training, features, candidates, "2024-01-19 00:00:00")
+    full = m.train(training, features, params={k: v for k, v in told[0]["params"].items() if k != "validationTol"})
+    both = m.forecast(full, m.forecast(model, test).withColumnRenamed("prediction", "early"))
+    miss = lambda c: F.sqrt(F.avg(F.pow(F.col(c) - F.col("label"), 2)))
+    return both.agg(
+        F.count("*").alias("n"),
+        F.lit(told[0]["trees"] < 40).alias("fewer_trees"),
+        (miss("early") <= 1.05 * miss("prediction")).alias("no_worse"),
+    )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import Column, functions as F
 
 import meterlab as m
 from meterlab.catalog.features import BLOCK_ROWS, _keyed
@@ -20,6 +22,7 @@ from meterlab.catalog.fixtures import (
     readings_null,
 )
 from meterlab.catalog.registry import registered, round_sql, rounded
+from meterlab.plans.blocks import scratch_path
 
 
 @registered(
@@ -219,3 +222,126 @@ def rolling_time_with_nan(spark, folder):
 )
 def correlations_with_nan(spark, folder):
     return rounded(m.correlations(_with_nan(spark, folder), pairs=[("power_kw", "event_id")]), ["corr"])
+
+
+def _shifted(spark, folder):
+    """Readings whose level is 60 more in the second week and 120 more from 2024-01-20 on."""
+    df = readings(spark, folder)
+    day = F.to_date("ts")
+    up = F.when(day >= F.lit("2024-01-20").cast("date"), 120.0).when(day >= F.lit("2024-01-08").cast("date"), 60.0).otherwise(0.0)
+    # Rounded digits of the key as noise, so that both engines see the same numbers.
+    noise = (F.col("event_id") * 7919 % 101).cast("double") / 10
+    return df.withColumn("power_kw", up + noise)
+
+
+_SHIFTED = f"""WITH {READINGS}, leveled AS (
+      SELECT CAST(0 AS BIGINT) AS meter_id, event_id, ts,
+             CASE WHEN ts >= DATE '2024-01-20' THEN 120.0 WHEN ts >= DATE '2024-01-08' THEN 60.0 ELSE 0.0 END::DOUBLE
+               + (event_id * 7919 % 101)::DOUBLE / 10 AS x,
+             CASE WHEN ts >= DATE '2024-01-20' THEN 2 WHEN ts >= DATE '2024-01-08' THEN 1 ELSE 0 END AS part
+      FROM readings)"""
+
+
+@registered(
+    _SHIFTED
+    + f""", parts AS (SELECT meter_id, part, min(ts) AS ts, avg(x) AS m FROM leveled GROUP BY ALL),
+    looked AS (SELECT *, lag(m) OVER (ORDER BY part) AS before FROM parts)
+    SELECT meter_id, ts, {round_sql("before", "mean_before", 5)}, {round_sql("m", "mean_after", 5)} FROM looked WHERE part > 0"""
+)
+def change_points_one_meter(spark, folder):
+    """The two planted shifts, and no other, over many blocks."""
+    df = _shifted(spark, folder).withColumn("meter_id", F.lit(0).cast("bigint"))
+    found = m.change_points(df, order=ORDER, block_rows=BLOCK_ROWS)
+    return rounded(found, ["mean_before", "mean_after"], 5)
+
+
+def _hourly_sums(spark, folder):
+    return m.regular_grid(one_meter(spark, folder), "hour", aggs=("sum",), scale=2).select("meter_id", "bucket", "power_kw_sum")
+
+
+_HALF = "OVER (ORDER BY bucket ROWS BETWEEN {0} AND {1})"
+
+
+@registered(
+    f"""WITH {ONE_METER}, sums AS (
+      SELECT date_trunc('hour', ts) AS bucket, CAST(sum(CAST(power_kw AS DECIMAL(18,2))) AS DOUBLE) AS v FROM readings GROUP BY ALL),
+    ends AS (SELECT min(bucket) AS a, max(bucket) AS b FROM sums),
+    grid AS (
+      SELECT g AS bucket, v FROM (SELECT unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS g FROM ends)
+      LEFT JOIN sums ON g = bucket),
+    trended AS (
+      SELECT bucket, v,
+        CASE WHEN count(*) {_HALF.format("12 PRECEDING", "13 FOLLOWING")} = 26
+          THEN (avg(v) {_HALF.format("12 PRECEDING", "11 FOLLOWING")} + avg(v) {_HALF.format("11 PRECEDING", "12 FOLLOWING")}) / 2 END AS trend
+      FROM grid),
+    phased AS (SELECT *, avg(v - trend) OVER (PARTITION BY hour(bucket)) AS away FROM trended),
+    phases AS (SELECT avg(away) AS mean FROM (SELECT DISTINCT hour(bucket) AS h, away FROM phased)),
+    found AS (SELECT bucket, v, trend, away - mean AS season FROM phased, phases)
+    SELECT bucket, {round_sql("trend", "trend", 7)}, {round_sql("season", "season", 7)},
+           {round_sql("v - trend - season", "rest", 7)} FROM found"""
+)
+def decompose(spark, folder):
+    """Trend, season of a day and rest of the hourly totals of all meters."""
+    found = m.decompose(_hourly_sums(spark, folder), "power_kw_sum", 24)
+    names = {f"power_kw_sum_{c}": c for c in ("trend", "season", "rest")}
+    return rounded(found.withColumnsRenamed(names).select("bucket", *names.values()), ["trend", "season", "rest"], 7)
+
+
+@registered(
+    f"""WITH {READINGS_NULL}
+    SELECT count(power_kw) AS n, min(power_kw) AS low, max(power_kw) AS high, true AS near_quantiles, true AS near_distinct
+    FROM readings"""
+)
+def merged_sketches(spark, folder):
+    """Sketches per date, merged: quantiles within two per cent of their rank, distinct meters within three."""
+    df = readings_null(spark, folder)
+    shares = (0.05, 0.25, 0.5, 0.75, 0.95)
+    table = m.sketch_table(df)
+    told = m.sketched(m.merge_sketches(table), shares).first()
+    named = {f"q{q * 100:g}": q for q in shares}
+    below = lambda c: F.avg(F.when(F.col("power_kw").isNotNull(), (F.col("power_kw") <= told[c]).cast("double")))
+    near = reduce(Column.__and__, [F.abs(below(c) - q) <= 0.02 for c, q in named.items()])
+    meters = F.countDistinct("meter_id")
+    return df.agg(
+        F.lit(told["n"]).cast("bigint").alias("n"), F.lit(told["low"]).alias("low"), F.lit(told["high"]).alias("high"),
+        near.alias("near_quantiles"), (F.abs(told["distinct_ids"] - meters) <= 0.03 * meters).alias("near_distinct"),
+    )
+
+
+def _loaded(spark, folder):
+    """A stored table without every fifth reading, and those, late, with corrections of others."""
+    df, key = readings(spark, folder), F.col("event_id")
+    path = scratch_path(spark, "loaded")
+    m.write_table(df.where(key % 5 != 0), path, sort_by=ORDER)
+    late = df.where((key % 5 == 0) & (F.dayofmonth("ts") < 20))
+    fixed = df.where((key % 11 == 1) & (F.dayofmonth("ts") == 3)).withColumn("power_kw", F.col("power_kw") + 1)
+    return path, late.unionByName(fixed)
+
+
+_MERGED = f"""WITH {READINGS}, merged AS (
+      SELECT event_id, meter_id, ts, power_kw + CASE WHEN event_id % 11 = 1 AND day(ts) = 3 THEN 1 ELSE 0 END AS power_kw
+      FROM readings WHERE event_id % 5 <> 0 OR day(ts) < 20 OR (event_id % 11 = 1 AND day(ts) = 3))"""
+
+
+@registered(_MERGED + " SELECT event_id, meter_id, ts, power_kw FROM merged")
+def merge_readings(spark, folder):
+    """Late and corrected readings merged into a stored table equal a full load."""
+    path, new = _loaded(spark, folder)
+    m.merge_readings(spark, path, new, sort_by=ORDER)
+    return spark.read.parquet(path).select("event_id", "meter_id", "ts", "power_kw")
+
+
+@registered(
+    _MERGED
+    + """ SELECT event_id, lag(power_kw) OVER (PARTITION BY meter_id ORDER BY ts, event_id) AS power_kw_lag_1,
+      lag(power_kw, 2) OVER (PARTITION BY meter_id ORDER BY ts, event_id) AS power_kw_lag_2 FROM merged"""
+)
+def refresh_features(spark, folder):
+    """Features recomputed from each meter's first change on equal those of the whole merged table."""
+    path, new = _loaded(spark, folder)
+    make = lambda df: m.lag_features(df, lags=(1, 2), order=ORDER)
+    features = scratch_path(spark, "features")
+    m.write_table(make(spark.read.parquet(path).drop("date")), features, sort_by=ORDER)
+    m.merge_readings(spark, path, new, sort_by=ORDER)
+    m.refresh_features(spark, spark.read.parquet(path).drop("date"), features, new, make, reach=2, order=ORDER)
+    return spark.read.parquet(features).select("event_id", "power_kw_lag_1", "power_kw_lag_2")

@@ -1,6 +1,7 @@
 """Operators: plain functions from DataFrame to DataFrame, for ``df.transform`` or direct use."""
 
 from meterlab.operators.asof import asof_join
+from meterlab.operators.change import change_points, decompose
 from meterlab.operators.clean import (
     MISSING_TOKENS,
     drop_missing,
@@ -45,6 +46,7 @@ from meterlab.operators.model import (
 )
 from meterlab.operators.select import between, peaks
 from meterlab.operators.sessions import outages, sessions
+from meterlab.operators.sketches import merge_sketches, sketch_table, sketched
 from meterlab.operators.trailing import rolling_time
 from meterlab.operators.weighted import ewm_features
 
@@ -56,9 +58,11 @@ __all__ = [
     "between",
     "calendar_features",
     "calendar_flags",
+    "change_points",
     "conversion_report",
     "correlations",
     "cyclic_features",
+    "decompose",
     "delta_features",
     "direct_label",
     "drop_missing",
@@ -75,6 +79,7 @@ __all__ = [
     "lag_features",
     "load_model",
     "load_profile",
+    "merge_sketches",
     "naive_forecast",
     "null_profile",
     "null_tokens",
@@ -91,6 +96,8 @@ __all__ = [
     "seasonal_lag",
     "sessions",
     "share",
+    "sketch_table",
+    "sketched",
     "split_by_key",
     "split_by_time",
     "summarise",

@@ -59,9 +59,13 @@ def train(
     before: Sequence[Estimator | Transformer] = (),
     scale: str | None = None,
     persist: bool = True,
+    validation: str | None = None,
 ) -> PipelineModel:
     """Fit a gradient-boosted-tree regression.
 
+    ``validation`` names a boolean column: rows with true are not learnt from, and boosting stops
+    when the error on them falls no more (``validationTol`` in ``params``), however many trees ``maxIter`` allows.
+
     ``before`` holds stages to fit first, such as an imputer whose output is
     among ``features``. Boosting reads its input many times, so the feature
     table is kept while it runs; the tree updates cut their lineage in the
@@ -75,10 +79,12 @@ def train(
     stages = [*before, assemble_stage(features)]
     if scale is not None:
         stages.append(scale_stage(scale))
+    if validation is not None:
+        settings["validationIndicatorCol"] = validation
     stages.append(GBTRegressor(featuresCol=vector, labelCol=label, **settings))
     made = {c for stage in before for c in stage.getOutputCols()}
     read = {c for stage in before for c in stage.getInputCols()}
-    needed = sorted((set(features) - made) | read | {label})
+    needed = sorted((set(features) - made) | read | {label} | ({validation} if validation else set()))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     table = df.select(*needed).repartition(parts, *needed).sortWithinPartitions(*needed)
     if not persist:
