@@ -345,3 +345,16 @@ def refresh_features(spark, folder):
     m.merge_readings(spark, path, new, sort_by=ORDER)
     m.refresh_features(spark, spark.read.parquet(path).drop("date"), features, new, make, reach=2, order=ORDER)
     return spark.read.parquet(features).select("event_id", "power_kw_lag_1", "power_kw_lag_2")
+
+
+_SERIES = "OVER (PARTITION BY meter_id ORDER BY ts, event_id)"
+
+
+@registered(
+    f"""WITH {ONE_METER_NULL} SELECT event_id, lag(power_kw, 2) {_SERIES} AS power_kw_lag_2,
+      lag(power_kw, 700) {_SERIES} AS power_kw_lag_700 FROM readings"""
+)
+def lag_features_beyond_a_block(spark, folder):
+    """A lag longer than the blocks that the series is cut into, beside a short one."""
+    df = m.lag_features(one_meter_null(spark, folder), lags=(2, 700), order=ORDER, block_rows=BLOCK_ROWS // 10)
+    return _keyed(df)

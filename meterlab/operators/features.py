@@ -10,11 +10,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterlab.functions import known, seconds_between
 from meterlab.operators.trailing import rolling_many_rows
-from meterlab.plans.blocks import BLOCK_ROWS, over_ordered
+from meterlab.plans.blocks import BLOCK_ROWS, over_ordered, running_total
 
 CALENDAR_PARTS = {
     "year": F.year,
@@ -32,6 +32,8 @@ _CYCLES = {"hour": (24, 0), "weekday": (7, 0), "month": (12, 1), "minute": (60,
 ROLLING_STATS = ("mean", "std", "min", "max")  # the default; count and sum are accepted too
 # A sliding frame adds up its rows anew for each row; wider ones are built otherwise.
 SLIDING_ROWS = 256
+# Lags beyond this part of a block are matched by number.
+FAR_PART = 4
 
 
 def calendar_features(
@@ -98,6 +100,33 @@ def _delta_columns(series, col: str, ts: str) -> dict[str, Column]:
     }
 
 
+def _far_lags(
+    df: DataFrame,
+    col: str,
+    lags: Sequence[int],
+    by: Sequence[str],
+    order: Sequence[str],
+    block_rows: int,
+    split: str,
+) -> DataFrame:
+    """``<col>_lag_<n>`` for large n: each row offers its value to the row n later, by number.
+
+    Rows and offers meet in one shuffle, in groups of one row and one offer per lag, so the
+    cost does not depend on n.
+    """
+    counted = df.withColumn("_one", F.lit(1).cast("bigint"))
+    numbered = running_total(counted, by, order, "_one", "_number", block_rows, split)
+    ends = [(0, F.col("_number")), *[(n, F.col("_number") + n) for n in lags]]
+    both = F.array(*[F.struct(F.lit(n).alias("_lag"), at.alias("_at")) for n, at in ends])
+    unfolded = numbered.select(*df.columns, F.inline(both))
+    own = {c: F.when(F.col("_lag") == 0, F.col(c)) for c in df.columns if c not in (*by, col)}
+    met = Window.partitionBy(*by, "_at")
+    offers = {
+        f"{col}_lag_{n}": F.first(F.when(F.col("_lag") == n, F.col(col)), ignorenulls=True).over(met) for n in lags
+    }
+    return unfolded.withColumns(own).withColumns(offers).where("_lag = 0").select(*df.columns, *offers)
+
+
 def history_features(
     df: DataFrame,
     col: str = "power_kw",
@@ -122,20 +151,25 @@ def history_features(
     for n in many:
         df = rolling_many_rows(df, col, n, stats, by, order, scale, block_rows, split)
     few = [n for n in rolling if n <= SLIDING_ROWS]
-    if not (lags or few or delta):
-        return df
+    # Blocks get copies of as many rows as the longest lag; far ones would double the blocks.
+    far = [n for n in lags if n > block_rows // FAR_PART] if split != "never" else []
+    if far:
+        df = _far_lags(df, col, far, by, order, block_rows, split)
+    near = [n for n in lags if n not in far]
+    if not (near or few or delta):
+        return df if not (far and many) else df.select(*given, *_history_names(col, lags, rolling, stats))
 
     value = known(F.col(col), df.schema[col].dataType)
 
     def build(series) -> Mapping[str, Column]:
-        columns = _lag_columns(series, col, lags)
+        columns = _lag_columns(series, col, near)
         for n in few:
             columns.update(_rolling_columns(series, col, value, n, stats, scale))
         if delta:
             columns.update(_delta_columns(series, col, order[0]))
         return columns
 
-    reach = max([*lags, *few, 1 if delta else 0])
+    reach = max([*near, *few, 1 if delta else 0])
     out = over_ordered(
         df, by, order, build, reach=reach, cols=[col], block_rows=block_rows, split=split
     )
@@ -143,10 +177,13 @@ def history_features(
         # From a column, since the seconds look at the time several times.
         since = seconds_between(F.col("seconds_since_previous"), F.col(order[0]))
         out = out.withColumn("seconds_since_previous", since)
-    if not many:
+    if not many and not far:
         return out
-    names = [f"{col}_lag_{n}" for n in lags] + [f"{col}_roll_{n}_{s}" for n in rolling for s in stats]
-    return out.select(*given, *names, *([f"{col}_delta", "seconds_since_previous"] if delta else []))
+    return out.select(*given, *_history_names(col, lags, rolling, stats), *([f"{col}_delta", "seconds_since_previous"] if delta else []))
+
+
+def _history_names(col: str, lags: Sequence[int], rolling: Sequence[int], stats: Sequence[str]) -> list[str]:
+    return [f"{col}_lag_{n}" for n in lags] + [f"{col}_roll_{n}_{s}" for n in rolling for s in stats]
 
 
 def lag_features(

@@ -188,3 +188,17 @@ def test_rows_without_a_time_are_dealt(spark):
     df = m.seasonal_lag(frame(spark, rows), period="1 day", unique=True)
     found = {r.event_id: r.power_kw_1_day_ago for r in df.collect()}
     assert found == {i: None if i % 2 or i == 0 else float(i - 2) for i in range(40)}
+
+
+@pytest.mark.parametrize("block_rows", [10, 40, 10**6])
+def test_lags_beyond_a_block(spark, block_rows):
+    rows = [(i, i % 2 or None, START + timedelta(minutes=i), None if i % 9 == 0 else float(i)) for i in range(120)]
+    df = m.history_features(frame(spark, rows), lags=(30, 1), rolling=(2, 300), stats=("count",), delta=True, block_rows=block_rows)
+    assert df.columns[4:] == [
+        "power_kw_lag_30", "power_kw_lag_1", "power_kw_roll_2_count", "power_kw_roll_300_count", "power_kw_delta", "seconds_since_previous",
+    ]
+    value = {i: v for i, _, _, v in rows}
+    for r in df.collect():
+        far, near = r.event_id - 60, r.event_id - 2
+        assert (r.power_kw_lag_30, r.power_kw_lag_1) == (value.get(far), value.get(near))
+        assert r.power_kw_roll_300_count == sum(value[i] is not None for i in range(r.event_id % 2, r.event_id, 2))
