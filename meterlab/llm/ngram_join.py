@@ -6,18 +6,17 @@ of several orders, and only pairs that do are compared in full:
 
 1. Documents with equal sets become one node; copies cost no more than one.
 2. Tokens are ordered by how common they are, then by a hash; each order has its
-   own hash. Common ones are counted in all texts: every batch reports what it
-   holds more than once, and the sums, in half powers of two, rank the
-   ``COMMON`` most frequent. The rest rank as rare. Any order is right; this one
-   keeps passages that many documents share out of the prefixes.
+   own hash. All tokens of all texts are counted, in ``2 ** BUCKET_BITS`` buckets by
+   hash, and a token's rank is its bucket's count in half powers of two. Any order is
+   right; this one keeps passages that many documents share out of the prefixes.
 3. Nodes that share a prefix token under the first order form a list. The member
    of most lists is its pivot. Each member is a candidate with the pivot, which
    makes as many pairs as rows; those that also share a prefix token under each
    of the other orders are compared.
 4. Links give components. Members of a list outside the pivot's component could
    still link with each other or with members inside it. For them the sets'
-   differences from the pivot bound how similar they can be; classes of equal
-   bounds are matched first, and the pairs of classes that remain possible, under
+   differences from the pivot, counted and marked in bits, bound how similar they can be; classes of equal
+   counts are matched first, and the pairs of classes that remain possible, under
    all orders again, are compared. Members that are no candidates with the pivot meet
    the others of their lists. So no link is lost, and a group of thousands of near
    copies is not expanded into pairs.
@@ -32,7 +31,9 @@ ignores null ids. An empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +41,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from meterlab.llm.components import connected
 from meterlab.llm.text import by_space, chunks, distinct_shingles, mix, pick, seeded
-from meterlab.plans.blocks import join_on, settle
+from meterlab.plans.blocks import join_on, settle, settled
 
 SIZE = 5
 PERCENT = 80
 ORDERS = 3
-# Tokens that are ranked by their count; the list is broadcast (16 bytes each).
-COMMON = 1_000_000
-# A batch reports at most so many tokens that it holds repeatedly.
-REPORTED = 100_000
+# Tokens are counted in so many bits' worth of buckets: a megabyte per task, a byte per bucket for all.
+BUCKET_BITS = 18
+_SLICES = 16
+# Numbers of 64 bits that mark where a set differs from its pivot.
+_SIGNATURE = 16
+_BITS = [f"s{i}" for i in range(_SIGNATURE)]
 # Tables of one or two numbers per row are broadcast up to this many rows (some 50 MB
 # in memory), larger ones are shuffled.
 BROADCAST_IDS = 2_000_000
@@ -74,91 +77,70 @@ def _fingerprint(value: np.ndarray, n: np.ndarray, salts: np.ndarray) -> list[np
     return sums
 
 
+def _bucket(value: np.ndarray) -> np.ndarray:
+    return (value >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
 def _summaries(docs: DataFrame, size: int) -> DataFrame:
-    """Rows of two kinds: each document's set as (n, two sums of hashes), and repeated tokens."""
+    """Rows of two kinds: each document's set as (n, two sums of hashes), and a task's counts of tokens, in slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = by_space()
         salts = seeded(2, 41)
+        times = np.zeros(1 << BUCKET_BITS, np.int64)
+        names = ["slice", "doc_id", "n", "one", "two", "times"]
         for batch in batches:
-            counts, ones, twos, tokens = [], [], [], []
-            met: set[tuple[int, int]] = set()
             for chunk in chunks(batch[1]):
                 row, value = distinct_shingles(split(chunk), chunk.rows, size)
                 n = np.bincount(row, minlength=chunk.rows)
-                one, two = _fingerprint(value, n, salts)
-                counts.append(n)
-                ones.append(one)
-                twos.append(two)
-                # Copies of a text say nothing about how common its tokens are.
-                new = np.zeros(chunk.rows, bool)
-                for i, key in enumerate(zip(one.tolist(), two.tolist(), strict=True)):
-                    if key not in met:
-                        met.add(key)
-                        new[i] = True
-                tokens.append(value[new[row]])
-            if not counts:
-                continue
-            n = np.concatenate(counts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.zeros(len(n), bool)),
-                    batch[0],
-                    pa.array(n.astype(np.int64)),
-                    pa.array(np.concatenate(ones)),
-                    pa.array(np.concatenate(twos)),
-                ],
-                names=["common", "doc_id", "n", "one", "two"],
-            )
-            token, times = np.unique(np.concatenate(tokens), return_counts=True)
-            often = np.flatnonzero(times > 1)
-            often = often[np.argsort(-times[often], kind="stable")[:REPORTED]]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.ones(len(often), bool)),
-                    pa.nulls(len(often), pa.int64()),
-                    pa.array(times[often].astype(np.int64)),
-                    pa.array(token[often].view(np.int64)),
-                    pa.nulls(len(often), pa.int64()),
-                ],
-                names=["common", "doc_id", "n", "one", "two"],
-            )
+                times += np.bincount(_bucket(value), minlength=len(times))
+                sums = [pa.array(x) for x in _fingerprint(value, n, salts)]
+                ids = batch[0].slice(chunk.first, chunk.rows)
+                none = [pa.nulls(chunk.rows, pa.int32()), pa.nulls(chunk.rows, pa.binary())]
+                yield pa.RecordBatch.from_arrays([none[0], ids, pa.array(n.astype(np.int64)), *sums, none[1]], names=names)
+        if times.any():
+            slices = [x.astype("<i8").tobytes() for x in np.split(times, _SLICES)]
+            none = [pa.nulls(_SLICES, pa.int64())] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(_SLICES, dtype=np.int32)), *none, pa.array(slices, pa.binary())], names=names)
 
-    return docs.mapInArrow(run, "common boolean, doc_id long, n long, one long, two long")
+    return docs.mapInArrow(run, "slice int, doc_id long, n long, one long, two long, times binary")
 
 
-def _ranks(summaries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most common tokens, ascending, and their ranks: in steps of half a power of two."""
-    top = (
-        summaries.where("common").groupBy("one").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "one").limit(COMMON).toArrow()
-    )
-    token = top["one"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(token)
-    rank = np.minimum(2 * np.log2(np.maximum(top["n"].to_numpy(), 1)), 63).astype(np.uint64)
-    return token[order], rank[order]
+def _ranks(summaries: DataFrame) -> np.ndarray:
+    """Ranks of the buckets: their counts in steps of half a power of two."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_buffer(), "<i8") for x in table["times"])
+        rank = np.minimum(2 * np.log2(np.maximum(total, 1)), 63).astype(np.uint8)
+        return pa.table({"slice": table["slice"][:1], "ranks": pa.array([rank.tobytes()], pa.binary())})
+
+    held = summaries.where("slice is not null").select("slice", "times")
+    rows = held.groupBy("slice").applyInArrow(add, "slice int, ranks binary").collect()
+    ranks = np.zeros(1 << BUCKET_BITS, np.uint8)
+    for row in rows:
+        np.split(ranks, _SLICES)[row["slice"]][:] = np.frombuffer(row["ranks"], np.uint8)
+    return ranks
 
 
 class _Orders:
     """Sorts the tokens of sets under one of the orders."""
 
-    def __init__(self, common: tuple[np.ndarray, np.ndarray], count: int):
-        self.token, self.rank = common
+    def __init__(self, common: np.ndarray, count: int):
+        self.rank = common
         self.salts = seeded(count, 77)
 
     def ranks(self, value: np.ndarray) -> np.ndarray:
-        if not len(self.token):
-            return np.zeros(len(value), np.uint64)
-        at = np.minimum(np.searchsorted(self.token, value), len(self.token) - 1)
-        return np.where(self.token[at] == value, self.rank[at], np.uint64(0))
+        return self.rank[_bucket(value)].astype(np.uint64)
 
     def keys(self, value: np.ndarray, rank: np.ndarray, number: int) -> np.ndarray:
         """Sort keys: six bits of rank above 58 bits of the order's hash."""
         return (rank << np.uint64(58)) | (mix(value ^ self.salts[number]) >> np.uint64(6))
 
 
-def _firsts(docs: DataFrame, size: int, percent: int, common: tuple, orders: int) -> DataFrame:
-    """(doc_id, one, two, n, p0, p1, ...): the prefix of each non-empty set under each order.
+def _firsts(docs: DataFrame, size: int, percent: int, common: np.ndarray, orders: int) -> DataFrame:
+    """(doc_id, mark, one, two, n, p0, p1, ...): the prefix of each non-empty set under each order.
+
+    ``mark`` is a hash of the text.
 
     Under the first order tokens are kept whole, under the others by 32 bits, as
     they only serve to rule pairs out.
@@ -186,71 +168,84 @@ def _firsts(docs: DataFrame, size: int, percent: int, common: tuple, orders: int
                     kept = first.view(np.int64) if i == 0 else first.astype(np.uint32).view(np.int32)
                     lists.append(pa.ListArray.from_arrays(cuts, pa.array(kept)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch[0].slice(chunk.first, chunk.rows).take(pa.array(full)), *sums, pa.array(n[full].astype(np.int64)), *lists],
-                    names=["doc_id", "one", "two", "n", *[f"p{i}" for i in range(orders)]],
+                    [
+                        *[batch[c].slice(chunk.first, chunk.rows).take(pa.array(full)) for c in ("doc_id", "mark")],
+                        *sums, pa.array(n[full].astype(np.int64)), *lists,
+                    ],
+                    names=["doc_id", "mark", "one", "two", "n", *[f"p{i}" for i in range(orders)]],
                 )
 
     rest = "".join(f", p{i} array<int>" for i in range(1, orders))
-    return docs.mapInArrow(run, f"doc_id long, one long, two long, n long, p0 array<long>{rest}")
+    marked = docs.withColumn("mark", F.xxhash64("text"))
+    return marked.mapInArrow(run, f"doc_id long, mark long, one long, two long, n long, p0 array<long>{rest}")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, n, tokens, private) of the nodes in ``wanted``, their sets computed anew.
-
-    ``wanted`` has node, doc_id, one, two and private.
-    """
-    ids = _small(settle(wanted.select("doc_id").distinct(), "wanted-ids"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, salts = by_space(), seeded(2, 41)
-        for batch in batches:
-            for chunk in chunks(batch[0]):
-                row, value = distinct_shingles(split(chunk), chunk.rows, size)
-                n = np.bincount(row, minlength=chunk.rows)
-                ends = np.append(0, np.cumsum(n))
-                sums = [pa.array(x) for x in _fingerprint(value, n, salts)]
-                raw = pa.py_buffer(np.ascontiguousarray(value))
-                blobs = pa.Array.from_buffers(pa.binary(), chunk.rows, [None, pa.py_buffer((ends * 8).astype(np.int32)), raw])
-                yield pa.RecordBatch.from_arrays([*sums, blobs], names=["one", "two", "tokens"])
-
-    found = join_on(docs, ids, ["doc_id"], "left_semi").select("text").mapInArrow(run, "one long, two long, tokens binary")
-    # Other documents may share such an id; equal sets are alike.
-    unique = found.join(wanted.select("node", "one", "two", "private"), ["one", "two"])
-    return unique.groupBy("node").agg(F.first("tokens").alias("tokens"), F.first("private").alias("private"))
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text), one text of each node in ``wanted`` (node, doc_id, mark)."""
+    found = join_on(docs.withColumn("mark", F.xxhash64("text")), _small(wanted), ["doc_id", "mark"], "inner")
+    return found.groupBy("node").agg(F.first("text").alias("text"))
 
 
-def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with what their full sets have in common.
+def _compare(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b, private) with what their full sets, made anew from the texts, have in common.
 
     ``link`` tells whether the similarity is reached, ``missing`` counts tokens of
-    a that b lacks, ``own`` those of b's leading private tokens that a lacks.
+    a that b lacks, ``own`` those of b's leading private tokens that a lacks. The bits of ``s0``, ``s1``, ...
+    mark buckets of the tokens of a that b lacks, in the first half, and of b that a lacks. Texts
+    travel instead of sets, as they take less room.
     """
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"), F.col("private").alias("pb"))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = by_space()
+
+        def sets(column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
+            for chunk in chunks(column):
+                row, value = distinct_shingles(split(chunk), chunk.rows, size)
+                yield chunk.first, np.split(value, np.searchsorted(row, np.arange(1, chunk.rows)))
+
         for batch in batches:
-            a, b, ta, tb, pb = (batch[c] for c in ("a", "b", "ta", "tb", "pb"))
+            a, private = batch["a"].to_numpy(), batch["private"]
             link, missing, own = [], [], []
-            for x, y, z in zip(ta, tb, pb, strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                link.append(100 * shared >= percent * (len(x) + len(y) - shared))
-                missing.append(len(x) - shared)
-                alone = np.array(z.as_py() or [], np.int64).view(np.uint64)
-                own.append(len(alone) - int(np.isin(alone, x).sum()))
+            marks = np.zeros((len(batch), 2, 64 * _SIGNATURE // 2), bool)
+            for first, theirs in sets(batch["tb"]):
+                # Rows come by a, so few sets are made for a run of them.
+                _, where, which = np.unique(a[first : first + len(theirs)], return_index=True, return_inverse=True)
+                ours = [x for _, part in sets(batch["ta"].take(pa.array(first + where))) for x in part]
+                for i, other in enumerate(theirs, first):
+                    mine = ours[which[i - first]]
+                    at = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
+                    both = mine[at] == other
+                    shared = int(both.sum())
+                    lacks = np.ones(len(mine), bool)
+                    lacks[at[both]] = False
+                    for half, tokens in enumerate((mine[lacks], other[~both])):
+                        marks[i, half, (tokens >> np.uint64(20)).astype(np.int64) % marks.shape[2]] = True
+                    link.append(100 * shared >= percent * (len(mine) + len(other) - shared))
+                    missing.append(len(mine) - shared)
+                    alone = np.array(private[i].as_py() or [], np.int64).view(np.uint64)
+                    own.append(len(alone) - int(np.isin(alone, mine).sum()))
+            bits = np.packbits(marks.reshape(len(batch), -1), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [a, b, pa.array(link, pa.bool_()), pa.array(missing, pa.int64()), pa.array(own, pa.int64())],
-                names=["a", "b", "link", "missing", "own"],
+                [
+                    batch["a"], batch["b"], pa.array(link, pa.bool_()), pa.array(missing, pa.int64()), pa.array(own, pa.int64()),
+                    *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(_SIGNATURE)],
+                ],
+                names=["a", "b", "link", "missing", "own", *_BITS],
             )
 
-    met = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "ta", "tb", "pb")
-    return met.mapInArrow(run, "a long, b long, link boolean, missing long, own long")
+    met = pairs.join(right, "b").join(left, "a").select("a", "b", "private", "ta", "tb")
+    return met.mapInArrow(run, "a long, b long, link boolean, missing long, own long, " + ", ".join(f"{c} long" for c in _BITS))
 
 
-def _agree(pairs: DataFrame, nodes: DataFrame, orders: int) -> DataFrame:
-    """The pairs that share a prefix token under every other order, and fit in size."""
+def _agree(pairs: DataFrame, nodes: DataFrame, orders: int, percent: int) -> DataFrame:
+    """The pairs that fit in size and share a prefix token under every other order."""
     later = [f"p{i}" for i in range(1, orders)]
+    # Sizes first: they are short, and rule out most pairs before any list moves.
+    sizes = _small(settle(nodes.select("node", "n"), "sizes"))
+    met = pairs.join(sizes.withColumnsRenamed({"node": "a", "n": "na"}), "a").join(sizes.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
+    pairs = settle(met.where(_fit(F.col("na"), F.col("nb"), percent)).select(*pairs.columns), "pairs-that-fit")
     one = nodes.select(F.col("node").alias("a"), *[F.col(p).alias(f"a_{p}") for p in later])
     two = nodes.select(F.col("node").alias("b"), *[F.col(p).alias(f"b_{p}") for p in later])
     met = pairs.join(one, "a").join(two, "b")
@@ -266,18 +261,40 @@ def _most_different(na: Column, nb: Column, percent: int) -> Column:
     return na + nb - 2 * least_shared
 
 
+def _fit(na: Column, nb: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be linked at all."""
+    return F.abs(na - nb) <= _most_different(na, nb, percent)
+
+
+def _size_class(n: Column, percent: int) -> Column:
+    """A class of sizes; sets that can be linked are of the same or of neighbouring classes."""
+    if percent >= 100:
+        return n
+    # A little wider than the widest ratio, so that rounding puts no pair two classes apart.
+    return F.floor(F.log(n) / (-math.log(percent / 100) * (1 + 1e-9)))
+
+
 def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, one, two) of every row; rows with equal (one, two, n) are copies."""
+    """(doc_id, n_shingles, component_id, one, two) of every row; rows with equal (one, two, n) are copies.
+
+    The result is stored, and the tables that led to it are deleted.
+    """
+    return settled(lambda: _classes(docs, size, percent, orders), "classes")
+
+
+def _classes(docs: DataFrame, size: int, percent: int, orders: int) -> DataFrame:
     docs = pick(docs, "doc_id", "text")
     summaries = settle(_summaries(docs, size), "shingle-sums")
     common = _ranks(summaries)
-    each = summaries.where("not common").drop("common")
+    each = summaries.where("slice is null").drop("slice", "times")
 
     # 1, 2: nodes, with a number that stays because the table is stored.
     firsts = _firsts(docs, size, percent, common, orders)
     prefixes = [f"p{i}" for i in range(orders)]
     nodes = settle(
-        firsts.groupBy("one", "two", "n").agg(F.min("doc_id").alias("doc_id"), *[F.first(p).alias(p) for p in prefixes])
+        # One document's text stands for all; the smallest id, nulls left out, names them.
+        firsts.groupBy("one", "two", "n")
+        .agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "mark")).alias("text_of"), *[F.first(p).alias(p) for p in prefixes])
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
@@ -307,10 +324,11 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: i
     def compare(pairs: DataFrame) -> DataFrame:
         """Sets are computed anew, for the nodes of these pairs only."""
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = settle(involved.join(settle(ends, "ends"), "node").select("node", "doc_id", "one", "two", "private"), "wanted")
-        return settle(_compare(pairs, settle(_sets(docs, wanted, size), "sets"), percent), "compared")
+        wanted = settle(involved.join(ends, "node").select("node", "text_of.doc_id", "text_of.mark"), "wanted")
+        with_private = pairs.join(involved.select(F.col("node").alias("b"), "private"), "b")
+        return settle(_compare(with_private, _texts(docs, wanted), size, percent), "compared")
 
-    compared = compare(settle(_agree(stars, involved, orders), "pairs"))
+    compared = compare(settle(_agree(stars, involved, orders, percent), "pairs"))
     links = compared.where("link").select("a", "b")
     roots = connected(links)
 
@@ -321,9 +339,9 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: i
 
     known = with_root(with_root(stars, "a", "ra"), "b", "rb")
     group = settle(
-        known.join(compared.select("a", "b", "missing", "own"), ["a", "b"], "left")
+        known.join(compared.drop("link"), ["a", "b"], "left")
         .join(sizes.withColumnRenamed("node", "b"), "b")
-        .select("a", "b", "ra", "rb", "n", "alone", "missing", "own"),
+        .select("a", "b", "ra", "rb", "n", "alone", "missing", "own", *_BITS),
         "groups",
     )
     close = group.where("missing is not null")
@@ -335,28 +353,36 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: i
     )
     possible = more.where(
         (apart <= _most_different(F.col("x.n"), F.col("y.n"), percent))
+        & _fit(F.col("x.n"), F.col("y.n"), percent)
         & ((F.col("low") != F.col("rb")) | (F.col("high") != F.col("rb")))
     ).select(
         F.col("x.a").alias("pivot"), F.col("x.b").alias("b"), "rb",
         *[F.col(f"y.{c}").alias(f"y_{c}") for c in ("n", "alone", "missing", "own")],
+        F.col("x.n").alias("x_n"), *[F.col(f"x.{c}").alias(f"x_{c}") for c in _BITS],
     )
     others = close.select(
         F.col("a").alias("pivot"), F.col("b").alias("c"), F.col("rb").alias("rc"),
-        *[F.col(k).alias(f"y_{k}") for k in ("n", "alone", "missing", "own")],
+        *[F.col(k).alias(f"y_{k}") for k in ("n", "alone", "missing", "own")], *_BITS,
     )
-    inner = possible.join(others, ["pivot", "y_n", "y_alone", "y_missing", "y_own"]).where("rb <> rc").select("b", "c")
+    # Two sets differ by at least the buckets in which only one of them differs from the pivot.
+    differing = reduce(Column.__add__, [F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(c))) for c in _BITS])
+    inner = possible.join(others, ["pivot", "y_n", "y_alone", "y_missing", "y_own"]).where(
+        (F.col("rb") != F.col("rc")) & (differing <= _most_different(F.col("x_n"), F.col("y_n"), percent))
+    ).select("b", "c")
     # Those that were not even candidates with their pivot meet the members of their lists one by one.
     far = group.where("missing is null").select("a", F.col("b").alias("node"), "n", "alone")
     apart_lists = members.join(pivots, "token").where("a <> node").select("token", "a", "node")
-    far = apart_lists.join(far, ["a", "node"]).select("token", F.col("node").alias("b"), "n", "alone")
-    theirs = sizes.withColumnsRenamed({"node": "c", "n": "nc", "alone": "ac"})
+    near = F.explode(F.array(*[_size_class(F.col("n"), percent) + i for i in (-1, 0, 1)])).alias("class")
+    far = apart_lists.join(far, ["a", "node"]).select("token", F.col("node").alias("b"), "n", "alone", near)
+    theirs = sizes.withColumnsRenamed({"node": "c", "n": "nc", "alone": "ac"}).withColumn("class", _size_class(F.col("nc"), percent))
     met = members.select("token", F.col("node").alias("c")).join(theirs, "c")
-    outer = far.join(met, "token").where(
-        (F.col("b") != F.col("c")) & (F.col("alone") + F.col("ac") <= _most_different(F.col("n"), F.col("nc"), percent))
+    outer = far.join(met, ["token", "class"]).where(
+        (F.col("b") != F.col("c")) & _fit(F.col("n"), F.col("nc"), percent)
+        & (F.col("alone") + F.col("ac") <= _most_different(F.col("n"), F.col("nc"), percent))
     ).select("b", "c")
     left = inner.unionByName(outer).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = settle(_agree(left.join(tried, ["a", "b"], "left_anti"), involved, orders), "pairs-left")
+    rest = settle(_agree(left.join(tried, ["a", "b"], "left_anti"), involved, orders, percent), "pairs-left")
     if not rest.isEmpty():
         found = compare(rest).where("link").select("a", "b")
         if not found.isEmpty():
