@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from meterlab.llm.text import Chunk, Splitter, by_space, chunks, mix, seeded
-from meterlab.plans.blocks import settle
+from meterlab.plans.blocks import settle, settled
 
 LEAST_WORDS = 8
 SHORT_SENTENCE = 5
@@ -240,6 +240,24 @@ def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(kept)
 
 
+def _gone(docs: DataFrame, least_words: int) -> DataFrame:
+    """(doc_id, tag, gone): the lines that go from each document (doc_id, tag, text)."""
+    windows = settle(window_table(docs, least_words), "windows")
+    owners = settle(
+        windows.groupBy("key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last_id"))
+        .where("owner < last_id").select("key", "owner"),
+        "window-owners",
+    )
+    repeated = settle(windows.join(owners, "key"), "repeated-windows")
+    # Of an owner's texts the one with the smallest tag; its places go with the first occurrence in the later document.
+    heads = (
+        repeated.where("doc_id = owner").groupBy("key", "tag").agg(F.collect_set("place").alias("others"))
+        .groupBy("key").agg(F.min("tag").alias("owner_tag"), F.min_by("others", "tag").alias("others"))
+    )
+    common = repeated.where("doc_id > owner").join(heads, "key").withColumn("others", F.when(~F.col("again"), F.col("others")))
+    return _align(common)
+
+
 def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents without the blocks that earlier ones have.
 
@@ -256,20 +274,9 @@ def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     doc_id, text = (f"_{names.index(n)}" for n in ("doc_id", "text"))
     plain = docs.toDF(*ids).withColumn("tag", F.xxhash64(text))
     known = plain.where(F.col(doc_id).isNotNull())
-    windows = settle(window_table(known.select(F.col(doc_id).alias("doc_id"), "tag", F.col(text).alias("text")), least_words), "windows")
-    owners = settle(
-        windows.groupBy("key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last_id"))
-        .where("owner < last_id").select("key", "owner"),
-        "window-owners",
-    )
-    repeated = settle(windows.join(owners, "key"), "repeated-windows")
-    # Of an owner's texts the one with the smallest tag; its places go with the first occurrence in the later document.
-    heads = (
-        repeated.where("doc_id = owner").groupBy("key", "tag").agg(F.collect_set("place").alias("others"))
-        .groupBy("key").agg(F.min("tag").alias("owner_tag"), F.min_by("others", "tag").alias("others"))
-    )
-    common = repeated.where("doc_id > owner").join(heads, "key").withColumn("others", F.when(~F.col("again"), F.col("others")))
-    gone = settle(_align(common), "lines-gone")
+    given = known.select(F.col(doc_id).alias("doc_id"), "tag", F.col(text).alias("text"))
+    # Only what goes is kept; the tables of windows that led to it are deleted.
+    gone = settled(lambda: _gone(given, least_words), "lines-gone")
     right = gone.withColumnsRenamed({"doc_id": "gone_id", "tag": "gone_tag"})
     met = plain.join(
         right,
