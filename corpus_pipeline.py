@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterlab.llm import lines, mixing, ngram_join, packing, quality
-from meterlab.plans.blocks import settle
+from meterlab.plans.blocks import settled
 
 # Random rounding and trained models have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
@@ -57,8 +59,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is stored in the shared folder before the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    """All stages over ``documents``; each is stored in the shared folder before the next.
+
+    What a stage stores on its way is deleted when it is done, and the stages when the last one is.
+    """
+
+    def stages() -> DataFrame:
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        for name, stage in STAGES:
+            docs = settled(partial(stage, spark, docs, sf_dir), name.replace(" ", "-"))
+        return docs
+
+    return settled(stages, "pipeline")
