@@ -9,8 +9,10 @@ the risk of a scorer f is
 
 whose second part estimates the risk on bad documents and cannot be negative, so
 it is kept from it. Where a step would make it negative, the step goes back up
-along that part instead. The prior is estimated from the trusted labels as the
-share of good ones, which needs the labelled documents to be drawn like the rest.
+along that part instead. The prior is estimated from both samples alone: a first scorer learns
+from one half of each, and on the other halves the share of unlabelled texts above a score, divided by
+that of positives, is at least the prior, and equal to it where only good ones score so high. The
+score is taken where this quotient and its error bound are least (best bin estimation).
 
 The scorer is a small network over shares and lengths: how much of a text is
 upper case, digits, punctuation or repeated, how long words, sentences and lines
@@ -19,8 +21,7 @@ the features of all documents are stored, so that texts are read once.
 
 Positives and unlabelled texts are samples of at most ``sample_rows`` rows each,
 those with the smallest hashes of their id. Null texts are empty and get the
-score that the model gives to an empty text. Without any positive the prior is
-the score of all. Rows that share a doc_id are scored one by one; a doc_id with
+score that the model gives to an empty text. Without any positive all scores are 0.5. Rows that share a doc_id are scored one by one; a doc_id with
 several labels counts as good if one of them says so.
 """
 
@@ -196,6 +197,20 @@ def score_rows(model: Model, rows: np.ndarray) -> np.ndarray:
     return _sigmoid(_forward(model.layers, (rows - model.mean) / model.scale)[1])
 
 
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, sure: float = 0.9) -> float:
+    """Share of good texts among the unlabelled ones, from scores of texts that the scorer has not learnt from."""
+    p, u = np.sort(positive), np.sort(unlabelled)
+    at = np.unique(np.concatenate([p, u]))
+    above_p = 1 - np.searchsorted(p, at, "left") / len(p)
+    above_u = 1 - np.searchsorted(u, at, "left") / len(u)
+    some = above_p > 0
+    above_p, above_u = above_p[some], above_u[some]
+    # Both shares are off by no more than this with the probability ``sure``.
+    off = sum(np.sqrt(np.log(4 / (1 - sure)) / (2 * n)) for n in (len(p), len(u)))
+    best = np.argmin((above_u + 1.01 * off) / above_p)
+    return float(min(0.98, max(0.02, above_u[best] / above_p[best])))
+
+
 def _sample(rows: DataFrame, size: int, seed: int) -> np.ndarray:
     """Feature rows of the ``size`` smallest hashes."""
     found = rows.withColumn("_lot", F.xxhash64("doc_id", F.lit(seed))).orderBy("_lot", "features").limit(size)
@@ -206,21 +221,20 @@ def _sample(rows: DataFrame, size: int, seed: int) -> np.ndarray:
 def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_rows: int = SAMPLE_ROWS, seed: int = SEED) -> DataFrame:
     """(doc_id, score) of every document, higher where good quality is likelier.
 
-    ``labels`` has doc_id and quality (1 good, 0 bad). Only rows whose doc_id
+    ``labels`` has doc_id and quality, of which only 1 (good) is read. Only rows whose doc_id
     fulfils ``learn`` take part in the fit.
     """
     table = settle(features(docs), "quality-features")
     learn = F.lit(True) if learn is None else learn
-    known = (
-        pick(labels, "doc_id", "quality").where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & learn)
-        .groupBy("doc_id").agg(F.max(F.col("quality").cast("int")).alias("quality"))
-    )
-    counts = known.agg(F.count("*").alias("rows"), F.coalesce(F.sum("quality"), F.lit(0)).alias("good")).first()
-    prior = min(0.98, max(0.02, counts["good"] / counts["rows"])) if counts["rows"] else 0.5
-    positive = _sample(table.join(known.where("quality = 1").select("doc_id"), "doc_id", "left_semi"), sample_rows, seed)
+    good = pick(labels, "doc_id", "quality").where((F.col("quality") == 1) & F.col("doc_id").isNotNull() & learn).select("doc_id")
+    positive = _sample(table.join(good.distinct(), "doc_id", "left_semi"), sample_rows, seed)
     if not len(positive):
-        return table.select("doc_id", F.lit(prior).alias("score"))
+        return table.select("doc_id", F.lit(0.5).alias("score"))
     unlabelled = _sample(table.where(learn), 2 * sample_rows, seed + 1)
+    prior = 0.5
+    if len(positive) > 1:
+        first = fit(positive[::2], unlabelled[::2], prior, seed)
+        prior = estimate_prior(score_rows(first, positive[1::2]), score_rows(first, unlabelled[1::2]))
     model = fit(positive, unlabelled, prior, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
