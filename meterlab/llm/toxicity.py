@@ -94,39 +94,55 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _log_odds(count: np.ndarray, toxic: np.ndarray, n_toxic: int, n_other: int) -> np.ndarray:
-    """How much more often a word is found in toxic texts, smoothed."""
-    return np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((count - toxic + 0.5) / (n_other + 1))
+def word_counts(sets: DataFrame) -> DataFrame:
+    """(word, texts, toxic): how many of the texts, and of the toxic ones, hold each word."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [np.frombuffer(w.as_buffer(), np.int64) for w in batch["words"]]
+            value = np.concatenate([*held, np.zeros(0, np.int64)])
+            toxic = np.repeat(batch["toxic"].to_numpy(zero_copy_only=False), [len(x) for x in held])
+            word, at = np.unique(value, return_inverse=True)
+            sums = [np.bincount(at, minlength=len(word)), np.bincount(at, toxic, minlength=len(word)).astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (word, *sums)], names=["word", "texts", "toxic"])
+
+    parts = sets.select("toxic", "words").mapInArrow(run, "word long, texts long, toxic long")
+    return parts.groupBy("word").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
+
+
+def suspicious(counts: DataFrame, n_toxic: int, n: int) -> DataFrame:
+    """(word, odds) of the words that toxic texts hold more often than chance explains."""
+    tried, rate = counts.count(), n_toxic / n
+    # How much more often a word is found in toxic texts, smoothed.
+    clean = F.col("texts") - F.col("toxic")
+    odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((clean + 0.5) / (n - n_toxic + 1))
+    # Log-likelihood ratio of a word's share of toxic texts against the overall one.
+    part = lambda k, chance: F.when(k > 0, k * F.log(k / F.col("texts") / chance)).otherwise(0.0)
+    ratio = 2 * (part(F.col("toxic"), rate) + part(clean, 1 - rate))
+    least = 2 * np.log(max(tried, 1)) + MARGIN
+    return counts.withColumn("odds", odds).where((F.col("odds") > 0) & (ratio > F.lit(float(least)))).select("word", "odds")
+
+
+def _only(sets: DataFrame, word: np.ndarray) -> DataFrame:
+    """(lot, toxic, words) with none but these words, which ascend."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [np.frombuffer(w.as_buffer(), np.uint64) for w in batch["words"]]
+            words = pa.array([np.intersect1d(x, word, assume_unique=True).tobytes() for x in held], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["lot"], batch["toxic"], words], names=["lot", "toxic", "words"])
 
-def _surprise(count: np.ndarray, toxic: np.ndarray, rate: float) -> np.ndarray:
-    """Log-likelihood ratio of a word's share of toxic texts against the overall ``rate``."""
-    share = toxic / count
-    with np.errstate(divide="ignore", invalid="ignore"):
-        parts = np.nan_to_num(toxic * np.log(share / rate)), np.nan_to_num((count - toxic) * np.log((1 - share) / (1 - rate)))
-    return 2 * (parts[0] + parts[1])
+    return sets.select("lot", "toxic", "words").mapInArrow(run, "lot long, toxic int, words binary")
 
 
-def fit(sets: list[np.ndarray], toxic: np.ndarray, penalty: float = PENALTY, steps: int = 300) -> Model:
-    """Grades and weights from the word sets of labelled texts."""
+def fit(sets: list[np.ndarray], toxic: np.ndarray, word: np.ndarray, odds: np.ndarray, penalty: float = PENALTY, steps: int = 300) -> Model:
+    """Grades and weights of the words, ascending, from those that each labelled text holds."""
     thresholds = np.arange(1, GRADES, dtype=float)
-    none = Model(np.zeros(0, np.uint64), np.zeros(0), thresholds + 30)
     n_toxic, n = int(toxic.sum()), len(toxic)
-    if not n_toxic or n_toxic == n:
-        return none
+    if not len(word) or not n_toxic or n_toxic == n:
+        return Model(np.zeros(0, np.uint64), np.zeros(0), thresholds + 30)
     row = np.repeat(np.arange(n), [len(s) for s in sets])
-    value = np.concatenate(sets)
-    word, column = np.unique(value, return_inverse=True)
-    count = np.bincount(column, minlength=len(word))
-    in_toxic = np.bincount(column, weights=toxic[row], minlength=len(word))
-    odds = _log_odds(count, in_toxic, n_toxic, n - n_toxic)
-    use = (odds > 0) & (_surprise(count, in_toxic, n_toxic / n) > 2 * np.log(len(word)) + MARGIN)
-    kept = use[column]
-    names = np.cumsum(use) - 1
-    row, column = row[kept], names[column[kept]]
-    word, count, in_toxic, odds = word[use], count[use], in_toxic[use], odds[use]
-    if not len(word):
-        return none
+    column = np.searchsorted(word, np.concatenate(sets))
     found = np.bincount(row, minlength=n)
     grade = np.where(toxic, np.clip(found, 1, GRADES - 1), 0).astype(int)
     # Words enter in proportion to their odds, which puts the penalty on weak ones.
@@ -197,9 +213,23 @@ def learn(docs: DataFrame, labels: DataFrame, where: Column | None = None, sampl
     # At most ``sample_rows`` ids, so the broadcast is bounded.
     chosen = F.broadcast(settle(chosen, "labelled").withColumnsRenamed({"doc_id": "of"}))
     texts = pick(docs, "doc_id", "text").join(chosen, F.col("doc_id") == F.col("of")).select("lot", "toxic", "text")
-    found = settle(word_sets(texts), "labelled-words").orderBy("lot", "words").limit(sample_rows).toArrow()
-    sets = [np.frombuffer(w.as_buffer(), np.uint64) for w in found["words"].combine_chunks()] if found.num_rows else []
-    return fit(sets, found["toxic"].to_numpy().astype(bool))
+    sets = settle(word_sets(texts).withColumn("tie", F.xxhash64("words")), "labelled-words")
+    # Ids may repeat: of their texts so many with the smallest hashes are taken, a repeated one once.
+    keys = settle(sets.select("lot", "tie").distinct().orderBy("lot", "tie").limit(sample_rows), "labelled-texts")
+    sets = settle(sets.join(F.broadcast(keys), ["lot", "tie"]).dropDuplicates(["lot", "tie"]), "sample-of-words")
+    totals = sets.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
+    none = np.zeros(0, np.uint64)
+    if not 0 < totals["toxic"] < totals["n"]:
+        return fit([], np.zeros(0, bool), none, none)
+    counts = settle(word_counts(sets), "word-counts")
+    # Words are chosen where they are counted; the driver gets these alone, and what texts hold of them.
+    kept = suspicious(counts, totals["toxic"], totals["n"]).toArrow()
+    word, odds = kept["word"].to_numpy().view(np.uint64), kept["odds"].to_numpy()
+    order = np.argsort(word)
+    word, odds = word[order], odds[order]
+    rows = settle(_only(sets, word), "suspicious-words").orderBy("lot", "words").toArrow()
+    held = [np.frombuffer(w.as_buffer(), np.uint64) for w in rows["words"].combine_chunks()]
+    return fit(held, rows["toxic"].to_numpy().astype(bool), word, odds)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
