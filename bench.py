@@ -1,6 +1,6 @@
-"""Time registered queries and print one JSON line.
+"""Time the registered queries of the core and print one JSON line.
 
-Every query runs to the end into Spark's ``noop`` sink, plan building and the
+The queries of the llm package are left to the check tool. Every query runs to the end into Spark's ``noop`` sink, plan building and the
 jobs it starts included. The tables are scanned once beforehand, so that no
 query pays for starting the JVM.
 """
