@@ -174,6 +174,25 @@ def test_chat_layouts(spark):
         assert found[i].layout is None and found[i].turns_read == [] and found[i].formatted == ""
 
 
+def test_chat_layouts_by_what_is_held(spark):
+    records = [
+        '{"messages": [{"role": "assistant", "content": null}, {"role": "user", "content": "hi"}]}',
+        '{"messages": [{"role": "user", "content": "a"}], "prompt": "p", "response": "r"}',
+        '{"prompt": "p", "chosen": "c", "response": "r"}',
+        '{"messages": [null, {}, {"role": "user"}, {"content": "x"}]}',
+        '{"messages": [], "prompt": "p", "completion": "c", "context": "not of this layout"}',
+        '{"turns": [{"speaker": null, "text": null}], "question": "q", "answer": "a", "context": "c"}',
+    ]
+    expected = [
+        ("messages", [("assistant", ""), ("user", "hi")]), ("messages", [("user", "a")]), ("prompt_response", [("user", "p"), ("assistant", "r")]),
+        ("messages", [("user", ""), ("", "x")]), ("prompt_completion", [("user", "p"), ("assistant", "c")]),
+        ("question", [("user", "c\n\nq"), ("assistant", "a")]),
+    ]
+    df = spark.createDataFrame(list(enumerate(records)), "id long, record string")
+    found = {r.id: r for r in chat.read_back(chat.format_records(df, "record", ["id"])).collect()}
+    assert [(found[i].layout, [tuple(t) for t in found[i].turns_read]) for i in range(len(records))] == expected
+
+
 def test_chat_escapes(spark):
     texts = ["<|turn|>", r"<\|turn|>", "<<|end|>>", r"[INST]\[/INST]", r"\\<\\|text|>", "</s><s>", "", "<|", "[/INST", "a\nb", None, "🎉<|x|>"]
     rows = [(1, i, "assistant", t) for i, t in enumerate(texts)] + [(2, None, None, "<|turn|>"), (2, None, None, "<|turn|>")]
@@ -238,6 +257,41 @@ def test_quality(spark, odd, labels):
     assert quality.keep_good(odd, labels.limit(0)).columns == odd.columns
 
 
+@pytest.mark.parametrize("prior", [0.1, 0.5, 0.9])
+def test_prior_from_positives_and_unlabelled(prior):
+    """Scores of two overlapping kinds, of which the unlabelled hold a known share."""
+    draw = np.random.default_rng(int(10 * prior))
+    good, bad = draw.normal(2, 1, 40_000), draw.normal(-2, 1, 40_000)
+    mixed = np.concatenate([good[: int(20_000 * prior)], bad[: int(20_000 * (1 - prior))]])
+    assert quality.estimate_prior(good[20_000:], mixed) == pytest.approx(prior, abs=0.04)
+
+
+def test_quality_reads_no_bad_labels(spark):
+    draw = np.random.default_rng(2)
+    text = lambda good: " ".join(draw.choice(["house", "tree", "and", "river."] if good else ["$$$", "BUY!!!", "|", "###"], 40))
+    rows = [(i, text(i % 4 != 0)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(0, 400, 3)], "doc_id long, quality int")
+    one = {r.doc_id: r.score for r in quality.score(docs, labels).collect()}
+    two = {r.doc_id: r.score for r in quality.score(docs, labels.where("quality = 1")).collect()}
+    assert one == two
+    assert np.mean([(one[i] >= 0.5) == (i % 4 != 0) for i, _ in rows]) > 0.95
+
+
+def test_risk_falls_to_where_it_should():
+    """The fit's risk is that of the formula, computed anew, and about the least that any shift of its scores gives."""
+    draw = np.random.default_rng(6)
+    p, u = draw.normal(1, 1, (600, 3)), np.concatenate([draw.normal(1, 1, (300, 3)), draw.normal(-1, 1, (300, 3))])
+    model = quality.fit(p, u, 0.5, steps=600)
+
+    def risk(shift):
+        f, g = (quality._forward(model.layers, (x - model.mean) / model.scale)[1] + shift for x in (p, u))
+        loss = lambda v: np.mean([np.log1p(np.exp(-x)) for x in v])
+        return 0.5 * loss(f) + max(0.0, loss(-g) - 0.5 * loss(-f))
+
+    assert risk(0) <= min(risk(s) for s in np.linspace(-3, 3, 25)) + 0.03
+
+
 def test_toxicity(spark, odd, labels):
     found = toxicity.score(odd, toxicity.learn(odd, labels)).toPandas()
     assert len(found) == odd.count() and found.severity.between(0, 3).all()
@@ -258,6 +312,50 @@ def test_language(spark, odd):
     assert (untaught.lang_pred == "und").all() and (untaught.score == 0).all()
 
 
+@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80)])
+def test_ngram_join_beside_a_common_passage(spark, size, percent):
+    """A third of the texts share a passage, near copies form chains, and sizes differ by far: no link is lost."""
+    draw = np.random.default_rng(size)
+    words = lambda n: [f"w{draw.integers(4000)}" for _ in range(n)]
+    passage, texts = words(60), []
+    for i in range(150):
+        own = words(int(draw.integers(5, 400)))
+        texts.append(own + passage if i % 3 == 0 else own)
+    for i in range(0, 150, 5):
+        for step in range(1, 5):
+            text = list(texts[i])
+            for at in draw.integers(0, len(text), max(1, step * len(text) // 120)):
+                text[at] = f"changed{step}{at}"
+            texts.append(text + words(step % 2))
+    texts += [passage, passage[:59], passage + passage, texts[0], ["w1"], ["w1"], []]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    found = ngram_join.classes(df, size, percent).toPandas()
+    expected = brute_join([t for _, t in rows], range(len(rows)), size, percent)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.itertuples()} == expected
+    assert len({c for _, c in expected.values()}) < len(rows) - 30
+
+
+def test_language_of_signs_and_rare_letters(spark):
+    rows = [(1, "the house is here and there", "en"), (2, "das haus ist hier und dort", "de"), (3, "\U0001f600\U0001f4a9 \U0001f680", None), (4, "\U00020000\U00020001", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(df).collect()}
+    assert found[3] == ("und", 0.0) and found[1][0] == "en" and found[2][0] == "de"
+    assert found[4][0] in ("en", "de")  # ideographs are letters
+
+
+def test_lines_beside_columns_of_the_same_names(spark):
+    passage = "a passage of more than eight words that stands in two documents of the table"
+    rows = [(1, passage + "\nfirst text here", "x", 7), (2, "second text here\n" + passage, "y", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lines_removed string, WORDS_removed long")
+    found = lines.dedup(df)
+    assert found.columns == [*df.columns, "lines_removed_", "words_removed_"]
+    assert [tuple(r) for r in found.orderBy("doc_id").collect()] == [(*rows[0], 0, 0), (2, "second text here", "y", 8, 1, 15)]
+    stage = corpus_pipeline.line_dedup(spark, df, "")
+    assert stage.columns == df.columns
+    assert [tuple(r) for r in stage.orderBy("doc_id").collect()] == [rows[0], (2, "second text here", "y", 8)]
+
+
 def test_neighbours(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 3.0]), (4, [-1.0, 0.5]), (5, None), (6, [0.0, 0.0]), (7, [nan, 1.0]), (8, [inf, 1.0]), (9, [None, 1.0]), (10, [1.0]), (None, [1.0, 1.0])]
@@ -269,8 +367,21 @@ def test_neighbours(spark):
     assert neighbours.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_repeated_ids(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (15, [1.0, 0.5]), (16, [0.5, 1.0]), (16, [0.5, 1.0]), (17, [2.0, 2.0]), (20, [3.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in neighbours.nearest(df, F.col("vec_id") == 20, k=3).collect()]
+    expected = []
+    for own, (i, v) in enumerate(rows):
+        if i == 20:
+            near = sorted((-(v[0] * w[0] + v[1] * w[1]), j) for other, (j, w) in enumerate(rows) if other != own)[:3]
+            expected += [(20, n + 1, j, -s) for n, (s, j) in enumerate(near)]
+    assert sorted(found) == sorted(expected)
+
+
 def test_neighbours_over_parts(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "PART_NODES", 150)
+    monkeypatch.setattr(neighbours, "DEAL_NODES", 150)
     random = np.random.default_rng(5)
     vectors = np.concatenate([random.normal(size=(1200, 8)), np.tile(random.normal(size=8), (300, 1))])
     vectors *= random.uniform(0.5, 2, size=(1500, 1))
@@ -297,6 +408,7 @@ def recall(spark, vectors, k=10):
 
 def test_neighbours_over_many_parts(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "PART_NODES", 60)
+    monkeypatch.setattr(neighbours, "DEAL_NODES", 60)
     monkeypatch.setattr(neighbours, "DEALS", 2)
     vectors = np.random.default_rng(8).normal(size=(4000, 16))
     assert recall(spark, vectors) >= 0.95
@@ -304,13 +416,15 @@ def test_neighbours_over_many_parts(spark, monkeypatch):
 
 def test_neighbours_beside_a_long_vector(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "PART_NODES", 150)
+    monkeypatch.setattr(neighbours, "DEAL_NODES", 150)
     vectors = np.random.default_rng(9).normal(size=(1500, 16))
     vectors[77] *= 100
     assert recall(spark, vectors) >= 0.95
     # Lists hold the nearest, not those whose rounding is alike.
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
-    packed, _, _, count, parts = neighbours._nodes(df.selectExpr("vec_id", "embedding as vector"))
-    lists = {r.node: {*r.nbr} for r in neighbours.build(packed, count, parts).collect()}
+    _, packed, owners, _, count = neighbours._nodes(df.selectExpr("vec_id", "embedding as vector"))
+    name = {r.node: r.vec_id for r in owners.collect()}
+    lists = {name[r.node]: {name[n] for n in r.nbr} for r in neighbours.build(packed, count).collect()}
     unit = np.sort(np.linalg.norm(vectors, axis=1))[-1 - neighbours.STARTS]
     short = vectors / np.maximum(unit, np.linalg.norm(vectors, axis=1, keepdims=True))
     whole = np.column_stack([short, np.sqrt(np.maximum(0, 1 - (short * short).sum(axis=1)))])
@@ -323,8 +437,8 @@ def test_neighbours_beside_a_long_vector(spark, monkeypatch):
 def test_walk_goes_on_to_its_end(spark):
     # A path of 60 nodes: its end is 15 rounds away at four nodes a round.
     angle = np.linspace(0, np.pi / 2, 60)
-    vectors = np.column_stack([np.cos(angle), np.sin(angle), np.zeros(60)]).astype("<f4")
-    packed = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(vectors)], "node long, packed binary")
+    vectors = neighbours._pack(np.column_stack([np.cos(angle), np.sin(angle)]), np.zeros(60))
+    packed = spark.createDataFrame(list(enumerate(vectors)), "node long, packed binary")
     rows = [(0, i, [j for j in range(i - 4, i + 5) if 0 <= j < 60 and j != i]) for i in range(60)]
     graph = spark.createDataFrame(rows, "part int, node long, nbr array<long>")
     asking = packed.where("node = 59").selectExpr("node as query", "packed", "cast(null as long) as node")
