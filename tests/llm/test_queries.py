@@ -36,7 +36,6 @@ def test_packing_round_trip(spark, tables, docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     found = result(spark, tables, "op1_best_fit_packing").sort_values(["doc_id", "piece"])
     pieces = {k: g for k, g in found.groupby("doc_id")}
     for doc_id, text in zip(docs.doc_id, docs.text, strict=True):
