@@ -97,17 +97,18 @@ def _ewm_sql(table: str, position: str, half_life: str, name: str) -> str:
     SELECT event_id, mean AS {name} FROM readings LEFT JOIN means USING (event_id)"""
 
 
-_SECONDS = "epoch_us(ts) / 1e6"
+# Whole microseconds, so that differences are exact.
+_MICROS = "epoch_us(ts)"
 
 
-@registered(_ewm_sql(READINGS, _SECONDS, "21600", "power_kw_ewm_6_hours"))
+@registered(_ewm_sql(READINGS, _MICROS, "21600e6", "power_kw_ewm_6_hours"))
 def ewm_time(spark, folder):
     df = _keyed(m.ewm_features(readings(spark, folder), order=ORDER))
     return rounded(df, ["power_kw_ewm_6_hours"])
 
 
 # So short a half-life that most cells hold few readings and many hold none.
-@registered(_ewm_sql(READINGS_NULL, _SECONDS, "60", "power_kw_ewm_1_minute"))
+@registered(_ewm_sql(READINGS_NULL, _MICROS, "60e6", "power_kw_ewm_1_minute"))
 def ewm_time_over_many_cells(spark, folder):
     df = m.ewm_features(readings_null(spark, folder), half_life="1 minute", order=ORDER)
     return rounded(_keyed(df), ["power_kw_ewm_1_minute"])
@@ -117,7 +118,7 @@ def ewm_time_over_many_cells(spark, folder):
 _EVENING = "readings AS (SELECT * FROM all_readings WHERE hour(ts) >= 22)"
 
 
-@registered(_ewm_sql(ONE_METER_NULL.replace("readings AS", "all_readings AS", 1) + f", {_EVENING}", _SECONDS, "86400", "power_kw_ewm_1_day"))
+@registered(_ewm_sql(ONE_METER_NULL.replace("readings AS", "all_readings AS", 1) + f", {_EVENING}", _MICROS, "86400e6", "power_kw_ewm_1_day"))
 def ewm_one_meter(spark, folder):
     df = one_meter_null(spark, folder).where(F.hour("ts") >= 22)
     df = m.ewm_features(df, half_life="1 day", order=ORDER, block_rows=BLOCK_ROWS // 10)
@@ -131,7 +132,7 @@ def ewm_of_readings(spark, folder):
 
 
 @registered(
-    _ewm_sql(READINGS, _SECONDS, "172800", "forecast")
+    _ewm_sql(READINGS, _MICROS, "172800e6", "forecast")
     .replace("SELECT event_id, mean AS forecast FROM readings", "SELECT count(mean) AS n, " + round_sql("sqrt(avg((mean - power_kw) ** 2))", "rmse", 4) + " FROM readings")
 )
 def rmse_of_smoothing_forecast(spark, folder):
