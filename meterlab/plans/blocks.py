@@ -5,8 +5,8 @@ right for many short series and fails for one that holds a third of all rows.
 So operators that need the order of a series come here:
 
 * Keys with at most ``block_rows`` rows use the plain window.
-* Longer series are range-partitioned by (key, order) into *blocks* of about
-  ``block_rows`` rows, whatever the distribution of keys and times. Each block
+* Longer series are range-partitioned by (key, order), and each range is cut into
+  *blocks* of ``block_rows`` rows, whatever the distribution of keys and times. Each block
   gets a copy of the little it needs from its neighbours: the last ``reach``
   rows before it, or the running totals so far. The same window, now inside
   (key, block), then gives the same result.
@@ -196,19 +196,30 @@ def attach_table(
 def lay_out(
     df: DataFrame, rows: int, by: Sequence[str], order: Sequence[str], block_rows: int
 ) -> DataFrame:
-    """The ``rows`` rows of ``df`` with their block number; blocks ascend with (by, order)."""
-    n_blocks = rows // block_rows + 1
+    """The ``rows`` rows of ``df`` with their block number; blocks ascend with (by, order).
+
+    Ranges are as many as the session has shuffle partitions, more if one would hold over
+    ``BLOCK_ROWS`` rows; a task sorts its range and cuts it into blocks of ``block_rows``.
+    So the number of tasks and files does not grow with that of blocks. ``TIE`` numbers the
+    rows as they were laid, which fixes the sequence of those that tie.
+    """
+    shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_ranges = min(rows // block_rows + 1, max(rows // BLOCK_ROWS + 1, shuffles))
+    # monotonically_increasing_id: the task's number above, and its rows' numbers in 33 bits.
+    task, place = F.shiftright(TIE, 33), F.col(TIE).bitwiseAND(F.lit(2**33 - 1))
 
     def cut(numbered: DataFrame) -> DataFrame:
-        ranged = numbered.repartitionByRange(n_blocks, *by, *order, TIE)
-        return settle(ranged.withColumn(BLOCK, F.spark_partition_id()), "blocks")
+        ranged = numbered.repartitionByRange(n_ranges, *by, *order, TIE)
+        laid = ranged.sortWithinPartitions(*by, *order, TIE).withColumn(TIE, F.monotonically_increasing_id())
+        block = F.shiftleft(task, 33) + F.call_function("div", place, F.lit(block_rows))
+        return settle(laid.withColumn(BLOCK, block), "blocks")
 
     laid = cut(df.withColumn(TIE, F.lit(0).cast("bigint")))
-    most = laid.groupBy(BLOCK).count().agg(F.max("count")).first()[0] or 0
-    if most > 4 * max(block_rows, rows // n_blocks):
+    most = laid.groupBy(task).count().agg(F.max("count")).first()[0] or 0
+    if most > 4 * max(block_rows, rows // n_ranges):
         # Rows that agree on (by, order) cannot be told apart by a range. Now
-        # that they are stored their sequence is fixed: number them, cut again.
-        laid = cut(laid.drop(BLOCK).withColumn(TIE, F.monotonically_increasing_id()))
+        # that they are stored their sequence is fixed and numbered: cut again.
+        laid = cut(laid.drop(BLOCK))
     return laid
 
 
@@ -223,7 +234,7 @@ def _rows_before(
     """For each piece (by, block): copies of the last ``reach`` rows before it.
 
     Only the last rows of each piece are gathered, at most ``reach`` per piece,
-    and a range partitioning makes hardly more pieces than blocks.
+    and cutting ranges into blocks makes hardly more pieces than blocks.
     """
     by, order = list(by), [*order, TIE]
     kept = laid if keep is None else laid.where(keep)

@@ -87,6 +87,17 @@ def test_copies_of_one_row_are_spread_over_blocks(spark):
     assert lagged.where("power_kw_lag_1 IS NULL").count() == 1
 
 
+def test_many_blocks_take_few_tasks(spark):
+    """Files, one per task, are as many as shuffle partitions; blocks are as many as asked, and ascend."""
+    df = spark.range(3_000).select((F.col("id") * 7_919 % 3_000).alias("at"), F.col("id").alias("event_id"))
+    laid = blocks.lay_out(df, 3_000, [], ["at"], 10)
+    assert len(laid.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = laid.groupBy(blocks.BLOCK).agg(F.count("*").alias("n"), F.min("at"), F.max("at")).orderBy(blocks.BLOCK).collect()
+    assert len(found) >= 300 and max(r.n for r in found) <= 10 and sum(r.n for r in found) == 3_000
+    ends = [x for r in found for x in r[2:]]
+    assert ends == sorted(ends)
+
+
 def test_split_parts_the_keys_and_counts_them(spark):
     df = readings(spark, 5)
     light, hot = blocks.split_hot(df, ["meter_id"], 40)
