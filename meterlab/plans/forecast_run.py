@@ -19,7 +19,7 @@ from meterlab.operators.features import (
     cyclic_features,
     history_features,
 )
-from meterlab.operators.grid import direct_label, regular_grid
+from meterlab.operators.grid import direct_label, regular_grid, resample
 from meterlab.operators.model import forecast, split_by_time, train
 from meterlab.plans.blocks import BLOCK_ROWS, settle
 from meterlab.sources.readings import READINGS_SCHEMA, read_raw_text, read_readings
@@ -103,7 +103,12 @@ def _grid_features(df: DataFrame, config: ForecastConfig) -> tuple[DataFrame, li
     """Steps with the label ``horizon`` steps ahead and features of what is known by then."""
     if config.horizon < 1 or config.label is not None:
         raise ValueError("on a grid the label is the value at least one step ahead")
-    grid = regular_grid(df, config.step, config.by, (config.agg,), config.value, config.ts)
+    if config.missing == "drop":
+        # Empty steps would be dropped again, and offer no label: those with readings are enough.
+        df = df.where(F.col(config.ts).isNotNull())
+        grid = resample(df, config.step, config.by, (config.agg,), config.value, config.ts)
+    else:
+        grid = regular_grid(df, config.step, config.by, (config.agg,), config.value, config.ts)
     value = f"{config.value}_{config.agg}"
     df = direct_label(grid, value, config.horizon, config.step, config.by, unique=True)
     df = df.withColumnRenamed("bucket", config.ts) if config.ts != "bucket" else df
