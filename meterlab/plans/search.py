@@ -13,10 +13,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from meterlab.operators.clean import drop_missing
 from meterlab.operators.evaluate import rmse
-from meterlab.operators.model import forecast, train
+from meterlab.operators.model import MAX_BINS, Cells, cells, forecast, train
 from meterlab.plans.blocks import settle
 
 
+def _stored(merged: Cells) -> Cells:
+    return merged._replace(table=settle(merged.table, "search-cells"))
+
+
 def search(
     df: DataFrame,
     features: Sequence[str],
@@ -40,8 +44,15 @@ def search(
     if table.where(~F.col("_later")).isEmpty() or table.where("_later").isEmpty():
         raise ValueError("the cutoff leaves one part empty")
 
+    # Equal rows are merged once for all fits with as many bins.
+    merged = {
+        bins: _stored(cells(table, features, label, bins, validation="_later"))
+        for bins in {p.get("maxBins", MAX_BINS) for p in candidates}
+    }
+
     def one(params: Mapping[str, Any]) -> tuple[PipelineModel, float]:
-        model = train(table, features, label, params, validation="_later")
+        shared = merged[params.get("maxBins", MAX_BINS)]
+        model = train(table, features, label, params, validation="_later", merged=shared)
         return model, rmse(forecast(model, table.where("_later")), label).first()["rmse"]
 
     target = inheritable_thread_target(df.sparkSession)(one)

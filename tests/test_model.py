@@ -1,9 +1,13 @@
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 from tiny import at, by_key, table
 
 import meterlab as m
 from meterlab.catalog.fixtures import CUTOFF, readings, readings_signal
+from meterlab.operators.model import bin_stage, cells
+from meterlab.plans import forecast_run
 from meterlab.plans.forecast_run import fit_and_forecast, make_features
 
 
@@ -111,6 +115,47 @@ def test_rows_without_a_label_get_forecasts(spark, signal):
     assert all(abs(known[k] - p) < 1e-9 for k, (_, p) in found.items())
 
 
+def test_equal_rows_learn_as_one(spark):
+    """As many rows to boost as there are different features, and the trees of all rows."""
+    df = spark.range(4_000).select(
+        (F.col("id") % 24).cast("int").alias("hour"), (F.col("id") % 7).cast("int").alias("day"),
+        ((F.col("id") * 7_919 % 101) / 100 + F.sin(F.col("id") % 24)).alias("label"),
+    )
+    params = {"maxIter": 5, "maxDepth": 4, "seed": 42}
+    merged = cells(df, ["hour", "day"])
+    assert merged.table.count() == 168 and merged.table.agg(F.sum("_weight")).first()[0] == 4_000
+    found = m.forecast(m.train(df, ["hour", "day"], params=params), df)
+    assert set(found.columns) == {"hour", "day", "label", "prediction"}
+    boosting = GBTRegressor(featuresCol="features", labelCol="label", **params)
+    single = Pipeline(stages=[m.assemble_stage(["hour", "day"]), boosting]).fit(df).transform(df)
+    keys = ["hour", "day"]
+    both = found.groupBy(*keys).agg(F.max("prediction").alias("a")).join(single.groupBy(*keys).agg(F.max("prediction").alias("b")), keys)
+    assert both.where(F.abs(F.col("a") - F.col("b")) > 1e-9).isEmpty()
+
+
+def test_bins_hold_about_equal_numbers_of_rows(spark):
+    df = spark.range(6_400).select(
+        (F.col("id") * 1.5).alias("even"), (F.col("id") % 9).alias("few"),
+        F.when(F.col("id") < 5_000, 3.0).otherwise(F.col("id") * 1.0).alias("common"),
+    )
+    stage = bin_stage(df, ["even", "few", "common"])
+    assert stage.getInputCols() == ["even", "common"]
+    binned = stage.transform(df)
+    sizes = [r["count"] for r in binned.groupBy("_bin_even").count().collect()]
+    assert len(sizes) == 32 and max(sizes) <= 201
+    assert binned.groupBy("_bin_common").count().agg(F.max("count")).first()[0] == 5_000
+    assert m.train(df.withColumn("label", F.col("even")), ["even"], params={"maxIter": 2, "subsamplingRate": 0.5}).stages[-1].getNumTrees == 2
+
+
+def test_steps_without_readings_are_not_made_to_be_dropped(spark, monkeypatch):
+    df = table(spark, [(1, f"2024-01-{d:02d} {h:02d}:10:00", v) for d, h, v in ((1, 0, 1.0), (1, 2, 3.0), (1, 3, None), (9, 1, 5.0), (9, 3, 7.0))])
+    grid = m.direct_label(m.regular_grid(df, "hour", aggs=("max",)), "power_kw_max", 2, unique=True)
+    expected = by_key(grid.where("power_kw_max is not null"), "power_kw_max", "label", key="bucket")
+    monkeypatch.setattr(forecast_run, "regular_grid", None)
+    found, _ = make_features(df, config(label=None, step="hour", horizon=2, agg="max", lags=(), rolling=()))
+    assert by_key(found, "power_kw_max", "label", key="ts") == expected and len(expected) == 4
+
+
 def test_refusals(signal):
     with pytest.raises(ValueError, match="step"):
         make_features(signal, config(horizon=2))
