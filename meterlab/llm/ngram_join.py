@@ -1,25 +1,23 @@
 """Self-join of documents by the Jaccard similarity of their word shingles, exactly.
 
-Two sets with a similarity of ``percent`` / 100 or more share a token among the
-first few of each, under *any* order of all tokens. So they share one under each
-of several orders, and only pairs that do are compared in full:
+Two sets of a similarity of ``percent`` / 100 or more differ by few tokens, say ``k``.
+If all tokens are dealt to more than ``k`` parts by a hash, some parts of both sets
+hold the same tokens. Only pairs with such a part in common are compared:
 
 1. Documents with equal sets become one node; copies cost no more than one.
-2. Tokens are ordered by how common they are, then by a hash; each order has its
-   own hash. All tokens of all texts are counted, in ``2 ** BUCKET_BITS`` buckets by
-   hash, and a token's rank is its bucket's count in half powers of two. Any order is
-   right; this one keeps passages that many documents share out of the prefixes.
-3. Nodes that share a prefix token under the first order form a list. The member
-   of most lists is its pivot. Each member is a candidate with the pivot, which
-   makes as many pairs as rows; those that also share a prefix token under each
-   of the other orders are compared.
-4. Links give components. Members of a list outside the pivot's component could
-   still link with each other or with members inside it. For them the sets'
-   differences from the pivot, counted and marked in bits, bound how similar they can be; classes of equal
-   counts are matched first, and the pairs of classes that remain possible, under
-   all orders again, are compared. Members that are no candidates with the pivot meet
-   the others of their lists. So no link is lost, and a group of thousands of near
-   copies is not expanded into pairs.
+2. Each set is dealt to parts, ``k`` and the parts being as many as its class of sizes
+   asks for, and once more as the next smaller class does. Of its parts it keeps the
+   ``k + 1`` strongest: those with the most and the rarest tokens. Two linked sets have
+   all parts but ``k`` in common; the strongest of these is kept in both, since
+   it is dropped only where fewer than ``k`` others are weaker. Tokens of all texts are
+   counted, in ``2 ** BUCKET_BITS`` buckets by hash; any order of strength is right.
+3. Nodes that keep the same part form a list. The member of most lists is its pivot,
+   and each member is compared in full with the pivot, which makes as many pairs as rows.
+4. Links give components. A member that is not linked with its pivot may still link with
+   others of the list. Two such sets have the tokens in common by which they differ
+   from the pivot, more than half of the nearer one's. So these tokens are put in order, those the pivot
+   lacks first, and pairs that share one early enough in both are compared. No link is
+   lost, and a group of thousands of near copies is not expanded into pairs.
 
 Words are runs of anything but ASCII white space, A-Z lower-cased. A set holds
 the distinct shingles of ``size`` words; a text with fewer words has its whole
@@ -31,9 +29,7 @@ ignores null ids. An empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +41,9 @@ from meterlab.plans.blocks import join_on, settle, settled
 
 SIZE = 5
 PERCENT = 80
-ORDERS = 3
 # Tokens are counted in so many bits' worth of buckets: a megabyte per task, a byte per bucket for all.
 BUCKET_BITS = 18
 _SLICES = 16
-# Numbers of 64 bits that mark where a set differs from its pivot.
-_SIGNATURE = 16
-_BITS = [f"s{i}" for i in range(_SIGNATURE)]
 # Tables of one or two numbers per row are broadcast up to this many rows (some 50 MB
 # in memory), larger ones are shuffled.
 BROADCAST_IDS = 2_000_000
@@ -62,11 +54,6 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
 
-def _prefix(n: np.ndarray, percent: int) -> np.ndarray:
-    """Length of the prefix of a set of ``n``: n - ceil(n * percent / 100) + 1."""
-    return n - -(-n * percent // 100) + 1
-
-
 def _fingerprint(value: np.ndarray, n: np.ndarray, salts: np.ndarray) -> list[np.ndarray]:
     """Two sums of hashes of each row's tokens, of which it has ``n``."""
     ends = np.append(0, np.cumsum(n))
@@ -122,62 +109,88 @@ def _ranks(summaries: DataFrame) -> np.ndarray:
     return ranks
 
 
-class _Orders:
-    """Sorts the tokens of sets under one of the orders."""
+def _bounds(most: int, percent: int) -> np.ndarray:
+    """The least size of each class; sets that can be linked are of the same or of neighbouring classes."""
+    if percent >= 100:
+        return np.arange(1, most + 2)
+    bounds = [1]
+    while bounds[-1] <= most:
+        bounds.append(max(bounds[-1] + 1, 100 * (bounds[-1] - 1) // percent + 1))
+    return np.array(bounds)
 
-    def __init__(self, common: np.ndarray, count: int):
-        self.rank = common
-        self.salts = seeded(count, 77)
 
-    def ranks(self, value: np.ndarray) -> np.ndarray:
-        return self.rank[_bucket(value)].astype(np.uint64)
+def _furthest(n: np.ndarray | int, percent: int) -> np.ndarray | int:
+    """At least as many as the tokens in only one of two linked sets, the smaller of which has ``n`` or fewer."""
+    return (n + 100 * n // percent) * (100 - percent) // (100 + percent)
 
-    def keys(self, value: np.ndarray, rank: np.ndarray, number: int) -> np.ndarray:
-        """Sort keys: six bits of rank above 58 bits of the order's hash."""
-        return (rank << np.uint64(58)) | (mix(value ^ self.salts[number]) >> np.uint64(6))
 
+def _parts(row: np.ndarray, value: np.ndarray, n: np.ndarray, rank: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of the parts that sets keep, by row; equal keys mean equal parts.
 
-def _firsts(docs: DataFrame, size: int, percent: int, common: np.ndarray, orders: int) -> DataFrame:
-    """(doc_id, mark, one, two, n, p0, p1, ...): the prefix of each non-empty set under each order.
+    ``n`` counts the tokens (row, value) of each row, and ``rank`` says how common each is.
+    """
+    salts = seeded(2, 91)
+    bounds = _bounds(int(n.max(initial=0)), percent)
+    own = np.searchsorted(bounds, n, "right") - 1
+    keep = _furthest(bounds[1:] - 1, percent) + 1
+    # A quarter more, so that empty and weak parts can be dropped.
+    parts = np.where(keep > 1, keep + np.maximum(2, keep // 4), 1)
+    spread, hashed = mix(value ^ salts[0]) >> np.uint64(32), mix(value ^ salts[1])
+    rows, keys = [], []
+    for step in (0, 1):
+        kind = np.maximum(own - step, 0)
+        meets = n > 0
+        if step:
+            # Only with sets of the next smaller class that are large enough.
+            meets &= (own > 0) & (100 * (bounds[np.maximum(own, 0)] - 1) >= percent * n)
+        count = np.zeros(len(n), np.int64)
+        count[meets] = parts[kind[meets]]
+        first = np.append(0, np.cumsum(count))
+        dealt = meets[row]
+        of = row[dealt]
+        at = first[of] + ((spread[dealt] * count[of].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        sums = np.zeros(first[-1], np.uint64)
+        np.add.at(sums, at, hashed[dealt])
+        strength = np.bincount(at, 64.0 - rank[dealt], first[-1])
+        owner = np.repeat(np.arange(len(n)), count)
+        place = np.arange(first[-1]) - first[owner]
+        key = mix(sums + mix(((kind[owner] << 40) + place + 1).astype(np.uint64)))
+        order = np.lexsort((key, -strength, owner))
+        kept = place < keep[kind[owner]]
+        rows.append(owner[kept])
+        keys.append(key[order][kept])
+    row = np.concatenate(rows)
+    order = np.argsort(row, kind="stable")
+    return row[order], np.concatenate(keys)[order]
+
+
+def _sets(docs: DataFrame, size: int, percent: int, common: np.ndarray) -> DataFrame:
+    """(doc_id, mark, one, two, n, keys): the parts that each non-empty set keeps.
 
     ``mark`` is a hash of the text.
-
-    Under the first order tokens are kept whole, under the others by 32 bits, as
-    they only serve to rule pairs out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, order = by_space(), _Orders(common, orders)
+        split = by_space()
         salts = seeded(2, 41)
         for batch in batches:
             for chunk in chunks(batch[1]):
                 row, value = distinct_shingles(split(chunk), chunk.rows, size)
                 n = np.bincount(row, minlength=chunk.rows)
-                ends = np.append(0, np.cumsum(n))
                 full = np.flatnonzero(n > 0)
-                wanted = _prefix(n, percent) * (n > 0)
                 sums = [pa.array(x[full]) for x in _fingerprint(value, n, salts)]
-                rank = order.ranks(value)
-                within = np.arange(len(value)) - np.repeat(ends[:-1], n)
-                early = within < np.repeat(wanted, n)
-                lists = []
-                cuts = np.append(0, np.cumsum(wanted[full])).astype(np.int32)
-                for i in range(orders):
-                    sorting = np.lexsort((value, order.keys(value, rank, i), row))
-                    first = value[sorting][early]
-                    kept = first.view(np.int64) if i == 0 else first.astype(np.uint32).view(np.int32)
-                    lists.append(pa.ListArray.from_arrays(cuts, pa.array(kept)))
+                owner, key = _parts(row, value, n, common[_bucket(value)], percent)
+                cuts = np.append(0, np.cumsum(np.bincount(owner, minlength=chunk.rows)[full])).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[batch[c].slice(chunk.first, chunk.rows).take(pa.array(full)) for c in ("doc_id", "mark")],
-                        *sums, pa.array(n[full].astype(np.int64)), *lists,
+                        *sums, pa.array(n[full].astype(np.int64)), pa.ListArray.from_arrays(cuts, pa.array(key.view(np.int64))),
                     ],
-                    names=["doc_id", "mark", "one", "two", "n", *[f"p{i}" for i in range(orders)]],
+                    names=["doc_id", "mark", "one", "two", "n", "keys"],
                 )
 
-    rest = "".join(f", p{i} array<int>" for i in range(1, orders))
     marked = docs.withColumn("mark", F.xxhash64("text"))
-    return marked.mapInArrow(run, f"doc_id long, mark long, one long, two long, n long, p0 array<long>{rest}")
+    return marked.mapInArrow(run, "doc_id long, mark long, one long, two long, n long, keys array<long>")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -186,13 +199,28 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("node").agg(F.first("text").alias("text"))
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b, private) with what their full sets, made anew from the texts, have in common.
+def _early(pivot: int, n: int, apart: int, link: bool, percent: int) -> int:
+    """How many of the ``apart`` tokens in only one of a pivot and a set of ``n`` to look at.
 
-    ``link`` tells whether the similarity is reached, ``missing`` counts tokens of
-    a that b lacks, ``own`` those of b's leading private tokens that a lacks. The bits of ``s0``, ``s1``, ...
-    mark buckets of the tokens of a that b lacks, in the first half, and of b that a lacks. Texts
-    travel instead of sets, as they take less room.
+    Sets x and y that are linked have (x apart + y apart - what x and y may differ by) / 2 of these tokens in common, so
+    the first in common is no later than so many before the end, in any order. One of the two at least is not linked
+    with the pivot.
+    """
+    common = max(1, apart - _furthest(n, percent))
+    if link:
+        # The other is apart by more than it and the pivot may differ by; with y it may differ by ``more``.
+        change = abs(n - pivot)
+        more = change - 2 * (change * percent // (100 + percent)) if n >= pivot else max(0, 2 * -(-change * percent // (100 + percent)) - change)
+        common = max(common, -(-(apart + 1 - more) // 2))
+    return apart - common + 1
+
+
+def _compare(pairs: DataFrame, texts: DataFrame, size: int, percent: int, common: np.ndarray) -> DataFrame:
+    """Pairs (a, b) with what their full sets, made anew from the texts, have in common.
+
+    ``link`` tells whether the similarity is reached, ``n`` is the size of b, ``missing`` counts tokens of
+    a that b lacks, ``added`` those of b that a lacks. ``tokens`` are the first of these,
+    the added ones before the missing ones. Texts travel instead of sets, as they take less room.
     """
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
@@ -205,10 +233,12 @@ def _compare(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
                 row, value = distinct_shingles(split(chunk), chunk.rows, size)
                 yield chunk.first, np.split(value, np.searchsorted(row, np.arange(1, chunk.rows)))
 
+        def ordered(tokens: np.ndarray) -> np.ndarray:
+            return tokens[np.lexsort((tokens, common[_bucket(tokens)]))]
+
         for batch in batches:
-            a, private = batch["a"].to_numpy(), batch["private"]
-            link, missing, own = [], [], []
-            marks = np.zeros((len(batch), 2, 64 * _SIGNATURE // 2), bool)
+            a = batch["a"].to_numpy()
+            link, size_b, missing, added, tokens = [], [], [], [], []
             for first, theirs in sets(batch["tb"]):
                 # Rows come by a, so few sets are made for a run of them.
                 _, where, which = np.unique(a[first : first + len(theirs)], return_index=True, return_inverse=True)
@@ -220,39 +250,22 @@ def _compare(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
                     shared = int(both.sum())
                     lacks = np.ones(len(mine), bool)
                     lacks[at[both]] = False
-                    for half, tokens in enumerate((mine[lacks], other[~both])):
-                        marks[i, half, (tokens >> np.uint64(20)).astype(np.int64) % marks.shape[2]] = True
                     link.append(100 * shared >= percent * (len(mine) + len(other) - shared))
+                    size_b.append(len(other))
                     missing.append(len(mine) - shared)
-                    alone = np.array(private[i].as_py() or [], np.int64).view(np.uint64)
-                    own.append(len(alone) - int(np.isin(alone, mine).sum()))
-            bits = np.packbits(marks.reshape(len(batch), -1), axis=1).view(np.int64)
+                    added.append(len(other) - shared)
+                    early = _early(len(mine), len(other), missing[-1] + added[-1], link[-1], percent)
+                    tokens.append(np.append(ordered(other[~both]), ordered(mine[lacks]))[:early].view(np.int64))
+            cuts = np.append(0, np.cumsum([len(x) for x in tokens])).astype(np.int32)
+            lists = pa.ListArray.from_arrays(cuts, pa.array(np.concatenate([np.zeros(0, np.int64), *tokens])))
+            numbers = [pa.array(x, pa.int64()) for x in (size_b, missing, added)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch["a"], batch["b"], pa.array(link, pa.bool_()), pa.array(missing, pa.int64()), pa.array(own, pa.int64()),
-                    *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(_SIGNATURE)],
-                ],
-                names=["a", "b", "link", "missing", "own", *_BITS],
+                [batch["a"], batch["b"], pa.array(link, pa.bool_()), *numbers, lists],
+                names=["a", "b", "link", "n", "missing", "added", "tokens"],
             )
 
-    met = pairs.join(right, "b").join(left, "a").select("a", "b", "private", "ta", "tb")
-    return met.mapInArrow(run, "a long, b long, link boolean, missing long, own long, " + ", ".join(f"{c} long" for c in _BITS))
-
-
-def _agree(pairs: DataFrame, nodes: DataFrame, orders: int, percent: int) -> DataFrame:
-    """The pairs that fit in size and share a prefix token under every other order."""
-    later = [f"p{i}" for i in range(1, orders)]
-    # Sizes first: they are short, and rule out most pairs before any list moves.
-    sizes = _small(settle(nodes.select("node", "n"), "sizes"))
-    met = pairs.join(sizes.withColumnsRenamed({"node": "a", "n": "na"}), "a").join(sizes.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
-    pairs = settle(met.where(_fit(F.col("na"), F.col("nb"), percent)).select(*pairs.columns), "pairs-that-fit")
-    one = nodes.select(F.col("node").alias("a"), *[F.col(p).alias(f"a_{p}") for p in later])
-    two = nodes.select(F.col("node").alias("b"), *[F.col(p).alias(f"b_{p}") for p in later])
-    met = pairs.join(one, "a").join(two, "b")
-    for p in later:
-        met = met.where(F.arrays_overlap(f"a_{p}", f"b_{p}"))
-    return met.select(*pairs.columns)
-
+    met = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
+    return met.mapInArrow(run, "a long, b long, link boolean, n long, missing long, added long, tokens array<long>")
 
 
 def _most_different(na: Column, nb: Column, percent: int) -> Column:
@@ -261,128 +274,75 @@ def _most_different(na: Column, nb: Column, percent: int) -> Column:
     return na + nb - 2 * least_shared
 
 
-def _fit(na: Column, nb: Column, percent: int) -> Column:
-    """Whether sets of these sizes can be linked at all."""
-    return F.abs(na - nb) <= _most_different(na, nb, percent)
-
-
-def _size_class(n: Column, percent: int) -> Column:
-    """A class of sizes; sets that can be linked are of the same or of neighbouring classes."""
-    if percent >= 100:
-        return n
-    # A little wider than the widest ratio, so that rounding puts no pair two classes apart.
-    return F.floor(F.log(n) / (-math.log(percent / 100) * (1 + 1e-9)))
-
-
-def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
+def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, one, two) of every row; rows with equal (one, two, n) are copies.
 
     The result is stored, and the tables that led to it are deleted.
     """
-    return settled(lambda: _classes(docs, size, percent, orders), "classes")
+    return settled(lambda: _classes(docs, size, percent), "classes")
 
 
-def _classes(docs: DataFrame, size: int, percent: int, orders: int) -> DataFrame:
+def _classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     docs = pick(docs, "doc_id", "text")
     summaries = settle(_summaries(docs, size), "shingle-sums")
     common = _ranks(summaries)
     each = summaries.where("slice is null").drop("slice", "times")
 
     # 1, 2: nodes, with a number that stays because the table is stored.
-    firsts = _firsts(docs, size, percent, common, orders)
-    prefixes = [f"p{i}" for i in range(orders)]
     nodes = settle(
         # One document's text stands for all; the smallest id, nulls left out, names them.
-        firsts.groupBy("one", "two", "n")
-        .agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "mark")).alias("text_of"), *[F.first(p).alias(p) for p in prefixes])
+        _sets(docs, size, percent, common).groupBy("one", "two", "n")
+        .agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "mark")).alias("text_of"), F.first("keys").alias("keys"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
 
-    # 3: lists of nodes that share a token, their pivots, and pairs with these.
-    rows = nodes.select("node", F.posexplode("p0").alias("place", "token"))
-    shared = _small(settle(rows.groupBy("token").count().where("count > 1").select("token"), "shared-tokens"))
-    members = settle(rows.join(shared, "token"), "members")
-    lists_of = members.groupBy("node").agg(F.count("*").alias("lists"), F.min("place").alias("alone"))
-    lists_of = settle(lists_of, "lists-of-nodes")
-    ranked = members.join(lists_of.select("node", "lists"), "node")
-    pivots = ranked.groupBy("token").agg(F.max(F.struct("lists", "node"))["node"].alias("a"))
-    pivots = settle(pivots, "pivots")
+    # 3: lists of nodes that keep the same part, their pivots, and pairs with these.
+    rows = nodes.select("node", F.explode("keys").alias("key"))
+    shared = _small(settle(rows.groupBy("key").count().where("count > 1").select("key"), "shared-parts"))
+    members = settle(rows.join(shared, "key"), "members")
+    ranked = members.join(members.groupBy("node").agg(F.count("*").alias("lists")), "node")
+    pivots = ranked.groupBy("key").agg(F.max(F.struct("lists", "node"))["node"].alias("a"))
     stars = settle(
-        members.join(pivots, "token").where("a <> node")
+        members.join(pivots, "key").where("a <> node")
         .select("a", F.col("node").alias("b")).distinct(),
         "star-pairs",
     )
-    # Tokens before a node's first shared one are in no other prefix.
-    involved = settle(
-        nodes.join(_small(lists_of.select("node", "alone")), "node")
-        .withColumn("private", F.slice("p0", F.lit(1), F.col("alone"))).drop("p0"),
-        "involved",
-    )
-    sizes = involved.select("node", "n", "alone")
 
     def compare(pairs: DataFrame) -> DataFrame:
         """Sets are computed anew, for the nodes of these pairs only."""
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = settle(involved.join(ends, "node").select("node", "text_of.doc_id", "text_of.mark"), "wanted")
-        with_private = pairs.join(involved.select(F.col("node").alias("b"), "private"), "b")
-        return settle(_compare(with_private, _texts(docs, wanted), size, percent), "compared")
+        wanted = settle(nodes.join(_small(settle(ends, "ends")), "node").select("node", "text_of.doc_id", "text_of.mark"), "wanted")
+        return settle(_compare(pairs, _texts(docs, wanted), size, percent, common), "compared")
 
-    compared = compare(settle(_agree(stars, involved, orders, percent), "pairs"))
+    compared = compare(stars)
     links = compared.where("link").select("a", "b")
     roots = connected(links)
 
-    # 4: members of a list outside the component of its pivot.
+    # 4: members of a list outside the component of its pivot, and what differs from the pivot.
     def with_root(df: DataFrame, node: str, name: str) -> DataFrame:
         named = roots.select(F.col("node").alias(node), F.col("root").alias(name))
         return df.join(named, node, "left").withColumn(name, F.coalesce(name, node))
 
-    known = with_root(with_root(stars, "a", "ra"), "b", "rb")
-    group = settle(
-        known.join(compared.drop("link"), ["a", "b"], "left")
-        .join(sizes.withColumnRenamed("node", "b"), "b")
-        .select("a", "b", "ra", "rb", "n", "alone", "missing", "own", *_BITS),
-        "groups",
-    )
-    close = group.where("missing is not null")
-    kinds = close.groupBy("a", "n", "alone", "missing", "own").agg(F.min("rb").alias("low"), F.max("rb").alias("high"))
-    more = close.where("ra <> rb").alias("x").join(kinds.alias("y"), F.col("x.a") == F.col("y.a"))
-    apart = F.greatest(
-        F.col("x.alone") + F.col("y.alone"),
-        F.abs(F.col("x.missing") - F.col("y.missing")) + F.col("x.own") + F.col("y.own"),
-    )
-    possible = more.where(
-        (apart <= _most_different(F.col("x.n"), F.col("y.n"), percent))
-        & _fit(F.col("x.n"), F.col("y.n"), percent)
-        & ((F.col("low") != F.col("rb")) | (F.col("high") != F.col("rb")))
-    ).select(
-        F.col("x.a").alias("pivot"), F.col("x.b").alias("b"), "rb",
-        *[F.col(f"y.{c}").alias(f"y_{c}") for c in ("n", "alone", "missing", "own")],
-        F.col("x.n").alias("x_n"), *[F.col(f"x.{c}").alias(f"x_{c}") for c in _BITS],
-    )
-    others = close.select(
-        F.col("a").alias("pivot"), F.col("b").alias("c"), F.col("rb").alias("rc"),
-        *[F.col(k).alias(f"y_{k}") for k in ("n", "alone", "missing", "own")], *_BITS,
+    group = settle(with_root(with_root(compared.drop("link"), "a", "ra"), "b", "rb"), "groups")
+    unsettled = group.where("ra <> rb").select("a").distinct()
+    marks = (
+        group.join(_small(settle(unsettled, "unsettled")), "a")
+        .withColumn("alone", F.col("ra") != F.col("rb"))
+        .select("a", "b", "rb", "n", "missing", "added", "alone", F.posexplode("tokens").alias("place", "token"))
     )
-    # Two sets differ by at least the buckets in which only one of them differs from the pivot.
-    differing = reduce(Column.__add__, [F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(c))) for c in _BITS])
-    inner = possible.join(others, ["pivot", "y_n", "y_alone", "y_missing", "y_own"]).where(
-        (F.col("rb") != F.col("rc")) & (differing <= _most_different(F.col("x_n"), F.col("y_n"), percent))
-    ).select("b", "c")
-    # Those that were not even candidates with their pivot meet the members of their lists one by one.
-    far = group.where("missing is null").select("a", F.col("b").alias("node"), "n", "alone")
-    apart_lists = members.join(pivots, "token").where("a <> node").select("token", "a", "node")
-    near = F.explode(F.array(*[_size_class(F.col("n"), percent) + i for i in (-1, 0, 1)])).alias("class")
-    far = apart_lists.join(far, ["a", "node"]).select("token", F.col("node").alias("b"), "n", "alone", near)
-    theirs = sizes.withColumnsRenamed({"node": "c", "n": "nc", "alone": "ac"}).withColumn("class", _size_class(F.col("nc"), percent))
-    met = members.select("token", F.col("node").alias("c")).join(theirs, "c")
-    outer = far.join(met, ["token", "class"]).where(
-        (F.col("b") != F.col("c")) & _fit(F.col("n"), F.col("nc"), percent)
-        & (F.col("alone") + F.col("ac") <= _most_different(F.col("n"), F.col("nc"), percent))
-    ).select("b", "c")
-    left = inner.unionByName(outer).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
+    x = marks.where("alone").drop("alone").alias("x")
+    y = marks.drop("alone").alias("y")
+    differ = _most_different(F.col("x.n"), F.col("y.n"), percent)
+    # How many of the tokens they share if they are linked; the first of them has the others behind it.
+    twice = F.col("x.missing") + F.col("x.added") + F.col("y.missing") + F.col("y.added") - differ
+    early = [2 * (F.col(f"{s}.missing") + F.col(f"{s}.added") - F.col(f"{s}.place")) >= twice for s in "xy"]
+    met = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.rb") != F.col("y.rb"))
+        & (F.abs(F.col("x.missing") - F.col("y.missing")) + F.abs(F.col("x.added") - F.col("y.added")) <= differ)
+        & early[0] & early[1])
+    left = met.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = settle(_agree(left.join(tried, ["a", "b"], "left_anti"), involved, orders, percent), "pairs-left")
+    rest = settle(left.join(tried, ["a", "b"], "left_anti"), "pairs-left")
     if not rest.isEmpty():
         found = compare(rest).where("link").select("a", "b")
         if not found.isEmpty():

@@ -336,6 +336,32 @@ def test_ngram_join_beside_a_common_passage(spark, size, percent):
     assert len({c for _, c in expected.values()}) < len(rows) - 30
 
 
+def test_ngram_join_of_few_words_makes_few_pairs(spark, monkeypatch):
+    """Shingles that texts share by chance make no candidates; sets that are linked do, whatever their pivot is."""
+    draw = np.random.default_rng(5)
+    words = lambda n: [f"w{i}" for i in draw.integers(0, 25, n)]
+    texts = [words(100) for _ in range(500)]
+    for i in range(10):
+        for at in (3, 50, 90):
+            texts.append([*texts[i][:at], f"x{i}", *texts[i][at + 1 :]])
+        # Linked with each other, not with the text they come from.
+        far = [f"y{i}{j}" if j % 12 == 0 else w for j, w in enumerate(texts[i])]
+        texts += [far, [*far[:-1], "z"]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    made, settle = {}, ngram_join.settle
+
+    def counted(df, name):
+        table = settle(df, name)
+        made[name] = made.get(name, 0) + table.count()
+        return table
+
+    monkeypatch.setattr(ngram_join, "settle", counted)
+    found = ngram_join.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 90).toPandas()
+    expected = brute_join([t for _, t in rows], range(len(rows)), 3, 90)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.itertuples()} == expected
+    assert made["star-pairs"] < 100
+
+
 def test_language_of_signs_and_rare_letters(spark):
     rows = [(1, "the house is here and there", "en"), (2, "das haus ist hier und dort", "de"), (3, "\U0001f600\U0001f4a9 \U0001f680", None), (4, "\U00020000\U00020001", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
